@@ -1 +1,186 @@
-"""placeholder"""
+"""Aggregates, windows and sorts bound to the driver tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from fieldbook.functions.exprs import hour_label, like_ci, round_int
+from fieldbook.operators.relational import count_by, share_of_total, top_k, with_group_max
+from fieldbook.operators.windows import latest_per_key, lead_gap, priority_ranks, rank_groups
+from fieldbook.plans.registry import register
+from fieldbook.sources.roles import survey_tables
+from fieldbook.sources.tables import load
+
+_NATIVE_COUNTED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+
+
+@register("a01_count_all", "SELECT " + ", ".join(f"(SELECT COUNT(*) FROM {t}) AS n_{t}" for t in _NATIVE_COUNTED))
+def a01_count_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cols = [load(spark, sf_dir, t).agg(F.count(F.lit(1))).scalar().alias(f"n_{t}") for t in _NATIVE_COUNTED]
+    return spark.range(1).select(*cols)
+
+
+@register("a02_count_per_key", "SELECT o_custkey, COUNT(o_orderkey) AS num_orders FROM orders GROUP BY 1")
+def a02_count_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_by(load(spark, sf_dir, "orders"), ["o_custkey"], "o_orderkey", "num_orders")
+
+
+@register("a03_count_distinct", """
+SELECT COUNT(DISTINCT l_suppkey) AS num_suppliers,
+       COUNT(DISTINCT CASE WHEN l_returnflag = 'R' THEN l_suppkey END) AS num_suppliers_returned
+FROM lineitem""")
+def a03_count_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = load(spark, sf_dir, "lineitem")
+    return li.agg(F.count_distinct("l_suppkey").alias("num_suppliers"),
+                  F.count_distinct(F.when(F.col("l_returnflag") == "R", F.col("l_suppkey")))
+                   .alias("num_suppliers_returned"))
+
+
+@register("a04_sum_avg_min_max", """
+SELECT CAST(SUM(p_size) AS BIGINT) AS total_size, AVG(p_size) AS avg_size, MIN(p_size) AS min_size,
+       MAX(p_size) AS max_size FROM part""")
+def a04_sum_avg_min_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = load(spark, sf_dir, "part")
+    return p.agg(F.sum("p_size").alias("total_size"), F.avg("p_size").alias("avg_size"),
+                 F.min("p_size").alias("min_size"), F.max("p_size").alias("max_size"))
+
+
+@register("a06_date_range", """
+SELECT MIN(o_orderdate) AS first_order, MAX(o_orderdate) AS last_order FROM orders""")
+def a06_date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = load(spark, sf_dir, "orders")
+    return o.agg(F.min("o_orderdate").alias("first_order"), F.max("o_orderdate").alias("last_order"))
+
+
+@register("a08_group_several_keys", """
+SELECT r.r_name, n.n_name, COUNT(c.c_custkey) AS num_customers
+FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+GROUP BY 1, 2 ORDER BY 1, 3 DESC""")
+def a08_group_several_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = load(spark, sf_dir, "customer")
+    n = load(spark, sf_dir, "nation")
+    r = load(spark, sf_dir, "region")
+    j = c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
+    return count_by(j, ["r_name", "n_name"], "c_custkey", "num_customers").orderBy("r_name", F.desc("num_customers"))
+
+
+@register("a09_group_by_expression", """
+SELECT strftime(ts, '%H:00') AS hour_of_day, COUNT(*) AS num_events,
+       CAST(ROUND(AVG(value)) AS INTEGER) AS avg_value
+FROM events GROUP BY 1""")
+def a09_group_by_expression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = load(spark, sf_dir, "events")
+    return e.groupBy(hour_label("ts").alias("hour_of_day")).agg(
+        F.count(F.lit(1)).alias("num_events"), round_int(F.avg("value")).alias("avg_value"))
+
+
+@register("a10_having", """
+SELECT o_custkey, COUNT(*) AS num_orders FROM orders GROUP BY 1 HAVING COUNT(*) > 15""")
+def a10_having(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = load(spark, sf_dir, "orders")
+    return count_by(o, ["o_custkey"], None, "num_orders").filter(F.col("num_orders") > 15)
+
+
+@register("a12_share_of_total", """
+SELECT c_mktsegment, COUNT(c_custkey) AS num_customers,
+       CAST(ROUND(COUNT(c_custkey) / (SELECT COUNT(c_custkey) FROM customer) * 100) AS INTEGER) AS pct_customers
+FROM customer GROUP BY 1""")
+def a12_share_of_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = load(spark, sf_dir, "customer")
+    return share_of_total(c, ["c_mktsegment"], "c_custkey", "count", "num_customers", "pct_customers")
+
+
+@register("a12_sum_share", """
+SELECT c_mktsegment, ROUND(SUM(c_acctbal), 2) AS balance,
+       CAST(ROUND(SUM(c_acctbal) / (SELECT SUM(c_acctbal) FROM customer) * 100) AS INTEGER) AS pct_balance
+FROM customer GROUP BY 1""")
+def a12_sum_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = load(spark, sf_dir, "customer")
+    out = share_of_total(c, ["c_mktsegment"], "c_acctbal", "sum", "balance", "pct_balance")
+    return out.withColumn("balance", F.round("balance", 2))
+
+
+@register("a18_expressions_over_aggregates", """
+SELECT p_type, CAST(ROUND(COUNT(*) / 2) AS BIGINT) AS half_count, MAX(p_size) - MIN(p_size) AS size_span,
+       CAST(CASE WHEN p_type ILIKE 'pro%' THEN 0 ELSE ROUND(AVG(p_size)) END AS INTEGER) AS avg_size
+FROM part GROUP BY 1""")
+def a18_expressions_over_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = load(spark, sf_dir, "part")
+    avg = F.when(like_ci("p_type", "pro%"), F.lit(0)).otherwise(round_int(F.avg("p_size")))
+    return p.groupBy("p_type").agg(
+        F.round(F.count(F.lit(1)) / F.lit(2)).cast("bigint").alias("half_count"),
+        (F.max("p_size") - F.min("p_size")).alias("size_span"),
+        avg.cast("int").alias("avg_size"))
+
+
+@register("a20_aggregate_of_aggregate", """
+SELECT AVG(num_orders) AS avg_orders_per_customer
+FROM (SELECT o_custkey, COUNT(o_orderkey) AS num_orders FROM orders GROUP BY 1) c""")
+def a20_aggregate_of_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    per = count_by(load(spark, sf_dir, "orders"), ["o_custkey"], "o_orderkey", "num_orders")
+    return per.agg(F.avg("num_orders").alias("avg_orders_per_customer"))
+
+
+@register("w01_rank_over_aggregate", """
+SELECT p_type, CAST(SUM(p_size) AS BIGINT) AS total_size,
+       CAST(RANK() OVER (ORDER BY SUM(p_size) DESC) AS INTEGER) AS size_rank
+FROM part GROUP BY 1""")
+def w01_rank_over_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_groups(load(spark, sf_dir, "part"), "p_type", "p_size", "total_size", "size_rank")
+
+
+@register("w02_rank_within_partition", """
+SELECT p_partkey, p_type, p_size,
+       CAST(RANK() OVER (PARTITION BY p_type ORDER BY p_size DESC) AS INTEGER) AS size_rank,
+       CAST(DENSE_RANK() OVER (PARTITION BY p_type ORDER BY p_size DESC) AS INTEGER) AS size_dense_rank,
+       CAST(ROW_NUMBER() OVER (PARTITION BY p_type ORDER BY p_size DESC, p_partkey) AS INTEGER) AS size_row_number
+FROM part""")
+def w02_rank_within_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = load(spark, sf_dir, "part", ["p_partkey", "p_type", "p_size"])
+    return priority_ranks(p, "p_type", "p_size", "p_partkey", "size_rank", "size_dense_rank", "size_row_number")
+
+
+@register("w05_lead_gap", """
+SELECT o_custkey, COUNT(o_orderkey) AS num_orders,
+       COUNT(o_orderkey) - LEAD(COUNT(o_orderkey)) OVER (ORDER BY COUNT(o_orderkey) DESC, o_custkey) AS lead_diff
+FROM orders GROUP BY 1""")
+def w05_lead_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    per = count_by(load(spark, sf_dir, "orders"), ["o_custkey"], "o_orderkey", "num_orders")
+    return lead_gap(per, "o_custkey", "num_orders", "next_orders", "lead_diff").select(
+        "o_custkey", "num_orders", "lead_diff")
+
+
+@register("w06_max_over_partition", """
+SELECT o_orderkey, o_custkey, o_totalprice, MAX(o_totalprice) OVER (PARTITION BY o_custkey) AS max_price
+FROM orders""")
+def w06_max_over_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = load(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_totalprice"])
+    return with_group_max(o, ["o_custkey"], "o_totalprice", "max_price") \
+        .select("o_orderkey", "o_custkey", "o_totalprice", "max_price")
+
+
+@register("w07_latest_visit", """
+SELECT location_id, record_id, visit_count FROM visits v
+WHERE visit_count = (SELECT MAX(visit_count) FROM visits v2 WHERE v2.location_id = v.location_id)""")
+def w07_latest_visit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = survey_tables(spark, sf_dir).visits.select("location_id", "record_id", "visit_count")
+    return latest_per_key(v, "location_id", "visit_count")
+
+
+@register("o01_order_ascending", "SELECT p_partkey, p_retailprice FROM part ORDER BY p_retailprice, p_partkey")
+def o01_order_ascending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load(spark, sf_dir, "part", ["p_partkey", "p_retailprice"]).orderBy("p_retailprice", "p_partkey")
+
+
+@register("o02_order_descending", """
+SELECT p_type, CAST(SUM(p_size) AS BIGINT) AS total_size FROM part GROUP BY 1 ORDER BY 2 DESC""")
+def o02_order_descending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = load(spark, sf_dir, "part")
+    return p.groupBy("p_type").agg(F.sum("p_size").alias("total_size")).orderBy(F.desc("total_size"))
+
+
+@register("o04_top_k", """
+SELECT l_suppkey, COUNT(l_suppkey) AS num_lines FROM lineitem GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 3""")
+def o04_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(load(spark, sf_dir, "lineitem", ["l_suppkey"]), "l_suppkey", 3, "num_lines")
