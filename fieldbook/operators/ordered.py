@@ -10,13 +10,15 @@ by *range* instead:
 2. one vectorised pass per partition (``mapInPandas`` over Arrow batches,
    sorted by ``sortWithinPartitions``) computes the partition-local running
    total; the partition id is kept with each row.
-3. the result is checkpointed to the shared checkpoint folder, which pins the
-   partition ids (a re-sampled range partitioner could otherwise move rows)
-   and cuts the lineage.
+3. the result is written once as Parquet under the shared checkpoint folder,
+   which pins the partition ids (a re-sampled range partitioner could
+   otherwise move rows), cuts the lineage, and keeps later reads columnar
+   (pruning and filter push-down still work on the stored table).
 4. per (partition, group) totals are summed over earlier partitions.  Only
    the first group of a partition can continue from an earlier partition, so
    the non-zero offsets number at most one per partition: a size bound that
-   makes the broadcast join back safe at any data size.
+   makes the broadcast join back safe at any data size.  The offsets are
+   checkpointed too, so readers of the result only pay a map-side join.
 
 Ties inside ``order`` are broken by the caller's ``tiebreak`` columns; ranks
 are derived from the row numbers through the (smaller) table of distinct
@@ -44,6 +46,15 @@ def _n_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _pin(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back (a cut, columnar lineage)."""
+    from fieldbook.sources.io import shared_path
+
+    path = shared_path(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _sort_exprs(order: Sequence[str], descending: bool | Sequence[bool]) -> list[Column]:
     if isinstance(descending, bool):
         descending = [descending] * len(order)
@@ -133,18 +144,20 @@ def running_total(df: DataFrame, by: Sequence[str], order: Sequence[str], out: s
         T.StructField(LOCAL, local_type, True),
         T.StructField(PID, T.IntegerType(), False),
     ])
-    local = staged.mapInPandas(_local_running(by, weight), schema).checkpoint(eager=True)
+    local = _pin(staged.mapInPandas(_local_running(by, weight), schema), "running")
 
     seg = local.groupBy(PID, *by).agg(F.max(LOCAL).alias(SEG))
     earlier = (Window.partitionBy(*by) if by else Window).orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
-    offs = (seg.select(PID, *[F.col(b).alias(f"_fb_k{i}") for i, b in enumerate(by)],
+    offs = (seg.select(F.col(PID).alias("_fb_opid"), *[F.col(b).alias(f"_fb_k{i}") for i, b in enumerate(by)],
                        F.sum(SEG).over(earlier).alias(OFF))
-            .filter(F.col(OFF) != 0))
+            .filter(F.col(OFF) != 0)).checkpoint(eager=True)
     # At most one continuing group per range partition: |offs| <= n, so broadcast is bounded.
-    cond = [local[PID] == offs[PID]] + [local[b].eqNullSafe(offs[f"_fb_k{i}"]) for i, b in enumerate(by)]
+    cond = F.col(PID) == F.col("_fb_opid")
+    for i, b in enumerate(by):
+        cond = cond & F.col(b).eqNullSafe(F.col(f"_fb_k{i}"))
     joined = local.join(F.broadcast(offs), cond, "left")
-    total = (local[LOCAL] + F.coalesce(offs[OFF], F.lit(0))).cast(local_type).alias(out)
-    return joined.select(*[local[c] for c in df.columns], total)
+    total = (F.col(LOCAL) + F.coalesce(F.col(OFF), F.lit(0))).cast(local_type).alias(out)
+    return joined.select(*[F.col(c) for c in df.columns], total)
 
 
 def row_number_within(df: DataFrame, by: Sequence[str], order: Sequence[str], out: str,
@@ -176,12 +189,14 @@ def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[str],
         ties = row_number_within(ties, by, order, "_fb_dense", descending)
     renamed = ties.select(*[F.col(k).alias(f"_fb_t{i}") for i, k in enumerate(keys)],
                           *[c for c in ("_fb_rank", "_fb_dense") if c in ties.columns])
-    cond = [numbered[k].eqNullSafe(renamed[f"_fb_t{i}"]) for i, k in enumerate(keys)]
-    out_cols = [numbered[c] for c in numbered.columns if row_number is not None or c != rn]
+    cond = F.lit(True)
+    for i, k in enumerate(keys):
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_fb_t{i}"))
+    out_cols = [F.col(c) for c in numbered.columns if row_number is not None or c != rn]
     if rank is not None:
-        out_cols.append(renamed["_fb_rank"].cast("int").alias(rank))
+        out_cols.append(F.col("_fb_rank").cast("int").alias(rank))
     if dense_rank is not None:
-        out_cols.append(renamed["_fb_dense"].cast("int").alias(dense_rank))
+        out_cols.append(F.col("_fb_dense").cast("int").alias(dense_rank))
     return numbered.join(renamed, cond, "inner").select(*out_cols)
 
 
@@ -257,7 +272,7 @@ def lead_within(df: DataFrame, by: Sequence[str], order: Sequence[str], value: s
         T.StructField(LAST, T.BooleanType(), False),
         T.StructField(FIRST, T.BooleanType(), False),
     ])
-    local = staged.mapInPandas(_local_lead(by, value), schema).checkpoint(eager=True)
+    local = _pin(staged.mapInPandas(_local_lead(by, value), schema), "lead")
 
     # first row of every non-empty partition, and the one after it in range order
     firsts = (local.filter(F.col(FIRST))
@@ -267,12 +282,12 @@ def lead_within(df: DataFrame, by: Sequence[str], order: Sequence[str], value: s
         F.col(PID).alias("_fb_p"),
         *[F.lead(f"_fb_k{i}").over(nxt).alias(f"_fb_n{i}") for i in range(len(by))],
         F.lead(F.col(PID)).over(nxt).alias("_fb_np"),
-        F.lead("_fb_v").over(nxt).alias("_fb_nv"))
-    cond = (local[PID] == bnd["_fb_p"]) & local[LAST]
+        F.lead("_fb_v").over(nxt).alias("_fb_nv")).checkpoint(eager=True)
+    cond = (F.col(PID) == F.col("_fb_p")) & F.col(LAST)
     joined = local.join(F.broadcast(bnd), cond, "left")
     same_group = F.lit(True)
     for i, b in enumerate(by):
-        same_group = same_group & local[b].eqNullSafe(bnd[f"_fb_n{i}"])
-    boundary = F.when(bnd["_fb_np"].isNotNull() & same_group, bnd["_fb_nv"])
-    result = F.when(local[LAST], boundary).otherwise(local[NEXT]).cast(vtype).alias(out)
-    return joined.select(*[local[c] for c in df.columns], result)
+        same_group = same_group & F.col(b).eqNullSafe(F.col(f"_fb_n{i}"))
+    boundary = F.when(F.col("_fb_np").isNotNull() & same_group, F.col("_fb_nv"))
+    result = F.when(F.col(LAST), boundary).otherwise(F.col(NEXT)).cast(vtype).alias(out)
+    return joined.select(*[F.col(c) for c in df.columns], result)
