@@ -20,9 +20,9 @@ by *range* instead:
    makes the broadcast join back safe at any data size.  The offsets are
    checkpointed too, so readers of the result only pay a map-side join.
 
-Ties inside ``order`` are broken by the caller's ``tiebreak`` columns; ranks
-are derived from the row numbers through the (smaller) table of distinct
-order values.
+Ties inside ``order`` are broken by the caller's ``tiebreak`` columns for
+row numbers; ranks and dense ranks come from the same pass (tie runs are
+numbered locally and stitched across partition boundaries).
 """
 
 from __future__ import annotations
@@ -40,6 +40,9 @@ OFF = "_fb_off"
 LAST = "_fb_last"
 FIRST = "_fb_first"
 NEXT = "_fb_next"
+RN = "_fb_rn"
+RSTART = "_fb_rstart"
+DENSE = "_fb_dense"
 
 
 def _n_partitions(df: DataFrame) -> int:
@@ -167,37 +170,120 @@ def row_number_within(df: DataFrame, by: Sequence[str], order: Sequence[str], ou
     return res.withColumn(out, F.col(out).cast("int"))
 
 
+def _local_ranks(by: list[str], order: list[str]):
+    """Per sorted partition: local row number, start of the current tie run, local dense rank."""
+    def run(batches):
+        import numpy as np
+        import pandas as pd
+        from pyspark import TaskContext
+
+        pid = TaskContext.get().partitionId()
+        prev_key = prev_ord = None
+        prev_rn = prev_start = prev_dense = 0
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            if by:
+                same_group = _same_as_prev(pdf[by], prev_key)
+            else:
+                same_group = pd.Series(True, index=pdf.index)
+                same_group.iloc[0] = prev_ord is not None
+            same_order = _same_as_prev(pdf[order], prev_ord)
+            new_group = ~same_group
+            new_run = new_group | ~same_order
+            gseg = new_group.cumsum()
+            first_seg = gseg == gseg.iloc[0]
+            carry = not bool(new_group.iloc[0])
+
+            rn = pd.Series(1, index=pdf.index, dtype="int64").groupby(gseg).cumsum()
+            dense = new_run.astype("int64").groupby(gseg).cumsum()
+            if carry:
+                rn = rn.where(~first_seg, rn + prev_rn)
+                dense = dense.where(~first_seg, dense + prev_dense)
+            start = rn.where(new_run).astype("float64")
+            if not bool(new_run.iloc[0]):
+                start.iloc[0] = prev_start
+            start = start.ffill().astype(np.int64)
+
+            pdf[RN] = rn
+            pdf[RSTART] = start
+            pdf[DENSE] = dense
+            pdf[PID] = pid
+            prev_key = pdf[by].iloc[-1] if by else None
+            prev_ord = pdf[order].iloc[-1]
+            prev_rn, prev_start, prev_dense = int(rn.iloc[-1]), int(start.iloc[-1]), int(dense.iloc[-1])
+            yield pdf
+
+    return run
+
+
 def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[str],
                 descending: bool | Sequence[bool] = False, tiebreak: Sequence[str] = (),
                 rank: str | None = None, dense_rank: str | None = None,
                 row_number: str | None = None) -> DataFrame:
-    """``RANK`` / ``DENSE_RANK`` / ``ROW_NUMBER`` over ``PARTITION BY by ORDER BY order``.
-
-    Row numbers come from :func:`running_total`; a tie group's rank is its
-    smallest row number; dense ranks number the distinct order values.  The
-    per-tie-group table is aggregated before it is joined back, so adaptive
-    execution can broadcast it when small or split a hot key when not.
+    """``RANK`` / ``DENSE_RANK`` / ``ROW_NUMBER`` over ``PARTITION BY by ORDER BY order`` in one pass.
+
+    One range-partitioned, sorted pass numbers rows, tie runs and distinct
+    values inside each partition.  A group split over several partitions is
+    then fixed up from a per-(partition, group) summary: row offsets, distinct
+    values seen before, and whether the partition's first tie run continues
+    the previous partition's last one (its rank then comes from where that run
+    began, resolved across any number of partitions).  Only the first group of
+    a partition can need a fix-up, so the correction table has at most one
+    row per partition and is broadcast with that bound.  ``tiebreak`` orders
+    rows inside a tie for ``ROW_NUMBER`` only.
     """
     by, order = list(by), list(order)
-    rn = row_number or "_fb_rn"
-    numbered = row_number_within(df, by, order, rn, descending, tiebreak)
-    if rank is None and dense_rank is None:
-        return numbered
-    keys = by + order
-    ties = numbered.groupBy(*keys).agg(F.min(rn).alias("_fb_rank"))
-    if dense_rank is not None:
-        ties = row_number_within(ties, by, order, "_fb_dense", descending)
-    renamed = ties.select(*[F.col(k).alias(f"_fb_t{i}") for i, k in enumerate(keys)],
-                          *[c for c in ("_fb_rank", "_fb_dense") if c in ties.columns])
-    cond = F.lit(True)
-    for i, k in enumerate(keys):
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_fb_t{i}"))
-    out_cols = [F.col(c) for c in numbered.columns if row_number is not None or c != rn]
+    sort_cols = [F.col(b).asc_nulls_first() for b in by] + _sort_exprs(order, descending) + \
+        [F.col(t).asc_nulls_first() for t in tiebreak]
+    n = _n_partitions(df)
+    staged = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
+    schema = T.StructType(list(df.schema.fields) + [
+        T.StructField(RN, T.LongType(), False),
+        T.StructField(RSTART, T.LongType(), False),
+        T.StructField(DENSE, T.LongType(), False),
+        T.StructField(PID, T.IntegerType(), False),
+    ])
+    local = _pin(staged.mapInPandas(_local_ranks(by, order), schema), "ranks")
+
+    summary = local.groupBy(PID, *by).agg(
+        F.max(RN).alias("_fb_cnt"), F.max(DENSE).alias("_fb_runs"),
+        F.max_by(F.col(RSTART), F.col(RN)).alias("_fb_last_start"),
+        *[F.min_by(F.col(o), F.col(RN)).alias(f"_fb_first{i}") for i, o in enumerate(order)],
+        *[F.max_by(F.col(o), F.col(RN)).alias(f"_fb_last{i}") for i, o in enumerate(order)])
+    chunks = (Window.partitionBy(*by) if by else Window).orderBy(PID)
+    before = chunks.rowsBetween(Window.unboundedPreceding, -1)
+    upto = chunks.rowsBetween(Window.unboundedPreceding, 0)
+    cont = F.lag(F.lit(True)).over(chunks).isNotNull()
+    for i in range(len(order)):
+        cont = cont & F.col(f"_fb_first{i}").eqNullSafe(F.lag(f"_fb_last{i}").over(chunks))
+    rn_off = F.coalesce(F.sum("_fb_cnt").over(before), F.lit(0))
+    fixed = summary.select(PID, *by, "_fb_cnt", "_fb_runs", "_fb_last_start",
+                           rn_off.alias("_fb_rn_off"), cont.alias("_fb_cont"))
+    anchor = F.when(~((F.col("_fb_runs") == 1) & F.col("_fb_cont")), F.col("_fb_rn_off") + F.col("_fb_last_start"))
+    fixed = fixed.select(
+        F.col(PID).alias("_fb_opid"), *[F.col(b).alias(f"_fb_k{i}") for i, b in enumerate(by)],
+        "_fb_rn_off", "_fb_cont",
+        (F.coalesce(F.sum("_fb_runs").over(before), F.lit(0)) -
+         F.sum(F.col("_fb_cont").cast("long")).over(upto)).alias("_fb_dense_off"),
+        F.last(anchor, ignorenulls=True).over(before).alias("_fb_cont_rank"))
+    # Only a partition's first group can have earlier chunks: at most one row per partition.
+    fixed = fixed.filter(F.col("_fb_rn_off") > 0).checkpoint(eager=True)
+
+    cond = F.col(PID) == F.col("_fb_opid")
+    for i, b in enumerate(by):
+        cond = cond & F.col(b).eqNullSafe(F.col(f"_fb_k{i}"))
+    joined = local.join(F.broadcast(fixed), cond, "left")
+    out_cols = [F.col(c) for c in df.columns]
+    if row_number is not None:
+        out_cols.append((F.col(RN) + F.coalesce(F.col("_fb_rn_off"), F.lit(0))).cast("int").alias(row_number))
     if rank is not None:
-        out_cols.append(F.col("_fb_rank").cast("int").alias(rank))
+        continued = F.coalesce(F.col("_fb_cont"), F.lit(False)) & (F.col(DENSE) == 1)
+        own = F.col(RSTART) + F.coalesce(F.col("_fb_rn_off"), F.lit(0))
+        out_cols.append(F.when(continued, F.col("_fb_cont_rank")).otherwise(own).cast("int").alias(rank))
     if dense_rank is not None:
-        out_cols.append(F.col("_fb_dense").cast("int").alias(dense_rank))
-    return numbered.join(renamed, cond, "inner").select(*out_cols)
+        out_cols.append((F.col(DENSE) + F.coalesce(F.col("_fb_dense_off"), F.lit(0))).cast("int").alias(dense_rank))
+    return joined.select(*out_cols)
 
 
 def _local_lead(by: list[str], value: str):

@@ -69,3 +69,23 @@ def test_lead_global(skewed):
 def test_empty_input(spark):
     empty = spark.createDataFrame([], "id long, g string, v int")
     assert row_number_within(empty, ["g"], ["v"], "rn").count() == 0
+
+
+def test_tie_run_spanning_many_partitions_and_batches(spark):
+    # one group, one order value for most rows: a tie run covering whole range partitions
+    rows = [(i, "g" if i % 10 else "h", 5 if i < 2500 else i % 7, None if i % 97 == 0 else i % 3)
+            for i in range(4000)]
+    df = spark.createDataFrame(rows, "id long, g string, v int, n int")
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        for order, desc in ((["v"], True), (["v", "n"], False)):
+            spec = [F.col(c).desc() if desc else F.col(c).asc() for c in order]
+            w = Window.partitionBy("g").orderBy(*spec)
+            want = (df.withColumn("r", F.rank().over(w)).withColumn("d", F.dense_rank().over(w))
+                      .withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy(*spec, "id"))))
+            got = rank_within(df, ["g"], order, descending=desc, tiebreak=["id"], rank="r", dense_rank="d",
+                              row_number="rn")
+            assert _as_set(got, ["id", "r", "d", "rn"]) == _as_set(want, ["id", "r", "d", "rn"])
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)

@@ -46,6 +46,21 @@ def canon(v):
     return str(v)
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN", "smallint": "SMALLINT",
+                 "float": "FLOAT", "tinyint": "TINYINT"}
+
+
+def type_diffs(scols, stypes, ocols, otypes):
+    duck = dict(zip(ocols, otypes))
+    out = []
+    for c, t in zip(scols, stypes):
+        want = SPARK_TO_DUCK.get(t, t)
+        if c in duck and duck[c] != want:
+            out.append((c, t, duck[c]))
+    return out
+
+
 def digest(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     lines = sorted("|".join(canon(r[i]) for i in order) for r in rows)
@@ -103,6 +118,10 @@ def main():
         ok = len(srows) == len(orows) and sorted(scols) == sorted(ocols) and sh == oh
         rec["status"] = "OK" if ok else "MISMATCH"
         rec["types"] = list(zip(scols, stypes))
+        td = type_diffs(scols, stypes, ocols, otypes)
+        if td:
+            rec["type_diffs"] = td
+            print("   TYPE DIFF", td)
         print(f"{name:40s} rows={len(srows):6d}/{len(orows):6d} {rec['status']} {rec['spark_sec']}s", flush=True)
         if not ok:
             if sorted(scols) != sorted(ocols):
@@ -113,7 +132,8 @@ def main():
             print("   types", list(zip(scols, stypes)), list(zip(ocols, otypes)))
         results[name] = rec
     bad = [k for k, v in results.items() if v["status"] not in ("OK", "no oracle")]
-    print(json.dumps({"checked": len(results), "bad": bad}))
+    typed = [k for k, v in results.items() if v.get("type_diffs")]
+    print(json.dumps({"checked": len(results), "bad": bad, "type_diffs": typed}))
     spark.stop()
 
 
