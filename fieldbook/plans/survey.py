@@ -73,10 +73,13 @@ def population_pct_diff(ws: DataFrame) -> DataFrame:
 
 def queue_pivot(visits: DataFrame) -> DataFrame:
     """K-12: average non-zero queue by hour label (rows) and weekday (columns)."""
-    v = visits.filter(F.col("time_in_queue") != 0)
-    day = weekday_name("time_of_record")
+    # weekday and hour are formatted once per row, below the aggregate
+    v = (visits.filter(F.col("time_in_queue") != 0)
+               .select(hour_label("time_of_record").alias("hour_of_day"),
+                       weekday_name("time_of_record").alias("_day"), "time_in_queue"))
+    day = F.col("_day")
     values = [(d, like_ci(day, f"%{d}%")) for d in WEEKDAYS]
-    return pivot_avg(v, hour_label("time_of_record"), day, values, "time_in_queue", "hour_of_day")
+    return pivot_avg(v, "hour_of_day", day, values, "time_in_queue", "hour_of_day")
 
 
 def queue_average(visits: DataFrame, grain) -> DataFrame:
