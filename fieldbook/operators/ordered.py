@@ -45,8 +45,17 @@ RSTART = "_fb_rstart"
 DENSE = "_fb_dense"
 
 
+RANGE_PARTITIONS_CONF = "fieldbook.rangePartitions"
+
+
 def _n_partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Range partitions for an ordered pass: ``fieldbook.rangePartitions`` if set, else the shuffle partitions.
+
+    Size it so one partition is about 128 MB of input; the boundary tables
+    have at most this many rows, so even 100 000 partitions broadcast cheaply.
+    """
+    conf = df.sparkSession.conf
+    return int(conf.get(RANGE_PARTITIONS_CONF, None) or conf.get("spark.sql.shuffle.partitions"))
 
 
 def _pin(df: DataFrame, name: str) -> DataFrame:
