@@ -160,3 +160,18 @@ WHERE q.subjective_quality_score = 10 AND q.visit_count > 1 AND ws.type_of_water
 def k15_top_score_repeat_home(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = top_quality_repeats(_t(spark, sf_dir), 10).filter(like_ci("type_of_water_source", "%home%"))
     return rows.agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("s01_scan_location", "SELECT * FROM location")
+def s01_scan_location(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir).location
+
+
+@register("f15_source_types", "SELECT DISTINCT type_of_water_source FROM water_source")
+def f15_source_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return distinct_values(_t(spark, sf_dir).water_source, "type_of_water_source")
+
+
+@register("f01_auditor_scores", "SELECT location_id, true_water_source_score FROM auditor_report")
+def f01_auditor_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir).auditor_report.select("location_id", "true_water_source_score")

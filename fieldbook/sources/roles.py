@@ -191,13 +191,14 @@ class SurveyTables:
         return self._get("global_water_access", lambda: global_water_access(self.spark, self.sf_dir))
 
 
-_TABLES: dict[tuple[int, str], SurveyTables] = {}
+_TABLES: dict[tuple[str, int, str], SurveyTables] = {}
 _TABLES_LOCK = threading.Lock()
 
 
 def survey_tables(spark: SparkSession, sf_dir: str) -> SurveyTables:
     """Per-session cache of the survey tables (the reference keeps them as stored tables)."""
-    key = (id(spark._jsparkSession), sf_dir)
+    # application id changes with every SparkContext, so a restarted session never sees stale frames
+    key = (spark.sparkContext.applicationId, spark._jsparkSession.hashCode(), sf_dir)
     with _TABLES_LOCK:
         if key not in _TABLES:
             _TABLES[key] = SurveyTables(spark, sf_dir)
