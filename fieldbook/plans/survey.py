@@ -12,7 +12,7 @@ from fieldbook.operators.ordered import rank_within
 from fieldbook.operators.relational import count_by, pivot_avg, semi, share_of_total, top_k
 from fieldbook.operators.windows import priority_ranks
 from fieldbook.plans.registry import register
-from fieldbook.sources.roles import EMAIL_DOMAIN, survey_tables
+from fieldbook.sources.roles import EMAIL_DOMAIN, SOURCE_TYPES, survey_tables
 from fieldbook.sources.schemas import QUEUE_PIVOT_COLUMNS
 from fieldbook.sources.tables import load
 
@@ -30,8 +30,10 @@ def served_by_type(ws: DataFrame) -> DataFrame:
         F.sum("number_of_people_served").alias("population_served"))
     share = F.try_divide(F.col("population_served").cast("double"), total.cast("double")) * F.lit(100.0)
     per_type = per_type.withColumn("percentage_people_per_source", round_int(share))
+    # one row per source type: the CASE that derives the type has a fixed five-value domain
     return rank_within(per_type, [], ["population_served"], descending=True,
-                       tiebreak=["type_of_water_source"], rank="rank_by_population")
+                       tiebreak=["type_of_water_source"], rank="rank_by_population",
+                       max_rows=len(SOURCE_TYPES))
 
 
 def normalised_source_counts(ws: DataFrame, household: int = 6) -> DataFrame:
