@@ -21,9 +21,10 @@ def check_unique(df: DataFrame, keys: Sequence[str], out: str = "n_rows") -> Dat
 def check_reference(df: DataFrame, ref: DataFrame, key: str, ref_key: str | None = None) -> DataFrame:
     """Rows whose non-NULL ``key`` is missing from ``ref`` (C-2, a foreign key)."""
     ref_key = ref_key or key
-    keys = ref.select(F.col(ref_key).alias("_fb_ref")).filter(F.col("_fb_ref").isNotNull())
+    # distinct first: partial aggregation collapses repeated reference keys before the shuffle
+    keys = ref.select(F.col(ref_key).alias("_fb_ref")).filter(F.col("_fb_ref").isNotNull()).distinct()
     present = df.filter(F.col(key).isNotNull())
-    return present.join(keys, present[key] == keys["_fb_ref"], "left_anti")
+    return present.join(keys, F.col(key) == F.col("_fb_ref"), "left_anti")
 
 
 def check_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -71,11 +71,20 @@ def with_group_max(df: DataFrame, keys: Sequence[str], measure: str, out: str) -
     return df.join(maxima, list(keys), "inner")
 
 
+def _distinct_keys(other: DataFrame, key: str) -> DataFrame:
+    """The key column of ``other`` without repeats.
+
+    The distinct is a hash aggregate with a map-side partial step, so a key
+    held by a third of ``other`` shrinks to one row per map task before the
+    shuffle, instead of landing whole in the join task of that key.
+    """
+    return other.select(F.col(key).alias("_fb_key")).distinct()
+
+
 def semi(df: DataFrame, other: DataFrame, left_key: str, right_key: str | None = None) -> DataFrame:
     """``WHERE key IN (SELECT key FROM other)`` as a left semi-join (J-9)."""
-    right_key = right_key or left_key
-    keys = other.select(F.col(right_key).alias("_fb_key"))
-    return df.join(keys, df[left_key] == keys["_fb_key"], "left_semi")
+    keys = _distinct_keys(other, right_key or left_key)
+    return df.join(keys, F.col(left_key) == F.col("_fb_key"), "left_semi")
 
 
 def not_in(df: DataFrame, other: DataFrame, left_key: str, right_key: str | None = None) -> DataFrame:
@@ -86,11 +95,10 @@ def not_in(df: DataFrame, other: DataFrame, left_key: str, right_key: str | None
     ``other`` is empty.  Both facts are scalar subqueries (run once), and the
     anti-join itself stays a shuffled or broadcast join chosen by size.
     """
-    right_key = right_key or left_key
-    keys = other.select(F.col(right_key).alias("_fb_key"))
+    keys = _distinct_keys(other, right_key or left_key)
     any_rows = keys.exists()
     any_null = keys.filter(F.col("_fb_key").isNull()).exists()
-    anti = df.join(keys, df[left_key] == keys["_fb_key"], "left_anti")
+    anti = df.join(keys, F.col(left_key) == F.col("_fb_key"), "left_anti")
     return anti.filter((~any_rows) | (F.col(left_key).isNotNull() & ~any_null))
 
 
