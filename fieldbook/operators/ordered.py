@@ -77,6 +77,18 @@ def _sort_exprs(order: Sequence[str], descending: bool | Sequence[bool]) -> list
     return out
 
 
+def range_sorted(df: DataFrame, by: Sequence[str], order: Sequence[str],
+                 descending: bool | Sequence[bool] = False, tiebreak: Sequence[str] = ()) -> DataFrame:
+    """Range-partition on (by, order, tiebreak) and sort each partition: the shared first stage.
+
+    Range bounds are sampled from the data, so a group holding a third of the
+    rows is cut into many contiguous slices instead of one partition.
+    """
+    sort_cols = [F.col(b).asc_nulls_first() for b in by] + _sort_exprs(list(order), descending) + \
+        [F.col(t).asc_nulls_first() for t in tiebreak]
+    return df.repartitionByRange(_n_partitions(df), *sort_cols).sortWithinPartitions(*sort_cols)
+
+
 def _same_as_prev(keys, prev_row) -> "object":
     """Boolean Series: row i has the same key as row i-1 (row 0 compared with ``prev_row``)."""
     import pandas as pd
@@ -143,10 +155,7 @@ def running_total(df: DataFrame, by: Sequence[str], order: Sequence[str], out: s
     output keeps every input column and adds ``out``.
     """
     by = list(by)
-    sort_cols = [F.col(b).asc_nulls_first() for b in by] + _sort_exprs(order, descending) + \
-        [F.col(t).asc_nulls_first() for t in tiebreak]
-    n = _n_partitions(df)
-    staged = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
+    staged = range_sorted(df, by, order, descending, tiebreak)
 
     if weight is None or isinstance(df.schema[weight].dataType, T.IntegralType):
         local_type: T.DataType = T.LongType()
@@ -265,10 +274,7 @@ def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[str],
     by, order = list(by), list(order)
     if max_rows is not None and max_rows <= 10_000:
         return _window_ranks(df, by, order, descending, list(tiebreak), rank, dense_rank, row_number)
-    sort_cols = [F.col(b).asc_nulls_first() for b in by] + _sort_exprs(order, descending) + \
-        [F.col(t).asc_nulls_first() for t in tiebreak]
-    n = _n_partitions(df)
-    staged = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
+    staged = range_sorted(df, by, order, descending, tiebreak)
     schema = T.StructType(list(df.schema.fields) + [
         T.StructField(RN, T.LongType(), False),
         T.StructField(RSTART, T.LongType(), False),
@@ -378,10 +384,7 @@ def lead_within(df: DataFrame, by: Sequence[str], order: Sequence[str], value: s
     partition, so it is broadcast with a proven bound.
     """
     by = list(by)
-    sort_cols = [F.col(b).asc_nulls_first() for b in by] + _sort_exprs(order, descending) + \
-        [F.col(t).asc_nulls_first() for t in tiebreak]
-    n = _n_partitions(df)
-    staged = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
+    staged = range_sorted(df, by, order, descending, tiebreak)
     vtype = df.schema[value].dataType
     schema = T.StructType(list(df.schema.fields) + [
         T.StructField(NEXT, vtype, True),

@@ -89,3 +89,18 @@ def test_tie_run_spanning_many_partitions_and_batches(spark):
             assert _as_set(got, ["id", "r", "d", "rn"]) == _as_set(want, ["id", "r", "d", "rn"])
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_range_stage_spreads_a_hot_group(spark):
+    from fieldbook.operators.ordered import range_sorted
+
+    # location 7 holds a third of the visits
+    rows = [(i, 7 if i % 3 == 0 else i % 500, i * 13 % 10007) for i in range(30000)]
+    df = spark.createDataFrame(rows, "record_id long, location_id long, t long")
+    staged = range_sorted(df, ["location_id"], ["t"], tiebreak=["record_id"])
+    per_part = staged.groupBy(F.spark_partition_id().alias("p")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("location_id") == 7, 1).otherwise(0)).alias("hot"))
+    parts = per_part.collect()
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert max(r.n for r in parts) < 2.0 * 30000 / n_parts          # no partition holds the hot group
+    assert sum(1 for r in parts if r.hot > 0) >= n_parts // 3       # the hot group spans several partitions
