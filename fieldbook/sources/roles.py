@@ -7,8 +7,8 @@ The same expressions exist as SQL in :mod:`fieldbook.plans.oracle` for the
 DuckDB oracle.
 
 Every frame is lazy except ``visits``, whose per-location visit ordinal is
-computed once with the skew-safe ordinal helper and checkpointed: it is the
-survey's base fact table, read by most jobs.
+computed once with the skew-safe ordinal helper and stored as Parquet in the
+shared folder: it is the survey's base fact table, read by most jobs.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldbook.operators.ordered import row_number_within
+from fieldbook.sources.io import snapshot
 from fieldbook.sources.tables import load
 
 # Fixed values of the survey domain (the reference's categories and labels).
@@ -110,8 +111,9 @@ def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     numbered = row_number_within(visits_unnumbered(spark, sf_dir), ["location_id"],
                                  ["time_of_record"], "visit_count", tiebreak=["record_id"])
-    return numbered.select("record_id", "location_id", "source_id", "time_of_record",
-                           "visit_count", "time_in_queue", "assigned_employee_id")
+    # stored once: every job reads it, and first-visit filters then reach the Parquet scan
+    return snapshot(numbered.select("record_id", "location_id", "source_id", "time_of_record",
+                                    "visit_count", "time_in_queue", "assigned_employee_id"), "visits")
 
 
 def water_quality(visits_df: DataFrame) -> DataFrame:
