@@ -235,6 +235,14 @@ def _local_ranks(by: list[str], order: list[str]):
     return run
 
 
+SMALL_ROWS = 100_000
+
+
+def _is_small(df: DataFrame, small_rows: int | None) -> bool:
+    """Count the input (one job) when the caller expects it to be small, e.g. aggregated rows."""
+    return small_rows is not None and df.count() <= min(small_rows, SMALL_ROWS)
+
+
 def _window_ranks(df: DataFrame, by: list[str], order: list[str], descending, tiebreak,
                   rank: str | None, dense_rank: str | None, row_number: str | None) -> DataFrame:
     """Spark's own window functions, for inputs whose row count has a proven small bound."""
@@ -254,7 +262,8 @@ def _window_ranks(df: DataFrame, by: list[str], order: list[str], descending, ti
 def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[str],
                 descending: bool | Sequence[bool] = False, tiebreak: Sequence[str] = (),
                 rank: str | None = None, dense_rank: str | None = None,
-                row_number: str | None = None, max_rows: int | None = None) -> DataFrame:
+                row_number: str | None = None, max_rows: int | None = None,
+                small_rows: int | None = None) -> DataFrame:
     """``RANK`` / ``DENSE_RANK`` / ``ROW_NUMBER`` over ``PARTITION BY by ORDER BY order`` in one pass.
 
     One range-partitioned, sorted pass numbers rows, tie runs and distinct
@@ -270,9 +279,12 @@ def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[str],
     ``max_rows`` is for callers that can prove the input is tiny, e.g. one row
     per value of a fixed five-value domain: such inputs use Spark's window
     functions directly, which cost one small single-partition step.
+    ``small_rows`` asks for a size check instead: the input is counted, and
+    only if it has at most that many rows (capped at ``SMALL_ROWS``) does the
+    window path run; larger inputs take the range-partitioned pass.
     """
     by, order = list(by), list(order)
-    if max_rows is not None and max_rows <= 10_000:
+    if (max_rows is not None and max_rows <= SMALL_ROWS) or _is_small(df, small_rows):
         return _window_ranks(df, by, order, descending, list(tiebreak), rank, dense_rank, row_number)
     staged = range_sorted(df, by, order, descending, tiebreak)
     schema = T.StructType(list(df.schema.fields) + [
@@ -376,14 +388,21 @@ def _local_lead(by: list[str], value: str):
 
 
 def lead_within(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, out: str,
-                descending: bool | Sequence[bool] = False, tiebreak: Sequence[str] = ()) -> DataFrame:
+                descending: bool | Sequence[bool] = False, tiebreak: Sequence[str] = (),
+                small_rows: int | None = None) -> DataFrame:
     """``LEAD(value, 1) OVER (PARTITION BY by ORDER BY order, tiebreak)``; NULL after the last row.
 
     Each partition's last row takes its next value from the first row of the
     next non-empty range partition; that boundary table has one row per
-    partition, so it is broadcast with a proven bound.
+    partition, so it is broadcast with a proven bound.  ``small_rows`` works
+    as in :func:`rank_within`: a counted input of at most that many rows uses
+    Spark's ``lead`` window directly.
     """
     by = list(by)
+    if _is_small(df, small_rows):
+        w = (Window.partitionBy(*by) if by else Window).orderBy(
+            *_sort_exprs(list(order), descending), *[F.col(t).asc_nulls_first() for t in tiebreak])
+        return df.withColumn(out, F.lead(F.col(value)).over(w))
     staged = range_sorted(df, by, order, descending, tiebreak)
     vtype = df.schema[value].dataType
     schema = T.StructType(list(df.schema.fields) + [

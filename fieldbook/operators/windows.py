@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldbook.operators.ordered import lead_within, rank_within
+from fieldbook.operators.ordered import SMALL_ROWS, lead_within, rank_within
 from fieldbook.operators.relational import with_group_max
 
 
@@ -18,7 +18,9 @@ def rank_groups(df: DataFrame, key: str, measure: str, out_measure: str, out_ran
     range-partitioned one, so a large number of groups is not sent to one task.
     """
     agg = df.groupBy(key).agg(F.sum(measure).alias(out_measure))
-    return rank_within(agg, [], [out_measure], descending=True, tiebreak=[key], rank=out_rank)
+    # one row per key: counted first, small results rank with a plain window
+    return rank_within(agg, [], [out_measure], descending=True, tiebreak=[key], rank=out_rank,
+                       small_rows=SMALL_ROWS)
 
 
 def priority_ranks(df: DataFrame, by: str, order: str, tiebreak: str,
@@ -33,7 +35,8 @@ def lead_gap(df: DataFrame, key: str, measure: str, out_next: str, out_gap: str)
 
     Ties are ordered by ``key`` so the result is deterministic (M-12).
     """
-    led = lead_within(df, [], [measure], measure, out_next, descending=True, tiebreak=[key])
+    led = lead_within(df, [], [measure], measure, out_next, descending=True, tiebreak=[key],
+                      small_rows=SMALL_ROWS)
     return led.withColumn(out_gap, F.col(measure) - F.col(out_next))
 
 

@@ -104,3 +104,14 @@ def test_range_stage_spreads_a_hot_group(spark):
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert max(r.n for r in parts) < 2.0 * 30000 / n_parts          # no partition holds the hot group
     assert sum(1 for r in parts if r.hot > 0) >= n_parts // 3       # the hot group spans several partitions
+
+
+def test_size_checked_paths_agree(skewed):
+    w = Window.partitionBy("g").orderBy(F.col("v").desc(), "id")
+    want = skewed.withColumn("nx", F.lead("v").over(w)).withColumn("r", F.rank().over(
+        Window.partitionBy("g").orderBy(F.col("v").desc())))
+    for limit in (10, 100_000):   # below and above the input size: both paths
+        led = lead_within(skewed, ["g"], ["v"], "v", "nx", descending=True, tiebreak=["id"], small_rows=limit)
+        assert _as_set(led, ["id", "nx"]) == _as_set(want, ["id", "nx"])
+        ranked = rank_within(skewed, ["g"], ["v"], descending=True, tiebreak=["id"], rank="r", small_rows=limit)
+        assert _as_set(ranked, ["id", "r"]) == _as_set(want, ["id", "r"])
