@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldbook.operators.ordered import SMALL_ROWS, lead_within, rank_within
-from fieldbook.operators.relational import with_group_max
 
 
 def rank_groups(df: DataFrame, key: str, measure: str, out_measure: str, out_rank: str) -> DataFrame:
@@ -48,8 +45,3 @@ def latest_per_key(df: DataFrame, key: str, ordinal: str) -> DataFrame:
     maxima = df.groupBy(key).agg(F.max(ordinal).alias("_fb_max"))
     cond = (df[key] == maxima[key]) & (df[ordinal] == maxima["_fb_max"])
     return df.join(maxima, cond, "left_semi")
-
-
-def with_partition_max(df: DataFrame, keys: Sequence[str], measure: str, out: str) -> DataFrame:
-    """W-6 alias kept next to the other window helpers."""
-    return with_group_max(df, keys, measure, out)

@@ -42,19 +42,21 @@ def visit_stream(spark: SparkSession, events_path: str, max_files_per_trigger: i
                     (F.col("event_id") % VISIT_EMPLOYEE_MOD).alias("assigned_employee_id"))
 
 
-def _start(df: DataFrame, name: str, sink: str, available_now: bool) -> StreamingQuery:
+def _start(df: DataFrame, name: str, sink: str, available_now: bool, every: str = "10 seconds") -> StreamingQuery:
     spark = df.sparkSession
     location = os.path.join(checkpoint_dir(spark), "streams", f"{name}-{uuid.uuid4().hex[:8]}")
     writer = (df.writeStream.outputMode("complete").format(sink).queryName(name)
                 .option("checkpointLocation", location))
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=every)
     return writer.start()
 
 
 def start_queue_pivot(spark: SparkSession, events_path: str, name: str = "queue_pivot_live",
-                      sink: str = "memory", available_now: bool = True) -> StreamingQuery:
+                      sink: str = "memory", available_now: bool = True, every: str = "10 seconds",
+                      max_files_per_trigger: int | None = None) -> StreamingQuery:
     """K-12 kept current: hour label x weekday average non-zero queue."""
-    return _start(queue_pivot(visit_stream(spark, events_path)), name, sink, available_now)
+    stream = visit_stream(spark, events_path, max_files_per_trigger)
+    return _start(queue_pivot(stream), name, sink, available_now, every)
 
 
 def start_queue_by_weekday(spark: SparkSession, events_path: str, name: str = "queue_by_weekday_live",

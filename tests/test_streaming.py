@@ -27,3 +27,34 @@ def test_streaming_weekday_average_equals_batch(spark):
     v = survey_tables(spark, SF_SMALL).visits
     batch = survey.queue_average(v, weekday_name("time_of_record").alias("day_of_week"))
     assert _rows(spark.table("weekday_live_test")) == _rows(batch)
+
+
+def test_pivot_follows_files_as_they_arrive(spark):
+    import tempfile
+
+    from pyspark.sql import functions as F
+
+    src = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    watched = f"{tempfile.mkdtemp(prefix='fb-stream-')}/visits"
+    src.filter(F.col("event_id") % 2 == 0).write.parquet(watched)
+    q = queues.start_queue_pivot(spark, watched, name="pivot_arrivals", available_now=False, every="1 second")
+    try:
+        q.processAllAvailable()
+        first = _rows(spark.table("pivot_arrivals"))
+        even = survey.queue_pivot(_visits_of(src.filter(F.col("event_id") % 2 == 0)))
+        assert first == _rows(even)
+        # a second file lands in the watched folder: the state now covers both
+        src.filter(F.col("event_id") % 2 == 1).write.mode("append").parquet(watched)
+        q.processAllAvailable()
+        assert _rows(spark.table("pivot_arrivals")) == _rows(survey.queue_pivot(_visits_of(src)))
+    finally:
+        q.stop()
+
+
+def _visits_of(events):
+    from fieldbook.sources.roles import VISIT_EMPLOYEE_MOD, VISIT_SOURCE_MOD
+    from pyspark.sql import functions as F
+
+    return events.select(F.col("event_id").alias("record_id"), F.col("user_id").alias("location_id"),
+                         (F.col("event_id") % VISIT_SOURCE_MOD).alias("source_id"),
+                         F.col("ts").alias("time_of_record"), F.floor("value").cast("int").alias("time_in_queue"))
