@@ -35,7 +35,7 @@ def safe_div(num: ColumnOrName, den: ColumnOrName) -> Column:
     return F.try_divide(col(num), col(den))
 
 
-def pct(num: ColumnOrName, den: ColumnOrName) -> Column:
+def safe_pct(num: ColumnOrName, den: ColumnOrName) -> Column:
     """``num / den * 100`` as a double, NULL when ``den`` is zero."""
     return safe_div(col(num).cast("double"), col(den).cast("double")) * F.lit(100.0)
 

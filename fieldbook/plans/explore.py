@@ -27,7 +27,7 @@ def lookup_by_address(t: SurveyTables, address_pattern: str) -> DataFrame:
                      F.round(F.col("number_of_people_served"), -2).cast("int").alias("Number_Served"))
 
 
-def sources_with_queue(t: SurveyTables, predicate) -> DataFrame:
+def sources_by_queue(t: SurveyTables, predicate) -> DataFrame:
     """K-14: water sources having at least one visit whose queue satisfies ``predicate`` (J-9)."""
     return semi(t.water_source, t.visits.filter(predicate), "source_id")
 
@@ -112,13 +112,13 @@ def k14_long_queue_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT * FROM water_source
 WHERE source_id IN (SELECT source_id FROM visits WHERE time_in_queue > {LONG_QUEUE_MINUTES})""")
 def k14_long_queue_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sources_with_queue(_t(spark, sf_dir), F.col("time_in_queue") > LONG_QUEUE_MINUTES)
+    return sources_by_queue(_t(spark, sf_dir), F.col("time_in_queue") > LONG_QUEUE_MINUTES)
 
 
 @register("k14_zero_queue_sources", """
 SELECT * FROM water_source WHERE source_id IN (SELECT source_id FROM visits WHERE time_in_queue = 0)""")
 def k14_zero_queue_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sources_with_queue(_t(spark, sf_dir), F.col("time_in_queue") == 0)
+    return sources_by_queue(_t(spark, sf_dir), F.col("time_in_queue") == 0)
 
 
 @register("k14_listed_sources", "SELECT * FROM water_source WHERE source_id IN (11, 22, 33)")

@@ -84,7 +84,7 @@ def queue_pivot(visits: DataFrame) -> DataFrame:
     return pivot_avg(v, "hour_of_day", day, values, "time_in_queue", "hour_of_day")
 
 
-def queue_average(visits: DataFrame, grain) -> DataFrame:
+def queue_by(visits: DataFrame, grain) -> DataFrame:
     """K-11: ``ROUND(AVG(NULLIF(time_in_queue, 0)))``, globally or per time grain."""
     avg = round_int(avg_nonzero("time_in_queue")).alias("avg_queue_time")
     if grain is None:
@@ -92,6 +92,29 @@ def queue_average(visits: DataFrame, grain) -> DataFrame:
     return visits.groupBy(grain).agg(avg)
 
 
+def pollution_share(wp: DataFrame) -> DataFrame:
+    """K-8: well pollution results in percent of all wells."""
+    return share_of_total(wp, ["results"], "source_id", "count", "pollution_dist", "pct_pollution_dist")
+
+
+def survey_duration(visits: DataFrame) -> DataFrame:
+    """K-10: days between the first and the last visit."""
+    return visits.agg(days_between(F.max("time_of_record"), F.min("time_of_record")).alias("total_visits_duration"))
+
+
+def queue_presence_by_type(visits: DataFrame, sources: DataFrame, zero_queue: bool) -> DataFrame:
+    """K-13: visits with (or without) a queue, per source type (visits LEFT JOIN sources)."""
+    q = F.col("time_in_queue")
+    v = visits.filter((q == 0) if zero_queue else (q != 0))
+    joined = v.join(sources.select("source_id", "type_of_water_source"), "source_id", "left")
+    return count_by(joined, ["type_of_water_source"], "source_id", "num_of_sources")
+
+
+def location_counts(locations: DataFrame, keys, out: str) -> DataFrame:
+    """K-16: locations per town, province, (province, town) or type."""
+    return count_by(locations, keys, "location_id", out)
+
+
 def top_k_profile(visit_keys: DataFrame, employees: DataFrame, k: int = 3) -> DataFrame:
     """K-4: the ``k`` employees with the most visits, with their contact profile.
 
@@ -205,8 +228,7 @@ SELECT results, COUNT(source_id) AS pollution_dist,
            AS pct_pollution_dist
 FROM well_pollution GROUP BY 1""")
 def k08_pollution_share(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wp = survey_tables(spark, sf_dir).well_pollution
-    return share_of_total(wp, ["results"], "source_id", "count", "pollution_dist", "pct_pollution_dist")
+    return pollution_share(survey_tables(spark, sf_dir).well_pollution)
 
 
 @register("k09_priority_ranks", """
@@ -229,14 +251,13 @@ SELECT CAST(date_diff('day', CAST(MIN(time_of_record) AS DATE), CAST(MAX(time_of
            AS total_visits_duration
 FROM visits""")
 def k10_survey_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = survey_tables(spark, sf_dir).visits
-    return v.agg(days_between(F.max("time_of_record"), F.min("time_of_record")).alias("total_visits_duration"))
+    return survey_duration(survey_tables(spark, sf_dir).visits)
 
 
 @register("k11_queue_avg", """
 SELECT CAST(ROUND(AVG(NULLIF(time_in_queue, 0))) AS INTEGER) AS avg_queue_time FROM visits""")
 def k11_queue_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return queue_average(survey_tables(spark, sf_dir).visits, None)
+    return queue_by(survey_tables(spark, sf_dir).visits, None)
 
 
 @register("k11_queue_by_weekday", """
@@ -245,7 +266,7 @@ SELECT dayname(time_of_record) AS day_of_week,
 FROM visits GROUP BY 1""")
 def k11_queue_by_weekday(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = survey_tables(spark, sf_dir).visits
-    return queue_average(v, weekday_name("time_of_record").alias("day_of_week")).orderBy(F.desc("avg_queue_time"))
+    return queue_by(v, weekday_name("time_of_record").alias("day_of_week")).orderBy(F.desc("avg_queue_time"))
 
 
 @register("k11_queue_by_hour", """
@@ -254,7 +275,7 @@ SELECT CAST(hour(time_of_record) AS INTEGER) AS hour_of_day,
 FROM visits GROUP BY 1""")
 def k11_queue_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = survey_tables(spark, sf_dir).visits
-    return queue_average(v, hour_of_day("time_of_record").alias("hour_of_day")).orderBy(F.desc("avg_queue_time"))
+    return queue_by(v, hour_of_day("time_of_record").alias("hour_of_day")).orderBy(F.desc("avg_queue_time"))
 
 
 @register("k11_queue_by_hour_label", """
@@ -263,7 +284,7 @@ SELECT strftime(time_of_record, '%H:00') AS hour_of_day,
 FROM visits GROUP BY 1""")
 def k11_queue_by_hour_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = survey_tables(spark, sf_dir).visits
-    return queue_average(v, hour_label("time_of_record").alias("hour_of_day")).orderBy(F.desc("avg_queue_time"))
+    return queue_by(v, hour_label("time_of_record").alias("hour_of_day")).orderBy(F.desc("avg_queue_time"))
 
 
 _PIVOT_COLS = ",\n".join(
@@ -292,9 +313,7 @@ def k12_queue_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _queue_presence(spark, sf_dir, zero: bool) -> DataFrame:
     t = survey_tables(spark, sf_dir)
-    v = t.visits.filter((F.col("time_in_queue") == 0) if zero else (F.col("time_in_queue") != 0))
-    joined = v.join(t.water_source.select("source_id", "type_of_water_source"), "source_id", "left")
-    return count_by(joined, ["type_of_water_source"], "source_id", "num_of_sources")
+    return queue_presence_by_type(t.visits, t.water_source, zero)
 
 
 @register("k13_zero_queue_by_type", """
@@ -324,14 +343,14 @@ def k13_well_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT COUNT(location_id) AS records_per_town, town_name FROM location GROUP BY 2""")
 def k16_records_per_town(spark: SparkSession, sf_dir: str) -> DataFrame:
     loc = survey_tables(spark, sf_dir).location
-    return count_by(loc, ["town_name"], "location_id", "records_per_town").orderBy(F.desc("records_per_town"))
+    return location_counts(loc, ["town_name"], "records_per_town").orderBy(F.desc("records_per_town"))
 
 
 @register("k16_records_per_province", """
 SELECT COUNT(location_id) AS records_per_province, province_name FROM location GROUP BY 2""")
 def k16_records_per_province(spark: SparkSession, sf_dir: str) -> DataFrame:
     loc = survey_tables(spark, sf_dir).location
-    return count_by(loc, ["province_name"], "location_id", "records_per_province") \
+    return location_counts(loc, ["province_name"], "records_per_province") \
         .orderBy(F.desc("records_per_province"))
 
 
@@ -339,7 +358,7 @@ def k16_records_per_province(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT province_name, town_name, COUNT(location_id) AS records_per_town FROM location GROUP BY 1, 2""")
 def k16_records_per_province_town(spark: SparkSession, sf_dir: str) -> DataFrame:
     loc = survey_tables(spark, sf_dir).location
-    return count_by(loc, ["province_name", "town_name"], "location_id", "records_per_town") \
+    return location_counts(loc, ["province_name", "town_name"], "records_per_town") \
         .orderBy("province_name", F.desc("records_per_town"))
 
 

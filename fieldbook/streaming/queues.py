@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from fieldbook.functions.exprs import weekday_name
-from fieldbook.plans.survey import queue_average, queue_pivot
+from fieldbook.plans.survey import queue_by, queue_pivot
 from fieldbook.session import checkpoint_dir
 from fieldbook.sources.roles import VISIT_EMPLOYEE_MOD, VISIT_SOURCE_MOD
 
@@ -63,4 +63,4 @@ def start_queue_by_weekday(spark: SparkSession, events_path: str, name: str = "q
                            sink: str = "memory", available_now: bool = True) -> StreamingQuery:
     """K-11 kept current: average non-zero queue per weekday."""
     v = visit_stream(spark, events_path)
-    return _start(queue_average(v, weekday_name("time_of_record").alias("day_of_week")), name, sink, available_now)
+    return _start(queue_by(v, weekday_name("time_of_record").alias("day_of_week")), name, sink, available_now)

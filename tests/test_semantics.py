@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from fieldbook.functions.exprs import byte_length, hour_label, like_ci, pct, round_int, safe_div, weekday_name
+from fieldbook.functions.exprs import byte_length, hour_label, like_ci, round_int, safe_div, safe_pct, weekday_name
 from fieldbook.operators.cleaning import Fix, apply_fixes, fix_report
 from fieldbook.operators.relational import not_in, semi
 
@@ -28,7 +28,7 @@ def test_round_half_away_from_zero(spark):  # M-4
 
 def test_zero_divisor_gives_null(spark):  # M-5
     df = spark.createDataFrame([(1, 0), (1, 4)], "a int, b int")
-    got = [r.p for r in df.select(pct("a", "b").alias("p")).collect()]
+    got = [r.p for r in df.select(safe_pct("a", "b").alias("p")).collect()]
     assert got == [None, 25.0]
     assert df.select(safe_div("a", "b").alias("q")).collect()[0].q is None
 

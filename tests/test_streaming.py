@@ -25,7 +25,7 @@ def test_streaming_weekday_average_equals_batch(spark):
     q = queues.start_queue_by_weekday(spark, f"{SF_SMALL}/events.parquet", name="weekday_live_test")
     q.awaitTermination(300)
     v = survey_tables(spark, SF_SMALL).visits
-    batch = survey.queue_average(v, weekday_name("time_of_record").alias("day_of_week"))
+    batch = survey.queue_by(v, weekday_name("time_of_record").alias("day_of_week"))
     assert _rows(spark.table("weekday_live_test")) == _rows(batch)
 
 

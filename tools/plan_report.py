@@ -40,7 +40,7 @@ def without_cached_plans(plan: str) -> str:
 def summarise(plan: str) -> dict:
     plan = without_cached_plans(plan)
     joins = re.findall(r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin|BroadcastNestedLoopJoin|CartesianProduct)", plan)
-    read_cols = [len(m.split(",")) for m in re.findall(r"ReadSchema: struct<([^>]*)>", plan)]
+    read_cols = [m.count(":") for m in re.findall(r"ReadSchema: struct<([^\n>]*)>", plan)]
     return {
         "shuffles": len(re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobin)", plan)),
         "broadcasts": plan.count("BroadcastExchange"),
@@ -57,6 +57,7 @@ def main() -> None:
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
     args = ap.parse_args()
     spark = build_session("local[8]", 8)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")  # untruncated ReadSchema
     print("# Executed plans per query\n")
     print(f"Generated by `tools/plan_report.py` at `{args.sf}` (adaptive plans after execution; "
           "subquery plans included, cached tables counted as one in-memory scan).\n")
