@@ -205,3 +205,19 @@ def survey_tables(spark: SparkSession, sf_dir: str) -> SurveyTables:
         if key not in _TABLES:
             _TABLES[key] = SurveyTables(spark, sf_dir)
         return _TABLES[key]
+
+
+SURVEY_VIEWS = ("location", "employee", "water_source", "well_pollution", "visits", "water_quality",
+                "auditor_report", "global_water_access")
+
+
+def register_survey_views(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Expose the survey tables as temp views, so SQL written against the survey schema runs as is.
+
+    ``LIKE`` in Spark SQL is case-sensitive; write ``ILIKE`` where the
+    survey queries relied on a case-insensitive collation (M-1).
+    """
+    t = survey_tables(spark, sf_dir)
+    for name in SURVEY_VIEWS:
+        getattr(t, name).createOrReplaceTempView(name)
+    return list(SURVEY_VIEWS)

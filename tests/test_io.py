@@ -80,3 +80,25 @@ def test_scan_prunes_columns_and_pushes_filters(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(l_quantity), GreaterThan(l_quantity,45.0)]" in plan
     assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double>" in plan
+
+
+def test_survey_views_accept_sql(spark):
+    from fieldbook import register_survey_views
+
+    names = register_survey_views(spark, SF_SMALL)
+    assert "visits" in names
+    first = spark.sql("SELECT COUNT(*) AS n FROM visits WHERE visit_count = 1").first().n
+    locations = spark.sql("SELECT COUNT(DISTINCT location_id) AS n FROM visits").first().n
+    assert first == locations
+    wells = spark.sql("SELECT COUNT(*) AS n FROM water_source WHERE type_of_water_source ILIKE '%well%'").first().n
+    assert wells == spark.sql("SELECT COUNT(*) AS n FROM well_pollution").first().n
+
+
+def test_command_line_runs_and_exports(spark, capsys):
+    from fieldbook.__main__ import main
+
+    assert main(["list"]) == 0
+    assert "k12_queue_pivot" in capsys.readouterr().out
+    out = io.shared_path(spark, "cli_pivot")
+    assert main(["run", "k12_queue_pivot", "--sf", SF_SMALL, "--out", out, "--format", "csv"]) == 0
+    assert spark.read.option("header", True).csv(out).count() == 24
