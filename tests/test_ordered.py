@@ -115,3 +115,17 @@ def test_size_checked_paths_agree(skewed):
         assert _as_set(led, ["id", "nx"]) == _as_set(want, ["id", "nx"])
         ranked = rank_within(skewed, ["g"], ["v"], descending=True, tiebreak=["id"], rank="r", small_rows=limit)
         assert _as_set(ranked, ["id", "r"]) == _as_set(want, ["id", "r"])
+
+
+def test_lead_across_tiny_batches_and_partitions(spark):
+    rows = [(i, "g" if i % 5 else None, i % 11) for i in range(2000)]
+    df = spark.createDataFrame(rows, "id long, g string, v int")
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        w = Window.partitionBy("g").orderBy(F.col("v").desc(), "id")
+        want = df.withColumn("nx", F.lead("id").over(w))
+        got = lead_within(df, ["g"], ["v"], "id", "nx", descending=True, tiebreak=["id"])
+        assert _as_set(got, ["id", "nx"]) == _as_set(want, ["id", "nx"])
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)

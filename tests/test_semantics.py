@@ -79,3 +79,24 @@ def test_updates_apply_in_order(spark):  # M-13, S-11, S-13
     assert sorted((r.c or "") for r in apply_fixes(df, fixes).collect()) == ["", "z", "z"]
     report = {r.rule: r.affected_rows for r in fix_report(df, fixes).collect()}
     assert report == {"first": 1, "second": 2}
+
+
+def test_improvement_rule_order_and_tap_count(spark):  # M-19, X-4, X-10, X-11
+    from fieldbook.plans.planning import improvement
+
+    rows = [("Contaminated: Chemical", "river", 0), ("Contaminated: Biological", "well", 0),
+            (None, "river", 0), (None, "shared_tap", 29), (None, "shared_tap", 30), (None, "shared_tap", 61),
+            (None, "tap_in_home_broken", 0), ("Clean", "well", 0), (None, "tap_in_home", 500)]
+    df = spark.createDataFrame(rows, "results string, kind string, q int")
+    got = [r.i for r in df.select(improvement(F.col("results"), F.col("kind"), F.col("q")).alias("i")).collect()]
+    assert got == ["Install RO filter", "Install UV and RO filter", "Drill well", None, "Install 1 tap nearby",
+                   "Install 2 taps nearby", "Diagnose local infrastructure", None, None]
+
+
+def test_nulls_sort_first_ascending_last_descending(spark):  # M-6
+    from fieldbook.operators.ordered import rank_within
+
+    df = spark.createDataFrame([(1, None), (2, 5), (3, 7)], "id int, v int")
+    asc = {r.id: r.r for r in rank_within(df, [], ["v"], rank="r", tiebreak=["id"]).collect()}
+    desc = {r.id: r.r for r in rank_within(df, [], ["v"], descending=True, rank="r", tiebreak=["id"]).collect()}
+    assert asc == {1: 1, 2: 2, 3: 3} and desc == {3: 1, 2: 2, 1: 3}
