@@ -167,7 +167,9 @@ def running_total(df: DataFrame, by: Sequence[str], order: Sequence[str], out: s
     ])
     local = _pin(staged.mapInPandas(_local_running(by, weight), schema), "running")
 
-    seg = local.groupBy(PID, *by).agg(F.max(LOCAL).alias(SEG))
+    # each (partition, group) slice contributes its own total to later slices of the group
+    slice_total = F.sum(F.coalesce(F.col(weight), F.lit(0))) if weight else F.count(F.lit(1))
+    seg = local.groupBy(PID, *by).agg(slice_total.cast(local_type).alias(SEG))
     earlier = (Window.partitionBy(*by) if by else Window).orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
     offs = (seg.select(F.col(PID).alias("_fb_opid"), *[F.col(b).alias(f"_fb_k{i}") for i, b in enumerate(by)],
                        F.sum(SEG).over(earlier).alias(OFF))

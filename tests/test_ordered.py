@@ -129,3 +129,12 @@ def test_lead_across_tiny_batches_and_partitions(spark):
         assert _as_set(got, ["id", "nx"]) == _as_set(want, ["id", "nx"])
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_running_sum_with_signed_weights(spark):
+    rows = [(i, "g" if i % 4 else "h", float((i * 37) % 11 - 5)) for i in range(1500)]
+    df = spark.createDataFrame(rows, "id long, g string, w double")
+    w = Window.partitionBy("g").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
+    want = df.withColumn("s", F.round(F.sum("w").over(w), 6))
+    got = running_total(df, ["g"], ["id"], "s", weight="w").withColumn("s", F.round("s", 6))
+    assert _as_set(got, ["id", "s"]) == _as_set(want, ["id", "s"])
