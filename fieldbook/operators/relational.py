@@ -92,14 +92,16 @@ def not_in(df: DataFrame, other: DataFrame, left_key: str, right_key: str | None
 
     A plain anti-join differs when NULLs appear: one NULL in ``other`` makes
     the predicate unknown for every row, and a NULL ``key`` is unknown unless
-    ``other`` is empty.  Both facts are scalar subqueries (run once), and the
-    anti-join itself stays a shuffled or broadcast join chosen by size.
+    ``other`` is empty.  Both facts come from one scalar aggregate over the
+    distinct keys (run once), and the anti-join itself stays a shuffled or
+    broadcast join chosen by size, so the key list need not fit a broadcast.
     """
     keys = _distinct_keys(other, right_key or left_key)
-    any_rows = keys.exists()
-    any_null = keys.filter(F.col("_fb_key").isNull()).exists()
+    # two scalar aggregates over the same keys: Spark merges them into one subquery, run once
+    n_keys = keys.agg(F.count(F.lit(1))).scalar()
+    n_null = keys.agg(F.count_if(F.col("_fb_key").isNull())).scalar()
     anti = df.join(keys, F.col(left_key) == F.col("_fb_key"), "left_anti")
-    return anti.filter((~any_rows) | (F.col(left_key).isNotNull() & ~any_null))
+    return anti.filter((n_keys == 0) | (F.col(left_key).isNotNull() & (n_null == 0)))
 
 
 def lookup_by(df: DataFrame, key: str, single_key_rows: DataFrame) -> DataFrame:

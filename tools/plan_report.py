@@ -42,8 +42,10 @@ def summarise(plan: str) -> dict:
     joins = re.findall(r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin|BroadcastNestedLoopJoin|CartesianProduct)", plan)
     read_cols = [m.count(":") for m in re.findall(r"ReadSchema: struct<([^\n>]*)>", plan)]
     return {
-        "shuffles": len(re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobin)", plan)),
-        "broadcasts": plan.count("BroadcastExchange"),
+        # a subquery is printed wherever it is referenced; count each exchange once by its plan id
+        "shuffles": len(set(re.findall(
+            r"Exchange (?:hashpartitioning|rangepartitioning|SinglePartition|RoundRobin)[^\n]*\[plan_id=(\d+)\]", plan))),
+        "broadcasts": len(set(re.findall(r"BroadcastExchange[^\n]*\[plan_id=(\d+)\]", plan))),
         "joins": ", ".join(f"{j}x{joins.count(j)}" for j in sorted(set(joins))) or "-",
         "scans": plan.count("FileScan parquet"),
         "max_cols": max(read_cols) if read_cols else 0,
@@ -60,7 +62,7 @@ def main() -> None:
     spark.conf.set("spark.sql.maxMetadataStringLength", "10000")  # untruncated ReadSchema
     print("# Executed plans per query\n")
     print(f"Generated by `tools/plan_report.py` at `{args.sf}` (adaptive plans after execution; "
-          "subquery plans included, cached tables counted as one in-memory scan).\n")
+          "exchanges counted once by plan id; scan and cached-scan columns count printed nodes, so a subquery referenced twice shows its scans twice).\n")
     print("| query | shuffles | broadcasts | joins | parquet scans | cached scans | widest scan (cols) | python |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- |")
     for name, fn in sorted(queries().items()):
