@@ -48,14 +48,18 @@ DENSE = "_fb_dense"
 RANGE_PARTITIONS_CONF = "fieldbook.rangePartitions"
 
 
-def _n_partitions(df: DataFrame) -> int:
-    """Range partitions for an ordered pass: ``fieldbook.rangePartitions`` if set, else the shuffle partitions.
+def _n_partitions(df: DataFrame) -> int | None:
+    """Explicit range partitions for an ordered pass (``fieldbook.rangePartitions``), or None.
 
     Size it so one partition is about 128 MB of input; the boundary tables
     have at most this many rows, so even 100 000 partitions broadcast cheaply.
+    When unset, the pass uses the shuffle partitions and adaptive execution
+    merges small neighbouring range partitions by size.  Merging keeps every
+    task on one contiguous slice of the order, and range repartitions are
+    never split for skew, so the local pass stays valid either way.
     """
-    conf = df.sparkSession.conf
-    return int(conf.get(RANGE_PARTITIONS_CONF, None) or conf.get("spark.sql.shuffle.partitions"))
+    value = df.sparkSession.conf.get(RANGE_PARTITIONS_CONF, None)
+    return int(value) if value else None
 
 
 def _pin(df: DataFrame, name: str) -> DataFrame:
@@ -86,7 +90,9 @@ def range_sorted(df: DataFrame, by: Sequence[str], order: Sequence[str],
     """
     sort_cols = [F.col(b).asc_nulls_first() for b in by] + _sort_exprs(list(order), descending) + \
         [F.col(t).asc_nulls_first() for t in tiebreak]
-    return df.repartitionByRange(_n_partitions(df), *sort_cols).sortWithinPartitions(*sort_cols)
+    n = _n_partitions(df)
+    staged = df.repartitionByRange(n, *sort_cols) if n else df.repartitionByRange(*sort_cols)
+    return staged.sortWithinPartitions(*sort_cols)
 
 
 def _same_as_prev(keys, prev_row) -> "object":

@@ -70,10 +70,11 @@ def digest(cols, rows):
 def main():
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
+    ap.add_argument("--partitions", type=int, default=8)
     ap.add_argument("names", nargs="*")
     args = ap.parse_args()
 
-    spark = build_session("local[8]", 8)
+    spark = build_session("local[8]", args.partitions)
     con = duckdb.connect()
     for t in NATIVE_TABLES:
         p = table_path(args.sf, t)
