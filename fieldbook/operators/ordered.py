@@ -27,12 +27,19 @@ numbered locally and stitched across partition boundaries).
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The per-partition functions below run in Python workers.  Pickling this
+# module's functions by value ships them with each task, so executors need
+# only pandas and pyspark, not this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 PID = "_fb_pid"
 LOCAL = "_fb_local"
 SEG = "_fb_seg"
