@@ -22,7 +22,10 @@ by *range* instead:
 
 Ties inside ``order`` are broken by the caller's ``tiebreak`` columns for
 row numbers; ranks and dense ranks come from the same pass (tie runs are
-numbered locally and stitched across partition boundaries).
+numbered locally and stitched across partition boundaries).  Pass a unique
+``tiebreak`` (a record id): range partitioning keeps identical sort keys
+together, so with a unique last key even one tie holding a third of the rows
+is spread over many partitions.
 """
 
 from __future__ import annotations
