@@ -85,7 +85,7 @@ def k01_repaired_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("s11_apply_fix_on_copy", f"WITH {_FIXED} SELECT * FROM fixed")
 def s11_apply_fix_on_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The dry run of P1: fix a stored copy (S-6), leaving the original untouched."""
+    """The dry run: fix a stored copy (S-6), leaving the original untouched."""
     copy = snapshot(_wp(spark, sf_dir), "well_pollution_copy")
     return apply_fixes(copy, pollution_fixes())
 
@@ -123,7 +123,7 @@ def s06_snapshot_part(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- K-2 contacts
 
-_EMAIL_SQL = "replace(trim(lower(employee_name)), ' ', '.') || '@ndogowater.gov'"
+_EMAIL_SQL = f"replace(trim(lower(employee_name)), ' ', '.') || '{EMAIL_DOMAIN}'"
 
 
 @register("f02_email_preview", f"SELECT {_EMAIL_SQL} AS email FROM employee")

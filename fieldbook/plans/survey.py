@@ -138,8 +138,8 @@ def _visit_keys(spark, sf_dir):
     return load(spark, sf_dir, "lineitem", ["l_suppkey"]).select(F.col("l_suppkey").alias("assigned_employee_id"))
 
 
-_EMP_CLEAN = """
-    SELECT employee_name, replace(trim(lower(employee_name)), ' ', '.') || '@ndogowater.gov' AS email,
+_EMP_CLEAN = f"""
+    SELECT employee_name, replace(trim(lower(employee_name)), ' ', '.') || '{EMAIL_DOMAIN}' AS email,
            trim(phone_number) AS phone_number, assigned_employee_id, town_name
     FROM employee"""
 

@@ -22,7 +22,8 @@ from fieldbook.operators.ordered import row_number_within
 from fieldbook.sources.io import snapshot
 from fieldbook.sources.tables import load
 
-# Fixed values of the survey domain (the reference's categories and labels).
+# Fixed values of the survey domain: the categories, labels and e-mail format the
+# survey's results are written in; they must stay equal to the reference's.
 SOURCE_TYPES = ("river", "shared_tap", "tap_in_home", "tap_in_home_broken", "well")
 POLLUTION_RESULTS = ("Clean", "Contaminated: Biological", "Contaminated: Chemical")
 STATUS_VALUES = ("Backlog", "In progress", "Complete")

@@ -30,12 +30,12 @@ def test_read_csv_into_declared_schema(spark):
     path = os.path.join(d, "auditor_report.csv")
     with open(path, "w") as fh:
         fh.write("location_id,type_of_water_source,true_water_source_score,statements\n")
-        fh.write("AkHa00103,well,7,No concerns\n")
-        fh.write("AkRu04508,river,,Villagers mentioned Cash exchange\n")
+        fh.write("LOC00103,well,7,No concerns\n")
+        fh.write("LOC04508,river,,Villagers mentioned Cash exchange\n")
     df = io.read_csv(spark, path, schemas.AUDITOR_REPORT)
     assert df.schema == schemas.AUDITOR_REPORT
     rows = {r.location_id: r.true_water_source_score for r in df.collect()}
-    assert rows == {"AkHa00103": 7, "AkRu04508": None}
+    assert rows == {"LOC00103": 7, "LOC04508": None}
 
 
 def test_views_register_and_drop(spark):
