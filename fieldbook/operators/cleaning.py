@@ -98,7 +98,7 @@ def clean_contacts(df: DataFrame, domain: str) -> DataFrame:
 
 
 def bad_phone_numbers(df: DataFrame, length: int = 12) -> DataFrame:
-    """Phones whose trimmed byte length differs from ``length`` (P2 dry run)."""
+    """Phones whose trimmed byte length differs from ``length`` (the dry run before the fix)."""
     trimmed = df.select(F.trim(F.col("phone_number")).alias("trimmed_phone_number"))
     trimmed = trimmed.withColumn("trimmed_length", byte_length("trimmed_phone_number"))
     return trimmed.filter(F.col("trimmed_length") != length)
