@@ -68,19 +68,20 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 
 def append_with_defaults(df: DataFrame, schema: T.StructType, defaults: Mapping[str, object],
-                         id_column: str | None = None) -> DataFrame:
+                         id_column: str | None = None, id_start: int = 1) -> DataFrame:
     """``INSERT INTO t (subset) SELECT ..`` (S-10): unlisted columns take their defaults.
 
-    ``id_column`` gets a unique surrogate id (``SERIAL``): unique and
-    increasing per partition, not gap-free; it needs no global ordering or
-    single-partition step.
+    ``id_column`` gets a unique surrogate id (``SERIAL``) starting at
+    ``id_start``: unique and increasing per partition, not gap-free; it needs
+    no global ordering or single-partition step.
     """
     cols = []
     for field in schema.fields:
         if field.name in df.columns:
             cols.append(F.col(field.name).cast(field.dataType).alias(field.name))
         elif field.name == id_column:
-            cols.append(F.monotonically_increasing_id().cast(field.dataType).alias(field.name))
+            new_id = F.lit(id_start).cast("long") + F.monotonically_increasing_id()
+            cols.append(new_id.cast(field.dataType).alias(field.name))
         else:
             value = defaults.get(field.name)
             cols.append(F.lit(value).cast(field.dataType).alias(field.name))
@@ -90,3 +91,31 @@ def append_with_defaults(df: DataFrame, schema: T.StructType, defaults: Mapping[
 def write_table(df: DataFrame, path: str, mode: str = "append") -> None:
     """Append (or overwrite) rows into a Parquet table."""
     df.write.mode(mode).parquet(path)
+
+
+def _table_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(hadoop_path)
+
+
+def insert_into(df: DataFrame, path: str, schema: T.StructType, defaults: Mapping[str, object],
+                id_column: str | None = None, check=None) -> DataFrame:
+    """``INSERT INTO table (subset) SELECT ..`` against a Parquet table at ``path`` (S-10).
+
+    A ``SERIAL`` id continues after the largest id already stored (one scalar
+    aggregate over that column), so ids stay unique across inserts.  ``check``
+    maps the rows to their constraint violations; any violation stops the
+    insert before anything is written.  Returns the rows as written.
+    """
+    spark = df.sparkSession
+    start = 1
+    if id_column and _table_exists(spark, path):
+        current = spark.read.parquet(path).agg(F.max(id_column)).first()[0]
+        start = (current or 0) + 1
+    rows = append_with_defaults(df, schema, defaults, id_column, start)
+    if check is not None and not check(rows).isEmpty():
+        raise ValueError(f"rows for {path} break a declared constraint")
+    write_table(rows, path, "append")
+    return rows

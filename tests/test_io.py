@@ -102,3 +102,30 @@ def test_command_line_runs_and_exports(spark, capsys):
     out = io.shared_path(spark, "cli_pivot")
     assert main(["run", "k12_queue_pivot", "--sf", SF_SMALL, "--out", out, "--format", "csv"]) == 0
     assert spark.read.option("header", True).csv(out).count() == 24
+
+
+def test_progress_inserts_keep_ids_unique(spark):
+    from fieldbook.plans import planning
+
+    t = survey_tables(spark, SF_SMALL)
+    plan = planning.improvement_plan(t)
+    path = io.shared_path(spark, "project_progress_inserts")
+    planning.save_progress(plan, path)
+    planning.save_progress(plan, path)
+    stored = spark.read.parquet(path)
+    n = plan.count()
+    assert stored.count() == 2 * n
+    assert stored.select("Project_id").distinct().count() == 2 * n
+    assert stored.agg(F.min("Project_id")).first()[0] == 1
+    assert {r.Source_status for r in stored.select("Source_status").distinct().collect()} == {"Backlog"}
+
+
+def test_insert_refuses_rows_that_break_a_constraint(spark):
+    import pytest
+
+    rows = spark.createDataFrame([(None, "x")], "source_id string, Address string")
+    path = io.shared_path(spark, "bad_progress")
+    from fieldbook.plans.planning import progress_violations
+    with pytest.raises(ValueError):
+        io.insert_into(rows, path, schemas.PROJECT_PROGRESS, schemas.PROJECT_PROGRESS_DEFAULTS, "Project_id",
+                       check=progress_violations)
