@@ -222,3 +222,15 @@ def register_survey_views(spark: SparkSession, sf_dir: str) -> list[str]:
     for name in SURVEY_VIEWS:
         getattr(t, name).createOrReplaceTempView(name)
     return list(SURVEY_VIEWS)
+
+
+def data_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per column of every survey table: table, column, type, nullable (the data dictionary).
+
+    Built from the schemas only (no data is read), so its size is the number
+    of columns.
+    """
+    t = survey_tables(spark, sf_dir)
+    rows = [(name, f.name, f.dataType.simpleString(), f.nullable)
+            for name in SURVEY_VIEWS for f in getattr(t, name).schema.fields]
+    return spark.createDataFrame(rows, "table_name string, column_name string, data_type string, nullable boolean")

@@ -129,3 +129,13 @@ def test_insert_refuses_rows_that_break_a_constraint(spark):
     with pytest.raises(ValueError):
         io.insert_into(rows, path, schemas.PROJECT_PROGRESS, schemas.PROJECT_PROGRESS_DEFAULTS, "Project_id",
                        check=progress_violations)
+
+
+def test_data_dictionary_lists_every_survey_column(spark):
+    from fieldbook.sources.roles import data_dictionary
+
+    dd = {(r.table_name, r.column_name): r.data_type for r in data_dictionary(spark, SF_SMALL).collect()}
+    assert dd[("visits", "visit_count")] == "int"
+    assert dd[("auditor_report", "true_water_source_score")] == "int"
+    assert dd[("well_pollution", "biological")] == "double"
+    assert len({t for t, _ in dd}) == 8
