@@ -25,6 +25,15 @@ def not_like_ci(c: ColumnOrName, pattern: str) -> Column:
     return ~like_ci(c, pattern)
 
 
+def eq_ci(c: ColumnOrName, value: str) -> Column:
+    """``=`` under a case-insensitive collation (M-2), through Spark's ``UTF8_LCASE`` collation.
+
+    The survey's literals are written in the data's case, so the jobs use
+    plain equality; this is for callers whose inputs are not.
+    """
+    return F.collate(col(c), "UTF8_LCASE") == F.lit(value)
+
+
 def avg_nonzero(c: ColumnOrName) -> Column:
     """``AVG(NULLIF(x, 0))``: zeros count as missing (A-13)."""
     return F.avg(F.nullif(col(c), F.lit(0)))

@@ -100,3 +100,10 @@ def test_nulls_sort_first_ascending_last_descending(spark):  # M-6
     asc = {r.id: r.r for r in rank_within(df, [], ["v"], rank="r", tiebreak=["id"]).collect()}
     desc = {r.id: r.r for r in rank_within(df, [], ["v"], descending=True, rank="r", tiebreak=["id"]).collect()}
     assert asc == {1: 1, 2: 2, 3: 3} and desc == {3: 1, 2: 2, 1: 3}
+
+
+def test_case_insensitive_equality(spark):  # M-2
+    from fieldbook.functions.exprs import eq_ci
+
+    df = spark.createDataFrame([("Clean",), ("CLEAN",), ("Clean Bacteria",), (None,)], "r string")
+    assert df.filter(eq_ci("r", "clean")).count() == 2
