@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldbook.functions.exprs import hour_label, like_ci, round_int
 from fieldbook.operators.relational import count_by, share_of_total, top_k, with_group_max
+from fieldbook.operators.ordered import rank_within
 from fieldbook.operators.windows import latest_per_key, lead_gap, priority_ranks, rank_groups
 from fieldbook.plans.registry import register
 from fieldbook.sources.roles import survey_tables
@@ -141,6 +142,22 @@ def w02_rank_within_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return priority_ranks(p, "p_type", "p_size", "p_partkey", "size_rank", "size_dense_rank", "size_row_number")
 
 
+@register("w03_rank_hot_groups", """
+SELECT l_orderkey, l_linenumber, l_returnflag, l_quantity,
+       CAST(RANK() OVER (PARTITION BY l_returnflag ORDER BY l_quantity DESC) AS INTEGER) AS qty_rank,
+       CAST(DENSE_RANK() OVER (PARTITION BY l_returnflag ORDER BY l_quantity DESC) AS INTEGER) AS qty_dense_rank
+FROM lineitem""")
+def w03_rank_hot_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranks inside three groups that each hold about a third of lineitem, with heavy ties.
+
+    The range-partitioned pass spreads every return flag over many tasks,
+    where a window would run three tasks of a third of the table each.
+    """
+    li = load(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_returnflag", "l_quantity"])
+    return rank_within(li, ["l_returnflag"], ["l_quantity"], descending=True,
+                       tiebreak=["l_orderkey", "l_linenumber"], rank="qty_rank", dense_rank="qty_dense_rank")
+
+
 @register("w05_lead_gap", """
 SELECT o_custkey, COUNT(o_orderkey) AS num_orders,
        COUNT(o_orderkey) - LEAD(COUNT(o_orderkey)) OVER (ORDER BY COUNT(o_orderkey) DESC, o_custkey) AS lead_diff
