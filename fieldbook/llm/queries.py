@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldbook.llm import mixing, near_dedup, warc
+from fieldbook.llm import mixing, near_dedup, pii, quality_classifier, quality_rules, secret_scan, templates, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,32 @@ def systematic_columns(mixed: DataFrame) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality_classifier.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return templates.extract_main_text(_table(spark, sf_dir, "pages"))
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document."""
+    return secret_scan.scan_secrets(_table(spark, sf_dir, "documents"))
+
+
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document."""
+    found = pii.find_personal_data(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text statistics and rule verdict of every document."""
+    return quality_rules.apply_quality_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page after a round trip through WARC archives."""
     return warc.archive_pages(_table(spark, sf_dir, "pages"))
@@ -93,7 +119,12 @@ FROM p LEFT JOIN g ON g.html = p.html AND p.payload_bytes >= 1000
 def queries() -> dict[str, Query]:
     return {
         "op1_near_dedup": op1_near_dedup,
+        "op3_quality_classifier": op3_quality_classifier,
+        "op4_main_text": op4_main_text,
         "op5_systematic_mix": op5_systematic_mix,
+        "op6_secrets": op6_secrets,
+        "op7_personal_data": op7_personal_data,
+        "op8_quality_rules": op8_quality_rules,
         "op9_warc": op9_warc,
     }
 

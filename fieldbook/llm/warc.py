@@ -87,7 +87,7 @@ def _writer(root: str):
                 if out is None:
                     files.create_dir(folder, recursive=True)
                     name = f"pages-{uuid.uuid4().hex}.warc.gz"
-                    path, out, records, size = f"{root}/{name}", files.open_output_stream(f"{folder}/{name}"), 0, 0
+                    path, out, records, size = f"{root}/{name}", files.open_output_stream(f"{folder}/{name}", compression=None), 0, 0
                 data = record_bytes(page_id, url, (html or "").encode(), refers_to)
                 out.write(data)
                 records, size = records + 1, size + len(data)
