@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldbook.llm import mixing, near_dedup, pii, quality_classifier, quality_rules, secret_scan, templates, warc
+from fieldbook.llm import mixing, near_dedup, ngram_model, pii, quality_classifier, quality_rules, secret_scan, templates, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,11 @@ def systematic_columns(mixed: DataFrame) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op2_ngram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language model scores of every document."""
+    return ngram_model.score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     return quality_classifier.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
@@ -119,6 +124,7 @@ FROM p LEFT JOIN g ON g.html = p.html AND p.payload_bytes >= 1000
 def queries() -> dict[str, Query]:
     return {
         "op1_near_dedup": op1_near_dedup,
+        "op2_ngram_scores": op2_ngram_scores,
         "op3_quality_classifier": op3_quality_classifier,
         "op4_main_text": op4_main_text,
         "op5_systematic_mix": op5_systematic_mix,
