@@ -169,3 +169,18 @@ def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFr
     else:
         scored = ids.mapInArrow(_scorer(model), "doc_id bigint, score double")
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def _keeper(model: Model, text_at: int):
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = _scorer(model)
+        for batch in batches:
+            texts = pa.RecordBatch.from_arrays([batch.column(text_at), batch.column(text_at)], names=["doc_id", "text"])
+            scores = np.concatenate([b.column(1).to_numpy() for b in score(iter([texts]))] or [np.zeros(0)])
+            yield batch.filter(pa.array(scores >= 0.5))
+    return keep
+
+
+def keep_accepted(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` whose text the model scores at 0.5 or more, with all their columns."""
+    return docs.mapInArrow(_keeper(model, docs.columns.index("text")), docs.schema)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldbook.llm import mixing, near_dedup, ngram_model, pii, quality_classifier, quality_rules, secret_scan, templates, warc
+from fieldbook.llm import decontamination, mixing, near_dedup, ngram_model, pii, quality_classifier, quality_rules, secret_scan, templates, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,6 +65,11 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(_table(spark, sf_dir, "pages"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in documents."""
+    return decontamination.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
 
 OP1_SQL = rf"""
@@ -132,6 +137,7 @@ def queries() -> dict[str, Query]:
         "op7_personal_data": op7_personal_data,
         "op8_quality_rules": op8_quality_rules,
         "op9_warc": op9_warc,
+        "op10_decontamination": op10_decontamination,
     }
 
 
