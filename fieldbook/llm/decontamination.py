@@ -34,10 +34,11 @@ PASSAGE = 64
 BLOCK = 4096
 MIN_WORDS = 5
 STEP = 8  # words between windows
-RANK = 64
+RANK = 256
 EXTRA = 16
 POWER = 2
-COSINE = 0.4  # of what a passage itself reaches in the latent space
+COSINE = 0.45  # of what a passage itself reaches in the latent space
+WEIGHT = 0.45  # share of a passage's own weight that a candidate must have along it
 COVERED = 0.6
 PARTLY = 0.45
 ANSWER = 0.8
@@ -59,11 +60,10 @@ class Space(NamedTuple):
     """Latent space of a block: projected passages and the weights of their words."""
 
     passages: Passages
-    idf: np.ndarray
-    idf_other: float
-    project: np.ndarray  # (vocabulary + 1, RANK): idf-weighted factors; the last row is zero
+    project: np.ndarray  # (vocabulary, RANK): idf-weighted factors
     norm2: np.ndarray  # idf squared per word, the last for words outside the vocabulary
-    query: dict[int, tuple[np.ndarray, np.ndarray]]  # window length in steps -> (passage numbers, unit vectors / threshold)
+    share: float  # least part of a window's weight that known words must have for any candidate
+    query: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]  # steps of a window -> passage numbers, unit vectors / cosine limit, least score
 
 
 def _word_hashes(text: str) -> np.ndarray:
@@ -130,8 +130,9 @@ def _weights(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, float
              .groupBy("word").agg(F.sum("n").alias("n")).toArrow())
     counts = np.zeros(len(vocabulary) + 1, np.float64)
     counts[table.column(0).to_numpy()] = table.column(1).to_numpy()
-    total = counts[-1]
-    return np.log((total + 2) / (counts[:-1] + 1)), float(np.log(total + 2))
+    total, n = counts[-1], counts[:-1]
+    idf = np.log1p((total - n + 0.5) / (n + 0.5))
+    return idf, float(min(np.log(2 * total + 2), 1.5 * np.sqrt(np.mean(idf ** 2))))
 
 
 def _products(factor: np.ndarray):
@@ -180,22 +181,23 @@ def build_space(docs: DataFrame, passages: Passages, scratch: Scratch, rank: int
     spark = docs.sparkSession
     rows = scratch.store(spark.createDataFrame(tf, "at array<bigint>, weight array<double>"), "passages")
     factors = latent_factors(rows, n, min(rank, n))
-    project = np.zeros((n + 1, factors.shape[1]), np.float32)
-    project[:n] = idf[:, None] * factors
-    norm2 = np.append(idf ** 2, other ** 2)
-    query: dict[int, tuple[list, list]] = {}
+    project = (idf[:, None] * factors).astype(np.float32)
+    query: dict[int, tuple[list, list, list]] = {}
+    least = 1.0
     for k, (at, weight) in enumerate(tf):
-        vector = np.array(weight) @ factors[at]
+        weight = np.array(weight)
+        vector = weight @ factors[at]
         length = np.linalg.norm(vector)
         if length < 1e-9:
             continue
         reach = length / np.linalg.norm(weight)
-        steps = max(2, 2 * -(-len(passages.words[k]) // (2 * STEP)))
-        numbers, vectors = query.setdefault(steps, ([], []))
+        least = min(least, reach)
+        numbers, vectors, scores = query.setdefault(max(2, -(-len(passages.words[k]) // STEP)), ([], [], []))
         numbers.append(k)
         vectors.append(vector / length / (COSINE * reach))
-    ready = {s: (np.array(a), np.array(v, np.float32).T.copy()) for s, (a, v) in query.items()}
-    return Space(passages, idf, other, project, norm2, ready)
+        scores.append(WEIGHT * length / (COSINE * reach))
+    ready = {s: (np.array(a), np.array(v, np.float32).T.copy(), np.array(c, np.float32)) for s, (a, v, c) in query.items()}
+    return Space(passages, project, np.append(idf ** 2, other ** 2).astype(np.float32), (COSINE * least) ** 2, ready)
 
 
 def common_words(a: np.ndarray, b: np.ndarray) -> int:
@@ -219,50 +221,68 @@ def _confirm(passages: Passages, k: int, region: np.ndarray) -> tuple[bool, int,
 
 
 def _matches(space: Space, find: _Lookup, block: Block) -> Iterator[tuple[int, int, float, int, bool]]:
-    """(row, passage, cosine, common words, answer) of the confirmed passages in a block."""
-    n = np.diff(block.at)
-    steps = -(-n // STEP)
-    gap = max(space.query, default=1) - 1
-    place = np.concatenate([[0], np.cumsum(steps + (steps > 0) * gap)])  # of each row among the steps, with room behind it
+    """(row, passage, cosine, common words, answer) of the confirmed passages in a block.
+
+    A window's cosine with any passage is at most the root of the known words' part of its
+    weight, so windows below that bound are left out before anything is projected.
+    """
     word = find(block.hash)
-    index = np.arange(len(word)) - block.at[block.row]
-    step = place[block.row] + index // STEP
-    size = int(place[-1])
-    vectors = np.zeros((size, space.project.shape[1]), np.float32)
-    weight = np.zeros(size, np.float32)
-    inside = word < len(space.passages.vocabulary)
-    if not inside.any():
+    known = np.flatnonzero(word < len(space.passages.vocabulary))
+    if not len(known) or not space.query:
         return
-    known = np.flatnonzero(inside)
-    begins = np.flatnonzero(np.concatenate([[True], step[known][1:] != step[known][:-1]]))
-    vectors[step[known][begins]] = np.add.reduceat(space.project[word[known]], begins, axis=0)
-    firsts = np.flatnonzero(np.concatenate([[True], step[1:] != step[:-1]]))
-    weight[step[firsts]] = np.add.reduceat(space.norm2[word].astype(np.float32), firsts)
-    done: set[tuple[int, int]] = set()
-    window, norm, at = vectors.copy(), weight.copy(), 1
+    steps = -(-np.diff(block.at) // STEP)
+    gap = max(space.query) - 1
+    place = np.concatenate([[0], np.cumsum(steps + (steps > 0) * gap)])  # of each row among the steps, with room behind it
+    step = place[block.row] + (np.arange(len(word)) - block.at[block.row]) // STEP
+    size = int(place[-1])
+    weight = _step_sums(space.norm2[word], step, size)
+    inside = _step_sums(space.norm2[word[known]], step[known], size)
+    windows, norm, part, at = {}, weight.copy(), inside.copy(), 1
+    used = np.zeros(size, dtype=bool)
     for length in sorted(space.query):
         for j in range(at, length):
-            window[:-j] += vectors[j:]
             norm[:-j] += weight[j:]
+            part[:-j] += inside[j:]
         at = length
-        numbers, unit = space.query[length]
-        score = window @ unit
-        limit = np.sqrt(np.maximum(norm, 1e-9))[:, None]
-        where, which = np.nonzero(score >= limit)
-        if not len(where):
-            continue
-        ratio = score[where, which] / limit[where, 0]
-        for k in np.argsort(-ratio, kind="stable"):
-            row = int(np.searchsorted(place, where[k], side="right")) - 1
-            passage = int(numbers[which[k]])
-            if (row, passage) in done:
-                continue
-            lo = block.at[row] + max(0, (where[k] - place[row] - 1) * STEP)
-            hi = min(block.at[row + 1], block.at[row] + (where[k] - place[row] + length + 1) * STEP)
-            good, common, told = _confirm(space.passages, passage, block.hash[lo:hi])
-            if good:
-                done.add((row, passage))
-                yield row, passage, float(ratio[k] * COSINE), common, told
+        first = np.flatnonzero((part >= space.share * norm) & (part > 0))
+        windows[length] = first, norm[first]
+        for j in range(length):
+            used[first + j] = True
+    known = known[used[step[known]]]
+    if not len(known):
+        return
+    vectors = _step_sums(space.project[word[known]], step[known], size)
+    done: set[tuple[int, int]] = set()
+    for length, (first, norm) in windows.items():
+        numbers, unit, least = space.query[length]
+        for lo in range(0, len(first), 4096):
+            some = first[lo: lo + 4096]
+            window = sum(vectors[some + j] for j in range(length))
+            size2 = np.maximum(norm[lo: lo + 4096], np.einsum("ij,ij->i", window, window))
+            score = window @ unit
+            limit = np.sqrt(np.maximum(size2, 1e-9))[:, None]
+            where, which = np.nonzero((score >= limit) & (score >= least))
+            ratio = score[where, which] / limit[where, 0]
+            for k in np.argsort(-ratio, kind="stable"):
+                begin, passage = int(some[where[k]]), int(numbers[which[k]])
+                row = int(np.searchsorted(place, begin, side="right")) - 1
+                if (row, passage) in done:
+                    continue
+                start = block.at[row] + max(0, (begin - place[row] - 1) * STEP)
+                stop = min(block.at[row + 1], block.at[row] + (begin - place[row] + length + 1) * STEP)
+                good, common, told = _confirm(space.passages, passage, block.hash[start:stop])
+                if good:
+                    done.add((row, passage))
+                    yield row, passage, float(ratio[k] * COSINE), common, told
+
+
+def _step_sums(values: np.ndarray, step: np.ndarray, size: int) -> np.ndarray:
+    """Sums of ``values`` per step; ``step`` is in order."""
+    out = np.zeros((size, *values.shape[1:]), np.float32)
+    begins = np.flatnonzero(np.concatenate([[True], step[1:] != step[:-1]])) if len(step) else step
+    if len(begins):
+        out[step[begins]] = np.add.reduceat(values, begins, axis=0)
+    return out
 
 
 def _search(space: Space):
