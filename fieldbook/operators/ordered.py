@@ -7,13 +7,12 @@ by *range* instead:
 
 1. ``repartitionByRange`` on ``(group, order)``: a hot group is spread over
    many partitions, every partition holds a contiguous slice of the order.
-2. one vectorised pass per partition (``mapInPandas`` over Arrow batches,
-   sorted by ``sortWithinPartitions``) computes the partition-local running
-   total; the partition id is kept with each row.
-3. the result is written once as Parquet under the shared checkpoint folder,
-   which pins the partition ids (a re-sampled range partitioner could
-   otherwise move rows), cuts the lineage, and keeps later reads columnar
-   (pruning and filter push-down still work on the stored table).
+2. the partition id is added with a built-in function and the rows are written
+   once as Parquet under the shared checkpoint folder.  That pins the ids (a
+   re-sampled range partitioner could otherwise move rows) and cuts the lineage.
+3. ``Window.partitionBy(partition id, group)`` numbers the rows of a slice: no
+   window task holds more than one range partition, and every column, the
+   keys included, stays as Spark has it (exact bigint, NaN, decimal, timestamp).
 4. per (partition, group) totals are summed over earlier partitions.  Only
    the first group of a partition can continue from an earlier partition, so
    the non-zero offsets number at most one per partition: a size bound that
@@ -30,24 +29,16 @@ is spread over many partitions.
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Sequence
 
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The per-partition functions below run in Python workers.  Pickling this
-# module's functions by value ships them with each task, so executors need
-# only pandas and pyspark, not this package on their path.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 PID = "_fb_pid"
 LOCAL = "_fb_local"
 SEG = "_fb_seg"
 OFF = "_fb_off"
-LAST = "_fb_last"
 FIRST = "_fb_first"
 NEXT = "_fb_next"
 RN = "_fb_rn"
@@ -73,11 +64,11 @@ def _n_partitions(df: DataFrame) -> int | None:
 
 
 def _pin(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back (a cut, columnar lineage)."""
+    """Write ``df`` with its partition ids once to the shared folder and read it back (a cut, columnar lineage)."""
     from fieldbook.sources.io import shared_path
 
     path = shared_path(df.sparkSession, name)
-    df.write.mode("errorifexists").parquet(path)
+    df.withColumn(PID, F.spark_partition_id()).write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
@@ -93,7 +84,7 @@ def _sort_exprs(order: Sequence[str], descending: bool | Sequence[bool]) -> list
 
 def range_sorted(df: DataFrame, by: Sequence[str], order: Sequence[str],
                  descending: bool | Sequence[bool] = False, tiebreak: Sequence[str] = ()) -> DataFrame:
-    """Range-partition on (by, order, tiebreak) and sort each partition: the shared first stage.
+    """Range-partition on (by, order, tiebreak), a contiguous slice per partition: the shared first stage.
 
     Range bounds are sampled from the data, so a group holding a third of the
     rows is cut into many contiguous slices instead of one partition.
@@ -101,65 +92,13 @@ def range_sorted(df: DataFrame, by: Sequence[str], order: Sequence[str],
     sort_cols = [F.col(b).asc_nulls_first() for b in by] + _sort_exprs(list(order), descending) + \
         [F.col(t).asc_nulls_first() for t in tiebreak]
     n = _n_partitions(df)
-    staged = df.repartitionByRange(n, *sort_cols) if n else df.repartitionByRange(*sort_cols)
-    return staged.sortWithinPartitions(*sort_cols)
-
-
-def _same_as_prev(keys, prev_row) -> "object":
-    """Boolean Series: row i has the same key as row i-1 (row 0 compared with ``prev_row``)."""
-    import pandas as pd
-
-    shifted = keys.shift(1)
-    same = pd.Series(True, index=keys.index)
-    for c in keys.columns:
-        a, b = keys[c], shifted[c]
-        same &= (a == b) | (a.isna() & b.isna())
-    if prev_row is None:
-        first = False
-    else:
-        first = True
-        for c in keys.columns:
-            a, b = keys[c].iloc[0], prev_row[c]
-            if not ((pd.isna(a) and pd.isna(b)) or (not pd.isna(a) and not pd.isna(b) and a == b)):
-                first = False
-                break
-    same.iloc[0] = first
-    return same
-
-
-def _local_running(by: list[str], weight: str | None):
-    def run(batches):
-        import pandas as pd
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
-        prev_row = None
-        prev_total = 0
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            w = pdf[weight].fillna(0) if weight else pd.Series(1, index=pdf.index, dtype="int64")
-            if by:
-                keys = pdf[by]
-                same = _same_as_prev(keys, prev_row)
-                continues = bool(same.iloc[0])
-                last_row = keys.iloc[-1]
-            else:
-                same = pd.Series(True, index=pdf.index)
-                continues = prev_row is not None
-                same.iloc[0] = continues
-                last_row = True
-            seg = (~same).cumsum()
-            running = w.groupby(seg).cumsum()
-            if continues:
-                running = running.where(seg != seg.iloc[0], running + prev_total)
-            pdf[LOCAL] = running
-            pdf[PID] = pid
-            prev_row = last_row
-            prev_total = running.iloc[-1]
-            yield pdf
-
-    return run
+    return df.repartitionByRange(n, *sort_cols) if n else df.repartitionByRange(*sort_cols)
+
+
+def _slice(by: Sequence[str], order: Sequence[str], descending: bool | Sequence[bool], tiebreak: Sequence[str] = ()):
+    """Window over the rows that one range partition holds of one group."""
+    return Window.partitionBy(PID, *by).orderBy(*_sort_exprs(list(order), descending),
+                                                *[F.col(t).asc_nulls_first() for t in tiebreak])
 
 
 def running_total(df: DataFrame, by: Sequence[str], order: Sequence[str], out: str,
@@ -173,19 +112,18 @@ def running_total(df: DataFrame, by: Sequence[str], order: Sequence[str], out: s
     by = list(by)
     staged = range_sorted(df, by, order, descending, tiebreak)
 
-    if weight is None or isinstance(df.schema[weight].dataType, T.IntegralType):
-        local_type: T.DataType = T.LongType()
-    else:
-        local_type = T.DoubleType()
-    schema = T.StructType(list(df.schema.fields) + [
-        T.StructField(LOCAL, local_type, True),
-        T.StructField(PID, T.IntegerType(), False),
-    ])
-    local = _pin(staged.mapInPandas(_local_running(by, weight), schema), "running")
+    kind = T.LongType() if weight is None else df.schema[weight].dataType
+    local_type: T.DataType = (T.LongType() if isinstance(kind, T.IntegralType)
+                              else T.DecimalType(38, kind.scale) if isinstance(kind, T.DecimalType) else T.DoubleType())
+    pinned = _pin(staged, "running")
+    here = _slice(by, order, descending, tiebreak)
+    so_far = (F.row_number().over(here) if weight is None else
+              F.sum(F.coalesce(F.col(weight), F.lit(0))).over(here.rowsBetween(Window.unboundedPreceding, 0)))
+    local = pinned.withColumn(LOCAL, so_far.cast(local_type))
 
     # each (partition, group) slice contributes its own total to later slices of the group
     slice_total = F.sum(F.coalesce(F.col(weight), F.lit(0))) if weight else F.count(F.lit(1))
-    seg = local.groupBy(PID, *by).agg(slice_total.cast(local_type).alias(SEG))
+    seg = pinned.groupBy(PID, *by).agg(slice_total.cast(local_type).alias(SEG))
     earlier = (Window.partitionBy(*by) if by else Window).orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
     offs = (seg.select(F.col(PID).alias("_fb_opid"), *[F.col(b).alias(f"_fb_k{i}") for i, b in enumerate(by)],
                        F.sum(SEG).over(earlier).alias(OFF))
@@ -206,82 +144,10 @@ def row_number_within(df: DataFrame, by: Sequence[str], order: Sequence[str], ou
     return res.withColumn(out, F.col(out).cast("int"))
 
 
-def _local_ranks(by: list[str], order: list[str]):
-    """Per sorted partition: local row number, start of the current tie run, local dense rank."""
-    def run(batches):
-        import numpy as np
-        import pandas as pd
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
-        prev_key = prev_ord = None
-        prev_rn = prev_start = prev_dense = 0
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            if by:
-                same_group = _same_as_prev(pdf[by], prev_key)
-            else:
-                same_group = pd.Series(True, index=pdf.index)
-                same_group.iloc[0] = prev_ord is not None
-            same_order = _same_as_prev(pdf[order], prev_ord)
-            new_group = ~same_group
-            new_run = new_group | ~same_order
-            gseg = new_group.cumsum()
-            first_seg = gseg == gseg.iloc[0]
-            carry = not bool(new_group.iloc[0])
-
-            rn = pd.Series(1, index=pdf.index, dtype="int64").groupby(gseg).cumsum()
-            dense = new_run.astype("int64").groupby(gseg).cumsum()
-            if carry:
-                rn = rn.where(~first_seg, rn + prev_rn)
-                dense = dense.where(~first_seg, dense + prev_dense)
-            start = rn.where(new_run).astype("float64")
-            if not bool(new_run.iloc[0]):
-                start.iloc[0] = prev_start
-            start = start.ffill().astype(np.int64)
-
-            pdf[RN] = rn
-            pdf[RSTART] = start
-            pdf[DENSE] = dense
-            pdf[PID] = pid
-            prev_key = pdf[by].iloc[-1] if by else None
-            prev_ord = pdf[order].iloc[-1]
-            prev_rn, prev_start, prev_dense = int(rn.iloc[-1]), int(start.iloc[-1]), int(dense.iloc[-1])
-            yield pdf
-
-    return run
-
-
-SMALL_ROWS = 100_000
-
-
-def _is_small(df: DataFrame, small_rows: int | None) -> bool:
-    """Count the input (one job) when the caller expects it to be small, e.g. aggregated rows."""
-    return small_rows is not None and df.count() <= min(small_rows, SMALL_ROWS)
-
-
-def _window_ranks(df: DataFrame, by: list[str], order: list[str], descending, tiebreak,
-                  rank: str | None, dense_rank: str | None, row_number: str | None) -> DataFrame:
-    """Spark's own window functions, for inputs whose row count has a proven small bound."""
-    sort = _sort_exprs(order, descending)
-    base = Window.partitionBy(*by) if by else Window
-    w = base.orderBy(*sort)
-    out = df
-    if row_number is not None:
-        out = out.withColumn(row_number, F.row_number().over(base.orderBy(*sort, *tiebreak)))
-    if rank is not None:
-        out = out.withColumn(rank, F.rank().over(w))
-    if dense_rank is not None:
-        out = out.withColumn(dense_rank, F.dense_rank().over(w))
-    return out
-
-
 def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[str],
                 descending: bool | Sequence[bool] = False, tiebreak: Sequence[str] = (),
                 rank: str | None = None, dense_rank: str | None = None,
-                row_number: str | None = None, max_rows: int | None = None,
-                small_rows: int | None = None) -> DataFrame:
+                row_number: str | None = None) -> DataFrame:
     """``RANK`` / ``DENSE_RANK`` / ``ROW_NUMBER`` over ``PARTITION BY by ORDER BY order`` in one pass.
 
     One range-partitioned, sorted pass numbers rows, tie runs and distinct
@@ -292,26 +158,14 @@ def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[str],
     began, resolved across any number of partitions).  Only the first group of
     a partition can need a fix-up, so the correction table has at most one
     row per partition and is broadcast with that bound.  ``tiebreak`` orders
-    rows inside a tie for ``ROW_NUMBER`` only.
-
-    ``max_rows`` is for callers that can prove the input is tiny, e.g. one row
-    per value of a fixed five-value domain: such inputs use Spark's window
-    functions directly, which cost one small single-partition step.
-    ``small_rows`` asks for a size check instead: the input is counted, and
-    only if it has at most that many rows (capped at ``SMALL_ROWS``) does the
-    window path run; larger inputs take the range-partitioned pass.
+    rows inside a tie for ``ROW_NUMBER`` only.  There is one path for every size.
     """
     by, order = list(by), list(order)
-    if (max_rows is not None and max_rows <= SMALL_ROWS) or _is_small(df, small_rows):
-        return _window_ranks(df, by, order, descending, list(tiebreak), rank, dense_rank, row_number)
     staged = range_sorted(df, by, order, descending, tiebreak)
-    schema = T.StructType(list(df.schema.fields) + [
-        T.StructField(RN, T.LongType(), False),
-        T.StructField(RSTART, T.LongType(), False),
-        T.StructField(DENSE, T.LongType(), False),
-        T.StructField(PID, T.IntegerType(), False),
-    ])
-    local = _pin(staged.mapInPandas(_local_ranks(by, order), schema), "ranks")
+    ties = _slice(by, order, descending)
+    local = _pin(staged, "ranks").withColumns({
+        RN: F.row_number().over(_slice(by, order, descending, tiebreak)).cast("long"),
+        RSTART: F.rank().over(ties).cast("long"), DENSE: F.dense_rank().over(ties).cast("long")})
 
     summary = local.groupBy(PID, *by).agg(
         F.max(RN).alias("_fb_cnt"), F.max(DENSE).alias("_fb_runs"),
@@ -353,98 +207,27 @@ def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[str],
     return joined.select(*out_cols)
 
 
-def _local_lead(by: list[str], value: str):
-    def run(batches):
-        import pandas as pd
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
-        pending = None
-        seen = False
-
-        def within(pdf):
-            nxt = pdf[value].shift(-1)
-            if by:
-                keys = pdf[by]
-                follow = keys.shift(-1)
-                same = pd.Series(True, index=pdf.index)
-                for c in by:
-                    a, b = keys[c], follow[c]
-                    same &= (a == b) | (a.isna() & b.isna())
-                nxt = nxt.where(same)
-            return nxt
-
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            if pending is not None:
-                head = pdf.iloc[0]
-                tail = pending.iloc[-1]
-                same = all((pd.isna(head[c]) and pd.isna(tail[c])) or
-                           (not pd.isna(head[c]) and not pd.isna(tail[c]) and head[c] == tail[c]) for c in by)
-                nxt = pending[NEXT].copy()
-                nxt.iloc[-1] = head[value] if same else None
-                pending[NEXT] = nxt
-                yield pending
-            pdf = pdf.copy()
-            pdf[NEXT] = within(pdf).astype(object)
-            pdf[PID] = pid
-            pdf[LAST] = False
-            first = pd.Series(False, index=pdf.index)
-            if not seen:
-                first.iloc[0] = True
-                seen = True
-            pdf[FIRST] = first
-            pending = pdf
-        if pending is not None:
-            flags = pending[LAST].copy()
-            flags.iloc[-1] = True
-            pending[LAST] = flags
-            yield pending
-
-    return run
-
-
 def lead_within(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, out: str,
-                descending: bool | Sequence[bool] = False, tiebreak: Sequence[str] = (),
-                small_rows: int | None = None) -> DataFrame:
+                descending: bool | Sequence[bool] = False, tiebreak: Sequence[str] = ()) -> DataFrame:
     """``LEAD(value, 1) OVER (PARTITION BY by ORDER BY order, tiebreak)``; NULL after the last row.
 
-    Each partition's last row takes its next value from the first row of the
-    next non-empty range partition; that boundary table has one row per
-    partition, so it is broadcast with a proven bound.  ``small_rows`` works
-    as in :func:`rank_within`: a counted input of at most that many rows uses
-    Spark's ``lead`` window directly.
+    The last row that a range partition holds of a group takes its next value from the
+    first row of the group in a later partition.  Only a partition's last group can go on
+    there, so the boundary table has one row per partition at most and is broadcast with
+    that bound.
     """
     by = list(by)
-    if _is_small(df, small_rows):
-        w = (Window.partitionBy(*by) if by else Window).orderBy(
-            *_sort_exprs(list(order), descending), *[F.col(t).asc_nulls_first() for t in tiebreak])
-        return df.withColumn(out, F.lead(F.col(value)).over(w))
-    staged = range_sorted(df, by, order, descending, tiebreak)
-    vtype = df.schema[value].dataType
-    schema = T.StructType(list(df.schema.fields) + [
-        T.StructField(NEXT, vtype, True),
-        T.StructField(PID, T.IntegerType(), False),
-        T.StructField(LAST, T.BooleanType(), False),
-        T.StructField(FIRST, T.BooleanType(), False),
-    ])
-    local = _pin(staged.mapInPandas(_local_lead(by, value), schema), "lead")
-
-    # first row of every non-empty partition, and the one after it in range order
-    firsts = (local.filter(F.col(FIRST))
-              .select(PID, *[F.col(b).alias(f"_fb_k{i}") for i, b in enumerate(by)], F.col(value).alias("_fb_v")))
-    nxt = Window.orderBy(PID)  # one row per partition: bounded
-    bnd = firsts.select(
-        F.col(PID).alias("_fb_p"),
-        *[F.lead(f"_fb_k{i}").over(nxt).alias(f"_fb_n{i}") for i in range(len(by))],
-        F.lead(F.col(PID)).over(nxt).alias("_fb_np"),
-        F.lead("_fb_v").over(nxt).alias("_fb_nv")).checkpoint(eager=True)
-    cond = (F.col(PID) == F.col("_fb_p")) & F.col(LAST)
-    joined = local.join(F.broadcast(bnd), cond, "left")
-    same_group = F.lit(True)
+    here = _slice(by, order, descending, tiebreak)
+    local = _pin(range_sorted(df, by, order, descending, tiebreak), "lead").withColumns({
+        FIRST: F.row_number().over(here) == 1, RN: F.lead(F.lit(True)).over(here), NEXT: F.lead(F.col(value)).over(here)})
+    keys = [F.col(b).alias(f"_fb_k{i}") for i, b in enumerate(by)]
+    after = (Window.partitionBy(*by) if by else Window).orderBy(PID)  # one row per (partition, group)
+    bounds = (local.filter(F.col(FIRST)).select(
+        F.col(PID).alias("_fb_p"), *keys, F.lead(F.lit(True)).over(after).alias("_fb_more"), F.lead(F.col(value)).over(after).alias("_fb_v"))
+        .filter("_fb_more")).checkpoint(eager=True)
+    cond = F.col(RN).isNull() & (F.col(PID) == F.col("_fb_p"))
     for i, b in enumerate(by):
-        same_group = same_group & F.col(b).eqNullSafe(F.col(f"_fb_n{i}"))
-    boundary = F.when(F.col("_fb_np").isNotNull() & same_group, F.col("_fb_nv"))
-    result = F.when(F.col(LAST), boundary).otherwise(F.col(NEXT)).cast(vtype).alias(out)
+        cond = cond & F.col(b).eqNullSafe(F.col(f"_fb_k{i}"))
+    joined = local.join(F.broadcast(bounds), cond, "left")
+    result = F.when(F.col(RN).isNull(), F.col("_fb_v")).otherwise(F.col(NEXT)).alias(out)
     return joined.select(*[F.col(c) for c in df.columns], result)

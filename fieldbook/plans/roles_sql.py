@@ -44,11 +44,11 @@ ROLE_SQL: dict[str, tuple[tuple[str, ...], str]] = {
                     ELSE CAST(source_id % 7 + 1 AS DOUBLE) / CAST(100 AS DOUBLE) END AS biological
         FROM water_source WHERE type_of_water_source = 'well'"""),
     "visits": ((), """
-        SELECT event_id AS record_id, user_id AS location_id, event_id % 200 AS source_id,
+        SELECT event_id AS record_id, user_id AS location_id, event_id % (SELECT count(*) FROM part) AS source_id,
                ts AS time_of_record,
                CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS INTEGER) AS visit_count,
                CAST(floor(value) AS INTEGER) AS time_in_queue,
-               event_id % 10 AS assigned_employee_id
+               event_id % (SELECT count(*) FROM supplier) AS assigned_employee_id
         FROM events"""),
     "water_quality": (("visits",), """
         SELECT record_id, visit_count,

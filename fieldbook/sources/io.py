@@ -107,14 +107,16 @@ def insert_into(df: DataFrame, path: str, schema: T.StructType, defaults: Mappin
     A ``SERIAL`` id continues after the largest id already stored (one scalar
     aggregate over that column), so ids stay unique across inserts.  ``check``
     maps the rows to their constraint violations; any violation stops the
-    insert before anything is written.  Returns the rows as written.
+    insert before anything is written.  The rows are staged once: what is checked,
+    appended and returned are the same stored rows, ids included.  Two inserts
+    that run at the same time into one table need a lock around them.
     """
     spark = df.sparkSession
     start = 1
     if id_column and _table_exists(spark, path):
         current = spark.read.parquet(path).agg(F.max(id_column)).first()[0]
         start = (current or 0) + 1
-    rows = append_with_defaults(df, schema, defaults, id_column, start)
+    rows = snapshot(append_with_defaults(df, schema, defaults, id_column, start), "insert")
     if check is not None and not check(rows).isEmpty():
         raise ValueError(f"rows for {path} break a declared constraint")
     write_table(rows, path, "append")

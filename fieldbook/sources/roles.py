@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import threading
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldbook.operators.ordered import row_number_within
@@ -36,8 +36,11 @@ PART_TYPE_TO_SOURCE = {
     "MEDIUM": "tap_in_home",
     "PROMO": "tap_in_home_broken",
 }
-VISIT_SOURCE_MOD = 200     # part count at sf0.001: every visit resolves to a source
-VISIT_EMPLOYEE_MOD = 10    # supplier count at sf0.001: every visit resolves to an employee
+
+
+def row_count(spark: SparkSession, sf_dir: str, table: str) -> Column:
+    """Rows of a driver table at this scale, as a scalar of the plan: visits cover all its keys."""
+    return load(spark, sf_dir, table).agg(F.count(F.lit(1))).scalar()
 
 
 def location(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,10 +100,10 @@ def visits_unnumbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = load(spark, sf_dir, "events", ["event_id", "ts", "user_id", "value"])
     return e.select(F.col("event_id").alias("record_id"),
                     F.col("user_id").alias("location_id"),
-                    (F.col("event_id") % VISIT_SOURCE_MOD).alias("source_id"),
+                    (F.col("event_id") % row_count(spark, sf_dir, "part")).alias("source_id"),
                     F.col("ts").alias("time_of_record"),
                     F.floor("value").cast("int").alias("time_in_queue"),
-                    (F.col("event_id") % VISIT_EMPLOYEE_MOD).alias("assigned_employee_id"))
+                    (F.col("event_id") % row_count(spark, sf_dir, "supplier")).alias("assigned_employee_id"))
 
 
 def visits(spark: SparkSession, sf_dir: str) -> DataFrame:

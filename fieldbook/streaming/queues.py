@@ -16,10 +16,10 @@ from pyspark.sql.streaming import StreamingQuery
 from fieldbook.functions.exprs import weekday_name
 from fieldbook.plans.survey import queue_by, queue_pivot
 from fieldbook.session import checkpoint_dir
-from fieldbook.sources.roles import VISIT_EMPLOYEE_MOD, VISIT_SOURCE_MOD
 
 
-def visit_stream(spark: SparkSession, events_path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def visit_stream(spark: SparkSession, events_path: str, max_files_per_trigger: int | None = None,
+                 sources: int = 200, employees: int = 10) -> DataFrame:
     """Arriving event files projected to the visit columns the queue analyses read.
 
     ``events_path`` is normally a folder new files land in; a single file is accepted too.
@@ -36,10 +36,10 @@ def visit_stream(spark: SparkSession, events_path: str, max_files_per_trigger: i
     e = reader.parquet(source)
     return e.select(F.col("event_id").alias("record_id"),
                     F.col("user_id").alias("location_id"),
-                    (F.col("event_id") % VISIT_SOURCE_MOD).alias("source_id"),
+                    (F.col("event_id") % sources).alias("source_id"),
                     F.col("ts").alias("time_of_record"),
                     F.floor("value").cast("int").alias("time_in_queue"),
-                    (F.col("event_id") % VISIT_EMPLOYEE_MOD).alias("assigned_employee_id"))
+                    (F.col("event_id") % employees).alias("assigned_employee_id"))
 
 
 def _start(df: DataFrame, name: str, sink: str, available_now: bool, every: str = "10 seconds") -> StreamingQuery:

@@ -24,5 +24,7 @@ def test_entry_runs_flagship_query(spark):
 
 def test_queries_and_oracle_keys_align():
     mod = _entry_module()
-    assert set(mod.queries()) == set(mod.oracle_sql())
+    without = set(mod.queries()) - set(mod.oracle_sql())
+    assert set(mod.oracle_sql()) <= set(mod.queries())
+    assert all(name == "pipeline" or name.startswith("op") for name in without)
     assert len(mod.queries()) >= 100

@@ -118,15 +118,25 @@ def test_range_stage_spreads_a_hot_group(spark):
     assert sum(1 for r in parts if r.hot > 0) >= n_parts // 3       # the hot group spans several partitions
 
 
-def test_size_checked_paths_agree(skewed):
-    w = Window.partitionBy("g").orderBy(F.col("v").desc(), "id")
-    want = skewed.withColumn("nx", F.lead("v").over(w)).withColumn("r", F.rank().over(
-        Window.partitionBy("g").orderBy(F.col("v").desc())))
-    for limit in (10, 100_000):   # below and above the input size: both paths
-        led = lead_within(skewed, ["g"], ["v"], "v", "nx", descending=True, tiebreak=["id"], small_rows=limit)
-        assert _as_set(led, ["id", "nx"]) == _as_set(want, ["id", "nx"])
-        ranked = rank_within(skewed, ["g"], ["v"], descending=True, tiebreak=["id"], rank="r", small_rows=limit)
-        assert _as_set(ranked, ["id", "r"]) == _as_set(want, ["id", "r"])
+def test_exact_above_double_precision(spark):
+    """Keys, values and payload that a double or nanoseconds cannot hold stay as they are."""
+    import datetime as dt
+    import decimal
+
+    base = 2 ** 53
+    rows = [(base + i // 2, base + 2 * i + 1 if i % 7 else None, float("nan") if i % 3 else None,
+             decimal.Decimal(i) / 7, dt.datetime(3000, 1, 1) + dt.timedelta(days=i), i) for i in range(60)]
+    df = spark.createDataFrame(rows, "g long, v long, x double, d decimal(38,18), t timestamp_ntz, id long")
+    order = Window.partitionBy("g").orderBy(F.col("id").desc())
+    want = df.withColumns({"n": F.row_number().over(order), "nx": F.lead("v").over(order)})
+    lead = lead_within(df, ["g"], ["id"], "v", "nx", descending=True)
+    got = rank_within(lead, ["g"], ["id"], descending=True, row_number="n")
+    assert sorted(map(repr, got.select(want.columns).collect())) == sorted(map(repr, want.collect()))
+    whole = Window.orderBy("g", "id")
+    ranked = rank_within(df, [], ["g"], tiebreak=["id"], rank="r", dense_rank="dr", row_number="n")
+    expect = df.withColumns({"r": F.rank().over(Window.orderBy("g")), "dr": F.dense_rank().over(Window.orderBy("g")),
+                             "n": F.row_number().over(whole)})
+    assert sorted(map(repr, ranked.select(expect.columns).collect())) == sorted(map(repr, expect.collect()))
 
 
 def test_lead_across_tiny_batches_and_partitions(spark):

@@ -52,9 +52,9 @@ def test_pivot_follows_files_as_they_arrive(spark):
 
 
 def _visits_of(events):
-    from fieldbook.sources.roles import VISIT_EMPLOYEE_MOD, VISIT_SOURCE_MOD
+    sources, employees = 200, 10
     from pyspark.sql import functions as F
 
     return events.select(F.col("event_id").alias("record_id"), F.col("user_id").alias("location_id"),
-                         (F.col("event_id") % VISIT_SOURCE_MOD).alias("source_id"),
+                         (F.col("event_id") % sources).alias("source_id"),
                          F.col("ts").alias("time_of_record"), F.floor("value").cast("int").alias("time_in_queue"))

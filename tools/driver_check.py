@@ -56,6 +56,9 @@ def main() -> None:
         try:
             df = fn(spark, args.sf)
             rows = [tuple(r) for r in df.collect()]
+            if name not in sqls:
+                print(name, len(rows), "rows, no oracle", flush=True)
+                continue
             cur = con.execute(sqls[name])
             orows, ocols = cur.fetchall(), [d[0] for d in cur.description]
             ok = (len(rows) == len(orows) and sorted(df.columns) == sorted(ocols)
