@@ -8,9 +8,10 @@ and grows value by value where it holds more than ``REGION_ROWS`` texts, so that
 every region is compared completely in bounded memory.
 
 Links are confirmed on full shingle sets, in two sweeps.  The first takes from every
-region a spanning forest of its likely pairs; the second takes all likely pairs whose
-texts are still in different groups.  A pair inside a group cannot change the
-result, so leaving it out loses nothing.
+region a spanning forest of its likely pairs and confirms those of the first
+``FIRST_TREES`` trees one by one.  The second finds every text that is likely linked with a
+text of another group, and compares it with all texts of that group, block by block.
+A pair inside a group cannot change the result, so leaving it out loses nothing.
 
 Edge cases.  Null and blank texts have an empty set and are linked with nothing.  Rows
 with a null doc_id are left alone: their component is null and they are kept.  Repeated
@@ -21,6 +22,7 @@ of their own text.  Other columns are ignored.  An empty table gives an empty re
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +37,9 @@ from fieldbook.llm.words import blocks, mix, shingle_hashes
 TREES = 16
 DEPTH = 8  # values in a label
 MIN_DEPTH = 2
+FIRST_TREES = 4
+GROUP_BLOCK = 256  # texts of a group that are compared in one piece
+FILTER_BITS = 1 << 24  # fixed size of the filter that spares a shuffle of all texts
 REGION_ROWS = 4096
 VALUES = TREES * DEPTH
 #: Equal signature values that make a pair worth an exact check: at a similarity of
@@ -91,16 +96,31 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["doc_id", "n_shingles", "key", "labels", "low"])
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _filter_bit(ids: np.ndarray) -> np.ndarray:
+    return (mix(ids.astype(np.int64).view(np.uint64) + np.uint64(77)) % np.uint64(FILTER_BITS)).astype(np.int64)
+
+
+def _filter_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids = batch.column(0)
-        for block in blocks(batch.column(1)):
-            values, at = shingle_hashes(block)
-            own = [np.unique(values[at[r]: at[r + 1]]) for r in range(block.rows)]
-            offsets = np.concatenate([[0], np.cumsum([len(x) for x in own])]).astype(np.int32)
-            flat = np.concatenate(own) if own else np.zeros(0, np.uint64)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([ids.slice(block.first, block.rows), lists], names=["node", "shingles"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.unique(_filter_bit(batch.column(0).to_numpy())).astype(np.int32))], names=["bit"])
+
+
+def _sets(wanted: bytes):
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap = np.unpackbits(np.frombuffer(zlib.decompress(wanted), np.uint8)).astype(bool)
+        for batch in batches:
+            ids = batch.column(0)
+            some = bitmap[_filter_bit(ids.fill_null(0).to_numpy())] & ids.is_valid().to_numpy(zero_copy_only=False)
+            batch = batch.filter(pa.array(some))
+            ids = batch.column(0)
+            for block in blocks(batch.column(1)):
+                values, at = shingle_hashes(block)
+                own = [np.unique(values[at[r]: at[r + 1]]) for r in range(block.rows)]
+                offsets = np.concatenate([[0], np.cumsum([len(x) for x in own])]).astype(np.int32)
+                flat = np.concatenate(own) if own else np.zeros(0, np.uint64)
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([ids.slice(block.first, block.rows), lists], names=["node", "shingles"])
+    return sets
 
 
 class _Region:
@@ -111,6 +131,8 @@ class _Region:
         self.node = batch.column("node").to_numpy()
         self.size = batch.column("n_shingles").to_numpy()
         self.group = batch.column("grp").to_numpy()
+        self.weight = batch.column("weight").to_numpy()
+        self.tree = batch.column("tree").to_numpy()
         low = b"".join(batch.column("low").to_pylist())
         self.low = np.frombuffer(low, dtype=np.uint8).reshape(-1, VALUES)
 
@@ -214,8 +236,15 @@ def _pairs_in(table: pa.Table, forest: bool) -> pa.RecordBatch:
         parts.append(_large_region(rows, int(first[k]), int(first[k] + sizes[k]), forest))
     i = np.concatenate([p[0] for p in parts])
     j = np.concatenate([p[1] for p in parts])
-    a, b = rows.node[i], rows.node[j]
-    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["u", "v"])
+    if forest:
+        a, b = rows.node[i], rows.node[j]
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(rows.tree[i] < FIRST_TREES)],
+                                          names=["u", "v", "mark"])
+    # The text of the smaller group asks; of equal groups that with the larger number.
+    turn = (rows.weight[i] > rows.weight[j]) | ((rows.weight[i] == rows.weight[j]) & (rows.group[i] < rows.group[j]))
+    i, j = np.where(turn, j, i), np.where(turn, i, j)
+    asks = np.unique(np.stack([rows.node[i], rows.group[j]], axis=1), axis=0) if len(i) else np.zeros((0, 2), np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(asks[:, 0]), pa.array(asks[:, 1]), pa.array(np.ones(len(asks), bool))], names=["u", "v", "mark"])
 
 
 def _sweep(forest: bool, region_rows: int):
@@ -246,9 +275,9 @@ def _sweep(forest: bool, region_rows: int):
 
 
 def _tree_rows(classes: DataFrame) -> DataFrame:
-    return (classes.select("node", "n_shingles", "grp", "labels", "low",
+    return (classes.select("node", "n_shingles", "grp", "weight", "labels", "low",
                            F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
-            .select("tree", "node", "n_shingles", "grp", "low",
+            .select("tree", "node", "n_shingles", "grp", "weight", "low",
                     F.expr(f"substring(labels, 1 + tree * {2 * DEPTH}, {2 * DEPTH})").alias("label")))
 
 
@@ -266,8 +295,12 @@ def _crowded(classes: DataFrame, region_rows: int, scratch: Scratch) -> list[Dat
     return out
 
 
-def candidates(classes: DataFrame, crowded: list[DataFrame], forest: bool, region_rows: int = REGION_ROWS) -> DataFrame:
-    """Likely pairs (u < v) among texts (node, n_shingles, grp, labels, low); pairs within a ``grp`` are left out."""
+def sweep(classes: DataFrame, crowded: list[DataFrame], forest: bool, region_rows: int = REGION_ROWS) -> DataFrame:
+    """Compare the texts (node, n_shingles, grp, weight, labels, low) of every region, leaving out pairs within a ``grp``.
+
+    With ``forest``: likely pairs (u < v), and whether one of the first trees gave it.  Otherwise:
+    texts u that are likely linked with a text of the group v.
+    """
     rows = _tree_rows(classes).withColumn("depth", F.lit(MIN_DEPTH))
     for depth, level in enumerate(crowded, MIN_DEPTH):
         mark = level.select("tree", F.col("prefix").alias("p"), F.lit(True).alias("deeper"))
@@ -275,25 +308,68 @@ def candidates(classes: DataFrame, crowded: list[DataFrame], forest: bool, regio
                 .withColumn("depth", F.when(F.col("deeper"), F.lit(depth + 1)).otherwise(F.col("depth")))
                 .drop("p", "deeper"))
     rows = rows.withColumn("region", F.xxhash64("tree", F.expr("substring(label, 1, 2 * depth)")))
-    ordered = (rows.select("region", "label", "node", "n_shingles", "grp", "low").repartition("region")
+    ordered = (rows.select("region", "label", "tree", "node", "n_shingles", "grp", "weight", "low").repartition("region")
                .sortWithinPartitions("region", "label", "node").drop("label"))
-    return ordered.mapInArrow(_sweep(forest, region_rows), "u bigint, v bigint").distinct()
+    found = ordered.mapInArrow(_sweep(forest, region_rows), "u bigint, v bigint, mark boolean")
+    return found.groupBy("u", "v").agg(F.max("mark").alias("mark"))
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """The pairs whose full shingle sets reach the link threshold."""
-    nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    wanted = docs.select("doc_id", "text").join(nodes, F.col("doc_id") == F.col("node"), "left_semi")
-    sets = scratch.store(wanted.mapInArrow(_sets, "node bigint, shingles array<bigint>"), "sets")
+def shingle_sets(docs: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """(node, shingles) of the documents in ``nodes``, stored.
+
+    A filter of fixed size goes to the tasks first, so that texts which nobody asked for are
+    not shuffled; the join after it is exact.
+    """
+    bits = nodes.mapInArrow(_filter_bits, "bit int").distinct().toArrow().column(0).to_numpy()
+    bitmap = np.zeros(FILTER_BITS, dtype=bool)
+    bitmap[bits] = True
+    packed = zlib.compress(np.packbits(bitmap).tobytes(), 1)
+    made = docs.select("doc_id", "text").mapInArrow(_sets(packed), "node bigint, shingles array<bigint>")
+    return scratch.store(made.join(nodes, "node", "left_semi"), "sets")
+
+
+def _linked(both, a, b):
+    return LINK[1] * both >= LINK[0] * (a + b - both)
+
+
+def confirm_pairs(pairs: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
+    """The pairs (u, v) whose full shingle sets reach the link threshold."""
     a = sets.select(F.col("node").alias("u"), F.col("shingles").alias("a"))
     b = sets.select(F.col("node").alias("v"), F.col("shingles").alias("b"))
-    both = F.size(F.array_intersect("a", "b"))
-    linked = (pairs.join(a, "u").join(b, "v")
-              .withColumn("both", both)
-              .where(LINK[1] * F.col("both") >= LINK[0] * (F.size("a") + F.size("b") - F.col("both"))))
-    out = scratch.store(linked.select("u", "v"), "links")
-    scratch.drop(sets)
-    return out
+    both = pairs.join(a, "u").join(b, "v").withColumn("both", F.size(F.array_intersect("a", "b")))
+    return scratch.store(both.where(_linked(F.col("both"), F.size("a"), F.size("b"))).select("u", "v"), "links")
+
+
+def _ask_block(key, members: pa.Table, asking: pa.Table) -> pa.Table:
+    """Texts that ask, linked with the first text of the block that reaches the threshold."""
+    out = []
+    if members.num_rows:
+        nodes = members.column("node").to_numpy()
+        own = [x.values.to_numpy() for x in members.column("shingles")]
+        sizes = np.array([len(x) for x in own])
+        flat, starts = np.concatenate(own), np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        for node, shingles in zip(asking.column("u").to_pylist(), asking.column("asked"), strict=True):
+            mine = shingles.values.to_numpy()
+            at = np.minimum(np.searchsorted(mine.view(np.uint64), flat.view(np.uint64)), len(mine) - 1)
+            both = np.add.reduceat((mine[at] == flat).astype(np.int64), starts)
+            hit = np.flatnonzero(_linked(both, sizes, len(mine)))
+            if len(hit):
+                out.append((node, int(nodes[hit[0]])))
+    return pa.table([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], names=["u", "v"])
+
+
+def confirm_groups(asks: DataFrame, groups: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
+    """Links between texts u and texts of group v, for asks (u, v); ``groups`` has (node, grp, weight)."""
+    member = groups.join(asks.select(F.col("v").alias("grp")).distinct(), "grp", "left_semi")
+    pieces = F.ceil(F.col("weight") / GROUP_BLOCK).cast("int")
+    members = member.select("node", "grp", F.pmod(F.xxhash64("node"), pieces).cast("int").alias("piece")).join(sets, "node")
+    size = member.select("grp", pieces.alias("pieces")).distinct()
+    asking = (asks.join(size, F.col("v") == F.col("grp")).join(sets.withColumnRenamed("node", "u"), "u")
+              .select("u", "grp", "shingles", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece")))
+    asking = asking.toDF("u", "of", "asked", "part")  # other names than the members', which share their tables
+    links = (members.groupBy("grp", "piece").cogroup(asking.groupBy("of", "part"))
+             .applyInArrow(_ask_block, "u bigint, v bigint"))
+    return scratch.store(links, "group-links")
 
 
 def near_duplicates(docs: DataFrame, region_rows: int = REGION_ROWS) -> DataFrame:
@@ -310,20 +386,22 @@ def near_duplicates(docs: DataFrame, region_rows: int = REGION_ROWS) -> DataFram
         sketches.where("key is not null and doc_id is not null").groupBy("key")
         .agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"),
              F.first("labels").alias("labels"), F.first("low").alias("low")), "classes")
-    singles = classes.withColumn("grp", F.col("node"))
+    singles = classes.withColumns({"grp": F.col("node"), "weight": F.lit(1).cast("bigint")})
     crowded = _crowded(singles, region_rows, scratch)
-    pairs = scratch.store(candidates(singles, crowded, True, region_rows), "forest-pairs")
-    links = _confirm(pairs, docs, scratch)
-    groups = scratch.store(components(links.select("u", "v"), scratch), "groups")
-
-    active = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    again = (classes.join(active, "node", "left_semi").join(groups, "node", "left")
-             .withColumn("grp", F.coalesce("root", "node")).drop("root"))
-    rest = scratch.store(candidates(again, crowded, False, region_rows).join(pairs, ["u", "v"], "left_anti"), "rest-pairs")
-    more = _confirm(rest, docs, scratch)
+    pairs = scratch.store(sweep(singles, crowded, True, region_rows), "pairs")
+    active = scratch.store(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "active")
+    sets = shingle_sets(docs, active, scratch)
+    links = confirm_pairs(pairs.where("mark").select("u", "v"), sets, scratch)
+    groups = scratch.store(components(links, scratch), "groups")
+
+    known = active.join(groups, "node", "left").select("node", F.coalesce("root", "node").alias("grp"))
+    known = scratch.store(known.join(known.groupBy("grp").agg(F.count(F.lit(1)).alias("weight")), "grp"), "known")
+    asks = scratch.store(sweep(classes.join(known, "node"), crowded, False, region_rows).select("u", "v"), "asks")
+    more = confirm_groups(asks, known, sets, scratch)
     if not more.isEmpty():
-        links = links.union(more)
-        groups = scratch.store(components(links.select("u", "v"), scratch), "groups")
+        # Every text is linked with its group already, so groups and new links together give the components.
+        joined = groups.select(F.col("node").alias("u"), F.col("root").alias("v")).union(more)
+        groups = scratch.store(components(joined, scratch), "groups")
     of_class = scratch.store(classes.select("key", "node").join(groups, "node", "left")
                              .select("key", F.coalesce("root", "node").alias("root")), "class-groups")
     return (sketches.select("doc_id", "n_shingles", "key").join(of_class, "key", "left")
