@@ -119,10 +119,10 @@ def systematic_mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: Fra
 def emit_mix(docs: DataFrame, **options) -> DataFrame:
     """The mixed documents themselves: every row once per copy, with its ``copy`` number.
 
-    All columns of ``docs`` are kept.  Rows that agree in doc_id, source and size are numbered by
+    All columns of ``docs`` are kept, but for one named copy, which is replaced.  Rows that agree in doc_id, source and size are numbered by
     text, so each gets the copies of one of them.
     """
-    names = docs.columns
+    names = [c for c in docs.columns if c != "copy"]
     mixed = systematic_mix(docs.select("doc_id", "text", "source"), **options)
     same = ["mix_id", "mix_source", "mix_size"]
     size = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("bigint")

@@ -45,6 +45,8 @@ _SPAN = "struct<start:bigint,kind:int,stop:bigint>"
 _SCHEMA = (f"doc_id bigint, digest binary, n array<bigint>, base_sha256 string, base array<{_SPAN}>, "
            "seen array<struct<start:bigint,kind:int,stop:bigint,value:string,seed:boolean,patterns:array<string>>>")
 
+_DIGEST, _FOUND = "_pii_digest", "_pii_found"  # names that no input column has
+
 Span = tuple[int, int, int]  # start, kind number, end
 
 
@@ -231,16 +233,16 @@ def redact(text: str, spans: list) -> str:
 
 def _redact_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts, spans = batch.column("text"), batch.column("found")
+        texts, spans = batch.column("text"), batch.column(_FOUND)
         new = [redact(t.as_py(), s.as_py()) if s.is_valid and t.is_valid else t.as_py() for t, s in zip(texts, spans, strict=True)]
-        names = [n for n in batch.schema.names if n != "found"]
+        names = [n for n in batch.schema.names if n != _FOUND]
         yield pa.RecordBatch.from_arrays([pa.array(new, pa.string()) if n == "text" else batch.column(n) for n in names], names=names)
 
 
 def redact_documents(docs: DataFrame) -> DataFrame:
     """``docs`` with its personal data replaced; all columns are kept, other texts stay as they are."""
     found = (find_personal_data(docs.select("doc_id", "text")).where("size(found) > 0")
-             .select("digest", "found").dropDuplicates(["digest"]))
-    marked = (docs.withColumn("digest", F.unhex(F.sha2(F.encode("text", "UTF-8"), 256)))
-              .join(found, "digest", "left").drop("digest"))
+             .select(F.col("digest").alias(_DIGEST), F.col("found").alias(_FOUND)).dropDuplicates([_DIGEST]))
+    marked = (docs.withColumn(_DIGEST, F.unhex(F.sha2(F.encode("text", "UTF-8"), 256)))
+              .join(found, _DIGEST, "left").drop(_DIGEST))
     return marked.mapInArrow(_redact_batches, docs.schema)
