@@ -92,11 +92,12 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = EPOCHS,
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / WIDTH, 1 / WIDTH, (2 * BUCKETS, WIDTH)).astype(np.float32)
     model = Model(vectors, np.zeros((WIDTH, 2), np.float32), np.zeros(2, np.float32))
-    parts = [(at, (n / n.sum()).astype(np.float32), y) for at, n, y in rows if len(at)]
+    parts = [row for row in rows if len(row[0])]
     steps, done = max(1, epochs * len(parts)), 0
     for _ in range(epochs):
         for k in rng.permutation(len(parts)):
-            at, share, y = parts[k]
+            at, n, y = parts[k]
+            share = (n / n.sum(dtype=np.int64)).astype(np.float32)
             lr = np.float32(rate * (1 - done / steps))
             done += 1
             mean = share @ vectors[at]
@@ -138,9 +139,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | Non
               .orderBy(F.xxhash64(F.col("doc_id"), F.lit("sample")), "doc_id").limit(sample))
     rows = (docs.select("doc_id", "text").join(chosen, "doc_id").dropDuplicates(["doc_id"])
             .select("text", "label").mapInArrow(_collected, "label int, at binary, n binary")).toArrow()
+    # The driver holds the counts once, as they came: two bytes a bucket and two a count.
     order = sorted(zip(*(c.to_pylist() for c in rows.columns), strict=True))  # the same steps in every run
+    del rows
     wide = np.uint16 if 2 * BUCKETS <= 1 << 16 else np.uint32
-    parts = [(np.frombuffer(a, wide).astype(np.int64), np.frombuffer(n, np.uint16).astype(np.int64), y) for y, a, n in order]
+    parts = [(np.frombuffer(a, wide), np.frombuffer(n, np.uint16), y) for y, a, n in order]
     return train(parts) if parts else None
 
 
