@@ -6,7 +6,9 @@ Spark would otherwise plan badly at scale are written the scalable way:
 * group totals next to detail rows use an aggregate joined back, not a
   window (a window sends a whole group to one task);
 * percentages of a grand total use an uncorrelated scalar subquery
-  (``DataFrame.scalar``), evaluated once and inlined as a literal;
+  (``DataFrame.scalar``) over the grouped rows, evaluated once;
+* the keyed side of a join is moved off its aggregate's partitioning
+  (:func:`for_skew_join`), so that adaptive execution can split a hot key;
 * pivots are one aggregate of conditional expressions: one shuffle, partial
   aggregation on the map side;
 * top-k is ``orderBy().limit()`` which plans as a per-partition top-k
@@ -23,6 +25,16 @@ from pyspark.sql import functions as F
 from fieldbook.functions.exprs import round_int
 
 
+def for_skew_join(keyed: DataFrame, *cols: str) -> DataFrame:
+    """``keyed`` (one row per key) dealt by another hash than the join's.
+
+    Adaptive execution splits a hot key only where both sides of a join end in
+    the join's own exchange.  An aggregate by the join key needs none, so its
+    rows are dealt otherwise first; that moves one row per key.
+    """
+    return keyed.repartition(F.xxhash64(*cols))
+
+
 def distinct_values(df: DataFrame, *cols: str | Column) -> DataFrame:
     """``SELECT DISTINCT cols`` (F-15, F-16)."""
     return df.select(*cols).distinct()
@@ -40,8 +52,8 @@ def share_of_total(df: DataFrame, keys: Sequence[str], measure: str | None, how:
     """Per-group count or sum, and its share of the grand total in percent, rounded (A-12).
 
     ``how`` is ``"count"`` (``COUNT(measure)`` or ``COUNT(*)`` when measure is
-    None) or ``"sum"``.  The grand total is a scalar subquery over the input,
-    computed once; a zero total yields NULL.
+    None) or ``"sum"``.  The grand total adds up the groups, so the input is
+    scanned once; a zero total yields NULL.
     """
     if how == "count":
         agg = F.count(F.col(measure)) if measure else F.count(F.lit(1))
@@ -49,8 +61,8 @@ def share_of_total(df: DataFrame, keys: Sequence[str], measure: str | None, how:
         agg = F.sum(F.col(measure))
     else:
         raise ValueError(how)
-    total = df.agg(agg.alias("_total")).scalar()
     grouped = df.groupBy(*keys).agg(agg.alias(out_value))
+    total = grouped.agg(F.sum(out_value)).scalar()
     share = F.try_divide(F.col(out_value).cast("double"), total.cast("double")) * F.lit(100.0)
     return grouped.withColumn(out_pct, round_int(share))
 
@@ -62,13 +74,13 @@ def with_group_total(df: DataFrame, keys: Sequence[str], measure: str, out: str)
     lets adaptive execution broadcast small totals or split a skewed key.
     """
     totals = df.groupBy(*keys).agg(F.sum(measure).alias(out))
-    return df.join(totals, list(keys), "inner")
+    return df.join(for_skew_join(totals, *keys), list(keys), "inner")
 
 
 def with_group_max(df: DataFrame, keys: Sequence[str], measure: str, out: str) -> DataFrame:
     """``MAX(measure) OVER (PARTITION BY keys)`` as an aggregate joined back (W-6)."""
     maxima = df.groupBy(*keys).agg(F.max(measure).alias(out))
-    return df.join(maxima, list(keys), "inner")
+    return df.join(for_skew_join(maxima, *keys), list(keys), "inner")
 
 
 def _distinct_keys(other: DataFrame, key: str) -> DataFrame:
@@ -83,7 +95,7 @@ def _distinct_keys(other: DataFrame, key: str) -> DataFrame:
 
 def semi(df: DataFrame, other: DataFrame, left_key: str, right_key: str | None = None) -> DataFrame:
     """``WHERE key IN (SELECT key FROM other)`` as a left semi-join (J-9)."""
-    keys = _distinct_keys(other, right_key or left_key)
+    keys = for_skew_join(_distinct_keys(other, right_key or left_key), "_fb_key")
     return df.join(keys, F.col(left_key) == F.col("_fb_key"), "left_semi")
 
 
@@ -100,7 +112,7 @@ def not_in(df: DataFrame, other: DataFrame, left_key: str, right_key: str | None
     # two scalar aggregates over the same keys: Spark merges them into one subquery, run once
     n_keys = keys.agg(F.count(F.lit(1))).scalar()
     n_null = keys.agg(F.count_if(F.col("_fb_key").isNull())).scalar()
-    anti = df.join(keys, F.col(left_key) == F.col("_fb_key"), "left_anti")
+    anti = df.join(for_skew_join(keys, "_fb_key"), F.col(left_key) == F.col("_fb_key"), "left_anti")
     return anti.filter((n_keys == 0) | (F.col(left_key).isNotNull() & (n_null == 0)))
 
 

@@ -13,7 +13,8 @@ from fieldbook.plans.registry import register
 from fieldbook.sources.roles import survey_tables
 from fieldbook.sources.tables import load
 
-_NATIVE_COUNTED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+_NATIVE_COUNTED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+                   "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 @register("a01_count_all", "SELECT " + ", ".join(f"(SELECT COUNT(*) FROM {t}) AS n_{t}" for t in _NATIVE_COUNTED))

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldbook.functions.exprs import like_ci
-from fieldbook.operators.quality import check_reference, check_unique, profile_relationship
+from fieldbook.operators.quality import check_domain, check_reference, check_unique, profile_relationship
+from fieldbook.operators.relational import count_by
 from fieldbook.plans.registry import register
 from fieldbook.sources.roles import survey_tables
 from fieldbook.sources.tables import load
@@ -57,6 +58,30 @@ def c02_orders_without_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check_reference(o, load(spark, sf_dir, "customer", ["c_custkey"]), "o_custkey", "c_custkey")
 
 
+@register("c02_orders_outside_segment", """
+SELECT o_orderkey, o_custkey FROM orders
+LEFT JOIN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING') ON c_custkey = o_custkey
+WHERE c_custkey IS NULL AND o_custkey IS NOT NULL""")
+def c02_orders_outside_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reference check against one market segment: orders of all other customers are reported."""
+    o = load(spark, sf_dir, "orders", ["o_orderkey", "o_custkey"])
+    c = load(spark, sf_dir, "customer", ["c_custkey", "c_mktsegment"]).filter(F.col("c_mktsegment") == "BUILDING")
+    return check_reference(o, c, "o_custkey", "c_custkey")
+
+
+@register("c04_undeclared_status", """
+SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'F' AND o_orderstatus <> 'O'""")
+def c04_undeclared_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders whose status is outside the allowed list."""
+    return check_domain(load(spark, sf_dir, "orders", ["o_orderkey", "o_orderstatus"]), "o_orderstatus", ("F", "O"))
+
+
+@register("c01_unique_event_users", """
+SELECT user_id, COUNT(*) AS n_rows FROM events GROUP BY 1 HAVING COUNT(*) > 1""")
+def c01_unique_event_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return check_unique(load(spark, sf_dir, "events", ["user_id"]), ["user_id"])
+
+
 _PROFILE_SQL = """
 WITH l AS (SELECT {lk} AS k, COUNT(*) AS ln FROM {left} GROUP BY 1),
      r AS (SELECT {rk} AS k, COUNT(*) AS rn FROM {right} GROUP BY 1),
@@ -94,10 +119,13 @@ FROM auditor_report ar JOIN visits v ON ar.location_id = v.location_id
 GROUP BY 1 HAVING COUNT(v.location_id) > 1""")
 def c05_audited_multi_visit(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = survey_tables(spark, sf_dir)
-    j = t.auditor_report.join(t.visits.select("location_id"), "location_id")
+    # both sides are counted before they meet, so a hot location joins as one row
+    visits = count_by(t.visits, ["location_id"], None, "n_visits")
     # type is functionally dependent on the audited location (A-11): any value of the group
-    return (j.groupBy(F.col("location_id").alias("audited_location"))
-             .agg(F.count("location_id").alias("num_of_pre_audit_visit"),
-                  F.max("type_of_water_source").alias("source_type"))
-             .filter(F.col("num_of_pre_audit_visit") > 1)
-             .orderBy(F.desc("num_of_pre_audit_visit")))
+    audits = t.auditor_report.groupBy("location_id").agg(
+        F.count(F.lit(1)).alias("n_audits"), F.max("type_of_water_source").alias("source_type"))
+    return (audits.join(visits, "location_id")
+            .select(F.col("location_id").alias("audited_location"),
+                    (F.col("n_audits") * F.col("n_visits")).alias("num_of_pre_audit_visit"), "source_type")
+            .filter(F.col("num_of_pre_audit_visit") > 1)
+            .orderBy(F.desc("num_of_pre_audit_visit")))

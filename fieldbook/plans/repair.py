@@ -10,7 +10,7 @@ from fieldbook.operators.cleaning import (apply_fixes, bad_phone_numbers, clean_
                                           mislabelled, pollution_fixes)
 from fieldbook.operators.relational import distinct_values
 from fieldbook.plans.registry import register
-from fieldbook.sources.io import snapshot
+from fieldbook.sources.io import drop_view, read_csv, register_view, shared_path, snapshot, write_csv
 from fieldbook.sources.roles import EMAIL_DOMAIN, survey_tables
 from fieldbook.sources.tables import load
 
@@ -116,6 +116,24 @@ def s13_fix_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fix_report(_wp(spark, sf_dir), pollution_fixes())
 
 
+@register("s03_csv_round_trip", "SELECT p_partkey, p_type, p_size FROM part")
+def s03_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts exported as CSV with a header (S-4) and imported into a declared schema (S-3, S-5)."""
+    parts = load(spark, sf_dir, "part", ["p_partkey", "p_type", "p_size"])
+    path = shared_path(spark, "part_csv")
+    write_csv(parts, path)
+    return read_csv(spark, path, parts.schema)
+
+
+@register("s08_drop_view", """
+SELECT r_regionkey, r_name, true AS dropped, false AS still_there FROM region""")
+def s08_drop_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of a view, and whether the view is gone once dropped."""
+    rows = register_view(load(spark, sf_dir, "region", ["r_regionkey", "r_name"]), "region_view")
+    dropped = drop_view(spark, "region_view")
+    return rows.withColumns({"dropped": F.lit(dropped), "still_there": F.lit(spark.catalog.tableExists("region_view"))})
+
+
 @register("s06_snapshot_part", "SELECT * FROM part")
 def s06_snapshot_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot(load(spark, sf_dir, "part"), "part_copy")
@@ -147,10 +165,8 @@ def x05_phone_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("f19_bad_phone_numbers", """
-SELECT trimmed_phone_number, trimmed_length
-FROM (SELECT trim(phone_number) AS trimmed_phone_number, CAST(strlen(trim(phone_number)) AS INTEGER) AS trimmed_length
-      FROM employee) trim_num
-WHERE trimmed_length <> 12""")
+SELECT trim(phone_number) AS trimmed_phone_number, CAST(strlen(trim(phone_number)) AS INTEGER) AS trimmed_length
+FROM employee WHERE strlen(trim(phone_number)) <> 12""")
 def f19_bad_phone_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bad_phone_numbers(_emp(spark, sf_dir), 12)
 

@@ -23,11 +23,11 @@ WEEKDAYS = QUEUE_PIVOT_COLUMNS[1:]
 
 def served_by_type(ws: DataFrame) -> DataFrame:
     """K-7: per source type: sources, average and total people served, share and rank."""
-    total = ws.agg(F.sum("number_of_people_served")).scalar()
     per_type = ws.groupBy("type_of_water_source").agg(
         F.count(F.col("source_id")).alias("num_of_sources"),
         round_int(F.avg("number_of_people_served")).alias("avg_served"),
         F.sum("number_of_people_served").alias("population_served"))
+    total = per_type.agg(F.sum("population_served")).scalar()
     share = F.try_divide(F.col("population_served").cast("double"), total.cast("double")) * F.lit(100.0)
     per_type = per_type.withColumn("percentage_people_per_source", round_int(share))
     return rank_within(per_type, [], ["population_served"], descending=True,

@@ -9,7 +9,7 @@ def canon(v):
     if v is None:
         return "NULL"
     if isinstance(v, float):
-        return "NULL" if math.isnan(v) else f"{v:.6f}"
+        return "NaN" if math.isnan(v) else f"{v:.6f}"
     if isinstance(v, decimal.Decimal):
         return f"{float(v):.6f}"
     if isinstance(v, (dt.datetime, dt.date)):
