@@ -3,15 +3,17 @@
 Every text becomes its set of distinct five-word shingles.  A signature of
 ``TREES * DEPTH`` MinHash values is cut into ``TREES`` labels of ``DEPTH`` values; a
 tree is the sorted order of one label.  Texts that share a label prefix are
-candidates.  The prefix is ``MIN_DEPTH`` values where a region of the order is thin,
-and grows value by value where it holds more than ``REGION_ROWS`` texts, so that
-every region is compared completely in bounded memory.
+candidates if the first ``MIN_DEPTH`` values of a label agree, however many texts share them.
 
 Links are confirmed on full shingle sets, in two sweeps.  The first takes from every
 region a spanning forest of its likely pairs and confirms those of the first
-``FIRST_TREES`` trees one by one.  The second finds every text that is likely linked with a
-text of another group, and compares it with all texts of that group, block by block.
-A pair inside a group cannot change the result, so leaving it out loses nothing.
+``FIRST_TREES`` trees one by one; where more than ``REGION_ROWS`` texts share a prefix it only
+looks at longer prefixes, to form most groups cheaply.  The second finds every text that is
+likely linked with a text of another group, and compares it with all texts of that group,
+block by block.  It compares each region completely: a crowded one is split into
+blocks, and every pair of blocks is a piece of work of its own.  A pair inside a group
+cannot change the result, so leaving it out loses nothing, and blocks of one and the same
+group are not brought together.
 
 Edge cases.  Null and blank texts have an empty set and are linked with nothing.  Rows
 with a null doc_id are left alone: their component is null and they are kept.  Repeated
@@ -191,22 +193,26 @@ def _small_regions(rows: _Region, index: np.ndarray, region_of: np.ndarray, size
     return np.concatenate(out_i), np.concatenate(out_j)
 
 
-def _large_region(rows: _Region, lo: int, hi: int, forest: bool):
-    """Likely pairs of one large region: every row against all rows before it."""
+def _large_region(rows: _Region, lo: int, hi: int, forest: bool, cross: int = 0):
+    """Likely pairs of one large region: every row against all rows before it.
+
+    With ``cross`` only the pairs of one of the first ``cross`` rows with one of the others.
+    """
     columns = np.ascontiguousarray(rows.low[lo:hi].T)
     size, group = rows.size[lo:hi], rows.group[lo:hi]
     n = hi - lo
     parent = np.arange(n)
     out_i, out_j = [], []
-    for start in range(0, n, 256):
+    for start in range(cross, n, 256):
         stop = min(start + 256, n)
-        equal = np.zeros((stop - start, stop), dtype=np.uint8)
+        equal = np.zeros((stop - start, cross or stop), dtype=np.uint8)
         for c in range(VALUES):
-            equal += columns[c, start:stop, None] == columns[c, None, :stop]
+            equal += columns[c, start:stop, None] == columns[c, None, :cross or stop]
         for r in range(start, stop):
-            likely = equal[r - start, :r] >= LIKELY
-            likely &= group[:r] != group[r]
-            a = size[:r]
+            before = cross or r
+            likely = equal[r - start, :before] >= LIKELY
+            likely &= group[:before] != group[r]
+            a = size[:before]
             likely &= LINK[1] * np.minimum(a, size[r]) >= LINK[0] * np.maximum(a, size[r])
             js = np.flatnonzero(likely)
             if not len(js):
@@ -240,18 +246,31 @@ def _pairs_in(table: pa.Table, forest: bool) -> pa.RecordBatch:
         a, b = rows.node[i], rows.node[j]
         return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(rows.tree[i] < FIRST_TREES)],
                                           names=["u", "v", "mark"])
-    # The text of the smaller group asks; of equal groups that with the larger number.
+    asks = _asks(rows, i, j)
+    return pa.RecordBatch.from_arrays([pa.array(asks[:, 0]), pa.array(asks[:, 1]), pa.array(np.ones(len(asks), bool))], names=["u", "v", "mark"])
+
+
+def _asks(rows: _Region, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Text and group of row pairs: the text of the smaller group asks; of equal groups that with the larger number."""
     turn = (rows.weight[i] > rows.weight[j]) | ((rows.weight[i] == rows.weight[j]) & (rows.group[i] < rows.group[j]))
     i, j = np.where(turn, j, i), np.where(turn, i, j)
-    asks = np.unique(np.stack([rows.node[i], rows.group[j]], axis=1), axis=0) if len(i) else np.zeros((0, 2), np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(asks[:, 0]), pa.array(asks[:, 1]), pa.array(np.ones(len(asks), bool))], names=["u", "v", "mark"])
+    return np.unique(np.stack([rows.node[i], rows.group[j]], axis=1), axis=0) if len(i) else np.zeros((0, 2), np.int64)
+
+
+def _compare_blocks(table: pa.Table) -> pa.Table:
+    """Asks between the two blocks of one piece of work, or inside its single block."""
+    table = table.sort_by("side")
+    rows = _Region(table)
+    cross = int((table.column("side").to_numpy() == 0).sum()) % table.num_rows  # 0 if there is one block
+    asks = _asks(rows, *_large_region(rows, 0, table.num_rows, False, cross))
+    return pa.table([pa.array(asks[:, 0]), pa.array(asks[:, 1])], names=["u", "v"])
 
 
 def _sweep(forest: bool, region_rows: int):
     """Pass over partitions sorted by region; a region that spans batches is put together first.
 
-    A region larger than ``region_rows`` (texts whose whole labels agree) is
-    compared in overlapping blocks, so that memory stays bounded.
+    A region larger than ``region_rows`` (texts whose whole labels agree) is looked at
+    in overlapping blocks, so that memory stays bounded; ``sweep_crowded`` compares it completely.
     """
     def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
@@ -299,10 +318,11 @@ def sweep(classes: DataFrame, crowded: list[DataFrame], forest: bool, region_row
     """Compare the texts (node, n_shingles, grp, weight, labels, low) of every region, leaving out pairs within a ``grp``.
 
     With ``forest``: likely pairs (u < v), and whether one of the first trees gave it.  Otherwise:
-    texts u that are likely linked with a text of the group v.
+    texts u that are likely linked with a text of the group v, without the crowded regions.
     """
-    rows = _tree_rows(classes).withColumn("depth", F.lit(MIN_DEPTH))
-    for depth, level in enumerate(crowded, MIN_DEPTH):
+    rows = _tree_rows(classes) if forest or not crowded else _crowded_rows(classes, crowded, "left_anti").drop("prefix")
+    rows = rows.withColumn("depth", F.lit(MIN_DEPTH))
+    for depth, level in enumerate(crowded if forest else [], MIN_DEPTH):
         mark = level.select("tree", F.col("prefix").alias("p"), F.lit(True).alias("deeper"))
         rows = (rows.withColumn("p", F.expr(f"substring(label, 1, {2 * depth})")).join(mark, ["tree", "p"], "left")
                 .withColumn("depth", F.when(F.col("deeper"), F.lit(depth + 1)).otherwise(F.col("depth")))
@@ -314,6 +334,50 @@ def sweep(classes: DataFrame, crowded: list[DataFrame], forest: bool, region_row
     return found.groupBy("u", "v").agg(F.max("mark").alias("mark"))
 
 
+def _crowded_rows(classes: DataFrame, crowded: list[DataFrame], kind: str) -> DataFrame:
+    """Tree rows whose shortest prefix is crowded (``left_semi``) or not (``left_anti``)."""
+    return (_tree_rows(classes).withColumn("prefix", F.expr(f"substring(label, 1, {2 * MIN_DEPTH})"))
+            .join(crowded[0], ["tree", "prefix"], kind))
+
+
+def sweep_crowded(classes: DataFrame, crowded: list[DataFrame], scratch: Scratch, region_rows: int = REGION_ROWS) -> DataFrame:
+    """Texts u that are likely linked with a text of the group v, for all pairs of texts in a crowded region.
+
+    A group of more than ``region_rows`` texts in a region has blocks of its own, the other texts share
+    blocks.  Only blocks that are not of one and the same group are compared.
+    """
+    rows = (_crowded_rows(classes, crowded, "left_semi")
+            .select(F.xxhash64("tree", "prefix").alias("region"), "tree", "node", "n_shingles", "grp", "weight", "low"))
+    per = scratch.store(rows.groupBy("region", "grp").agg(F.count(F.lit(1)).alias("n")), "crowd-sizes")
+    pieces = F.ceil(F.col("n") / region_rows).cast("int").alias("pieces")
+    alone = per.where(F.col("n") > region_rows).select("region", F.col("grp").alias("own"), pieces)
+    shared = per.where(F.col("n") <= region_rows).groupBy("region").agg(F.sum("n").alias("n")).select("region", pieces)
+    kinds = scratch.store(alone.withColumn("pooled", F.lit(False)).select("region", "pooled", "own", "pieces").union(
+        shared.select("region", F.lit(True), F.lit(0).cast("bigint"), "pieces")), "crowd-kinds")
+
+    a, b = (kinds.select("region", F.struct("pooled", "own").alias(x), F.col("pieces").alias(f"{x}_pieces")) for x in "ab")
+    same = F.col("a") == F.col("b")
+    work = (a.join(b, "region").where((F.col("a") < F.col("b")) | (same & F.col("a.pooled")))
+            .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("a_pieces") - 1)))
+            .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("b_pieces") - 1)))
+            .where(~same | (F.col("i") <= F.col("j"))).withColumn("work", F.monotonically_increasing_id()))
+    work = scratch.store(work.select("work", "region", "a", "b", "i", "j"), "crowd-work")
+    first = work.select("work", "region", F.lit(0).alias("side"), "a.pooled", "a.own", F.col("i").alias("piece"))
+    second = (work.where((F.col("a") != F.col("b")) | (F.col("i") != F.col("j")))
+              .select("work", "region", F.lit(1).alias("side"), "b.pooled", "b.own", F.col("j").alias("piece")))
+
+    key = ["region", "pooled", "own", "piece"]
+    big = alone.select("region", F.col("own").alias("grp"), F.col("pieces").alias("own_pieces"))
+    small = shared.withColumnRenamed("pieces", "shared_pieces")
+    placed = (rows.join(big, ["region", "grp"], "left").join(small, "region", "left")
+              .withColumn("pooled", F.col("own_pieces").isNull())
+              .withColumn("own", F.when(F.col("pooled"), F.lit(0)).otherwise(F.col("grp")))
+              .withColumn("piece", F.pmod(F.xxhash64("node"), F.coalesce("own_pieces", "shared_pieces")).cast("int")))
+    sent = (placed.join(first.union(second), key)
+            .select("work", "side", F.col("region"), "tree", "node", "n_shingles", "grp", "weight", "low"))
+    return sent.groupBy("work").applyInArrow(_compare_blocks, "u bigint, v bigint").distinct()
+
+
 def shingle_sets(docs: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, shingles) of the documents in ``nodes``, stored.
 
@@ -397,6 +461,16 @@ def near_duplicates(docs: DataFrame, region_rows: int = REGION_ROWS) -> DataFram
     known = active.join(groups, "node", "left").select("node", F.coalesce("root", "node").alias("grp"))
     known = scratch.store(known.join(known.groupBy("grp").agg(F.count(F.lit(1)).alias("weight")), "grp"), "known")
     asks = scratch.store(sweep(classes.join(known, "node"), crowded, False, region_rows).select("u", "v"), "asks")
+    if crowded:
+        # A text that no pair names has none in its thin regions, but may have some in its crowded ones.
+        everyone = classes.join(known, "node", "left").withColumns(
+            {"grp": F.coalesce("grp", "node"), "weight": F.coalesce("weight", F.lit(1).cast("bigint"))})
+        asks = scratch.store(asks.union(sweep_crowded(everyone, crowded, scratch, region_rows)).distinct(), "all-asks")
+        named = asks.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+        late = scratch.store(named.join(active, "node", "left_anti"), "late")
+        if not late.isEmpty():
+            known = known.unionByName(late.withColumns({"grp": F.col("node"), "weight": F.lit(1).cast("bigint")}))
+            sets = sets.union(shingle_sets(docs, late, scratch))
     more = confirm_groups(asks, known, sets, scratch)
     if not more.isEmpty():
         # Every text is linked with its group already, so groups and new links together give the components.

@@ -90,6 +90,31 @@ def test_near_duplicates_in_crowded_regions(spark):
     assert {r.component_id for r in got} == {0}
 
 
+def test_near_duplicates_sole_links_in_crowded_regions(spark):
+    """Texts with a single link, among texts that crowd the regions of every tree."""
+    rng = np.random.default_rng(5)
+    base = [f"w{k}" for k in range(300)]
+    rows = []
+    for k in range(60):
+        first = list(base)
+        for at in 6 * rng.choice(50, 5, replace=False):
+            first[at] = f"a{k}_{at}"
+        second = list(first)
+        for at in 6 * rng.choice(50, 8, replace=False) + 3:
+            second[at] = f"b{k}_{at}"
+        rows += [(k, " ".join(first), "s"), (1000 + k, " ".join(second), "s")]
+    sets = {i: {tuple(w[k:k + 5]) for k in range(len(w) - 4)} for i, t, _ in rows for w in [t.split()]}
+    alike = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in sets for b in sets if a < b}
+    root = {i: i for i in sets}
+    for (a, b), part in alike.items():
+        if part >= 0.75:
+            old, new = max(root[a], root[b]), min(root[a], root[b])
+            root = {i: new if r == old else r for i, r in root.items()}
+    assert all(sum(part >= 0.75 for pair, part in alike.items() if 1000 + k in pair) == 1 for k in range(60))
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(table(spark, rows), region_rows=4).collect()}
+    assert got == root
+
+
 def test_near_duplicates_edges(edge, empty):
     got = [(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_dedup.near_duplicates(edge).collect()]
     assert sorted(got, key=str) == sorted([(1, 0, 1, True), (2, 0, 2, True), (3, 0, 3, True), (None, 7, None, True), (4, 1, 4, True),
