@@ -1,10 +1,10 @@
 """Operator 6: secrets in texts and in what is encoded in them.
 
-A text is the first layer of a worklist.  Every layer is searched for secrets and for
-encoded pieces: percent-encoded or Unicode-escaped words, base64 runs, and compressed
-data inside those.  A decoded piece is a new layer, until no layer is left; a layer
-whose content was seen before in the same text is not opened again, so cycles end.  A match in
-a layer is reported at the span of the outer text that it came from.
+A text is the first layer.  Decoding one level of its percent or Unicode escapes gives
+the next, until none is left; every layer is searched for secrets and for base64 runs, with
+compressed data inside those.  What a run's content holds, in all that is encoded in it, is worked out
+once per content and reported at every place where that content stands; a content met again
+below itself ends a cycle.  A match in a layer is reported at the span of the outer text that it came from.
 
 Compressed pieces are inflated step by step.  A piece that would give more than
 ``MAX_LAYER`` characters is left closed and counted in ``n_unopened``: that bound
@@ -26,6 +26,7 @@ from collections.abc import Iterator
 from typing import NamedTuple
 from urllib.parse import unquote_to_bytes
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,8 +38,6 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
 
-_ESCAPED = re.compile(r"%[0-9A-Fa-f]{2}|\\u[0-9A-Fa-f]{4}|\\u\{[0-9A-Fa-f]{1,6}\}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(r"\\u[0-9A-Fa-f]{4}|\\u\{[0-9A-Fa-f]{1,6}\}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
@@ -48,17 +47,14 @@ Span = tuple[int, int, int]  # start, kind number, end
 
 
 class Layer(NamedTuple):
-    """A decoded piece; character k comes from ``start[k] .. end[k]`` of the outer text, or all of it from ``whole``."""
+    """A text; character k comes from ``start[k] .. end[k]`` of the outer text, or stands there itself."""
 
     text: str
-    start: list[int] | None
-    end: list[int] | None
-    whole: tuple[int, int] | None
+    start: np.ndarray | None
+    end: np.ndarray | None
 
     def outer(self, lo: int, hi: int) -> tuple[int, int]:
-        if self.whole:
-            return self.whole
-        return (self.start[lo], self.end[hi - 1]) if self.start is not None else (lo, hi)
+        return (lo, hi) if self.start is None else (int(self.start[lo]), int(self.end[hi - 1]))
 
 
 def matches(text: str) -> list[Span]:
@@ -72,28 +68,30 @@ def matches(text: str) -> list[Span]:
     return sorted(out)
 
 
-def _unescape_word(layer: Layer, lo: int, hi: int) -> Layer:
-    """Decode the percent and Unicode escapes of ``layer.text[lo:hi]``, one level."""
-    word = layer.text[lo:hi]
-    pattern = _PERCENT if _PERCENT.search(word) else _UNICODE
-    chars, start, end, at = [], [], [], 0
-
-    def copy(upto):
-        for k in range(at, upto):
-            chars.append(word[k])
-            a, b = layer.outer(lo + k, lo + k + 1)
-            start.append(a)
-            end.append(b)
-    for m in pattern.finditer(word):
-        copy(m.start())
+def _escapes(text: str) -> re.Pattern | None:
+    """Pattern of the escapes to decode next: percent signs before the others."""
+    if "%" in text and _PERCENT.search(text):
+        return _PERCENT
+    return _UNICODE if ("\\" in text or "&#" in text) and _UNICODE.search(text) else None
+
+
+def unescaped(layer: Layer) -> Layer | None:
+    """The whole text with one level of its escapes decoded, so that neighbours stay neighbours; None without escapes."""
+    text, pattern = layer.text, _escapes(layer.text)
+    if pattern is None:
+        return None
+    parts, first, last, at = [], [], [], 0
+    for m in pattern.finditer(text):
+        new = _unescape(m.group())
+        parts += [text[at:m.start()], new]
+        first += [np.arange(at, m.start()), np.full(len(new), m.start())]
+        last += [np.arange(at, m.start()), np.full(len(new), m.end() - 1)]
         at = m.end()
-        for c in _unescape(m.group()):
-            chars.append(c)
-            a, b = layer.outer(lo + m.start(), lo + m.end())
-            start.append(a)
-            end.append(b)
-    copy(len(word))
-    return Layer("".join(chars), start, end, None)
+    parts.append(text[at:])
+    first, last = (np.concatenate([*x, np.arange(at, len(text))]) for x in (first, last))
+    if layer.start is None:
+        return Layer("".join(parts), first, last + 1)
+    return Layer("".join(parts), layer.start[first], layer.end[last])
 
 
 def _unescape(piece: str) -> str:
@@ -139,40 +137,69 @@ def _unpack(piece: str) -> tuple[str | None, bool]:
     return (text, False) if len(text) >= 8 and not odd else (None, False)
 
 
-def layers_in(layer: Layer) -> tuple[list[Layer], int]:
-    """Layers one step below, and the compressed pieces left closed."""
-    text, out, closed = layer.text, [], 0
-    if ("%" in text or "\\" in text or "&#" in text) and _ESCAPED.search(text):
-        for m in _WORD.finditer(text):
-            if _ESCAPED.search(m.group()):
-                out.append(_unescape_word(layer, m.start(), m.end()))
+def packed(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int]]]:
+    """(start, end, content) of the base64 pieces, and the compressed pieces left closed."""
+    out, closed = [], []
     for m in _BASE64.finditer(text):
         inner, big = _unpack(m.group())
-        closed += big
+        if big:
+            closed.append(m.span())
         if inner is not None:
-            out.append(Layer(inner, None, None, layer.outer(m.start(), m.end())))
+            out.append((*m.span(), inner))
     return out, closed
 
 
+class _Contents:
+    """What decoded contents of a document hold, by content."""
+
+    def __init__(self):
+        self.direct: dict[str, tuple[set[int], list[str], int]] = {}
+        self.all: dict[str, tuple[set[int], int]] = {}
+
+    def __call__(self, content: str) -> tuple[set[int], int]:
+        """Kinds found in ``content`` and in everything below it, and the pieces left closed."""
+        if content not in self.all:
+            kinds, closed, seen, work = set(), 0, {content}, [content]
+            while work:
+                own, below, shut = self._look(work.pop())
+                kinds |= own
+                closed += shut
+                new = set(below) - seen
+                seen |= new
+                work += new
+            self.all[content] = kinds, closed
+        return self.all[content]
+
+    def _look(self, text: str) -> tuple[set[int], list[str], int]:
+        if text not in self.direct:
+            pieces, closed = packed(text)
+            lower = unescaped(Layer(text, None, None))
+            self.direct[text] = ({k for _, k, _ in matches(text)}, [p[2] for p in pieces] + ([lower.text] if lower else []), len(closed))
+        return self.direct[text]
+
+
 def scan(text: str) -> tuple[list[Span], list[Span], int]:
     """Plain spans, spans found in decoded layers only, and the pieces left closed."""
     base = matches(text)
-    known, found, seen, unopened = set(base), [], {text}, 0
-    work = [Layer(text, None, None, None)]
-    while work:
-        inside, closed = layers_in(work.pop())
-        unopened += closed
-        for layer in inside:
-            if layer.text in seen:
-                continue
-            seen.add(layer.text)
-            work.append(layer)
+    found: set[Span] = set()
+    unopened: dict[tuple[int, int], int] = {}  # an outer piece can be met in several layers
+    contents = _Contents()
+    layer = Layer(text, None, None)
+    while layer is not None:  # every level of escapes is shorter than the one before
+        if layer.start is not None:
             for lo, kind, hi in matches(layer.text):
                 a, b = layer.outer(lo, hi)
-                if (a, kind, b) not in known:
-                    known.add((a, kind, b))
-                    found.append((a, kind, b))
-    return base, sorted(found), unopened
+                found.add((a, kind, b))
+        pieces, closed = packed(layer.text)
+        for lo, hi, inner in pieces:
+            a, b = layer.outer(lo, hi)
+            kinds, shut = contents(inner)
+            found |= {(a, kind, b) for kind in kinds}
+            unopened[a, b] = max(unopened.get((a, b), 0), shut)
+        for lo, hi in closed:
+            unopened[layer.outer(lo, hi)] = 1
+        layer = unescaped(layer)
+    return base, sorted(found - set(base)), sum(unopened.values())
 
 
 def joined(spans: list[Span], kinds: tuple[str, ...] = KINDS) -> str:

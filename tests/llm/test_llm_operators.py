@@ -236,6 +236,28 @@ def test_secret_layers():
     assert any(k == 0 and text[a:b].startswith("\\u0074oken") for a, k, b in more)
 
 
+def test_secret_layers_at_every_position():
+    import base64
+
+    plain = "password=abcdefghijkl"
+    for piece in (base64.b64encode(plain.encode()).decode(), "%70assword=abcdefghijkl", "\\u0070assword=abcdefghijkl"):
+        text = f"{piece} and again\n{piece}\nand {piece}"
+        want = [(m.start(), 0, m.end()) for m in re.finditer(re.escape(piece), text)]
+        base, more, _ = secret_scan.scan(text)
+        assert len(want) == 3 and set(want) <= set(base + more)
+    inner = base64.b64encode(plain.encode()).decode()
+    outer = base64.b64encode(f"see {inner} there".encode()).decode()
+    text = f"{outer} {inner} {outer}"
+    assert [(a, b) for a, k, b in secret_scan.scan(text)[1] if k == 0] == [m.span() for m in re.finditer(r"\S+", text)]
+
+
+def test_secret_escapes_beside_plain_words():
+    for text in ("password: hunter%32abcdefghij", "\\u0070assword = hunter2abcdefgh", "pass%77ord: abcdefghijklmnop",
+                 "&#112;assword = hunter2abc%64efgh"):
+        base, more, _ = secret_scan.scan(text)
+        assert (0, 0, len(text)) in base + more
+
+
 def test_secret_base_and_edges(edge, empty):
     for text in ("API_KEY: 'abc.def-ghi_12' token=short secret: token: abcdefghijklmnop", "AKIA0123456789ABCD AKIAX", "f" * 40 + "g" + "0" * 15):
         want = [(m.start(), 0, m.end()) for m in secret_scan.ASSIGN.finditer(text) if len(m.group(2)) >= 12]
