@@ -6,9 +6,10 @@ compressed data inside those.  What a run's content holds, in all that is encode
 once per content and reported at every place where that content stands; a content met again
 below itself ends a cycle.  A match in a layer is reported at the span of the outer text that it came from.
 
-Compressed pieces are inflated step by step.  A piece that would give more than
-``MAX_LAYER`` characters is left closed and counted in ``n_unopened``: that bound
-keeps a decompression bomb from filling the task; plain text has no bound.
+Base64 may be broken over lines.  Compressed pieces are inflated with all their members; a content
+of more than ``MAX_LAYER`` bytes is searched as a stream, in parts cut between lines, so that a
+decompression bomb does not fill the task.  Only data compressed more than ``LEVELS`` times
+over, such as a file that inflates to itself, is left and counted in ``n_unopened``.
 
 Edge cases.  A null or blank text has no spans.  Rows are independent, so null ids, repeated
 rows and other columns do not matter.  An empty table gives an empty result.
@@ -18,11 +19,13 @@ from __future__ import annotations
 
 import base64
 import binascii
+import codecs
 import hashlib
 import html
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 from urllib.parse import unquote_to_bytes
 
@@ -31,7 +34,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_LAYER = 32 << 20
+MAX_LAYER = 32 << 20  # bytes that are held at once
+PIECE = 4 << 20  # bytes or characters of a step
+OVERLAP = 1 << 16
+LEVELS = 100  # of compressed data directly in compressed data
 # Kinds in the order that breaks ties, and the patterns of the scan.
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -41,6 +47,10 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(r"\\u[0-9A-Fa-f]{4}|\\u\{[0-9A-Fa-f]{1,6}\}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+_LINES = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:[\x20\t]*+\r?\n[\x20\t]*+[A-Za-z0-9+/_-]++)++={0,2}")
+_LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
+_BLANK = re.compile(r"[\x20\t\r\n]+")
+_RUN = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-=\x20\t\r\n"
 _SCHEMA = "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string, n_decoded bigint, n_unopened bigint"
 
 Span = tuple[int, int, int]  # start, kind number, end
@@ -103,49 +113,137 @@ def _unescape(piece: str) -> str:
     return chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else "�"
 
 
-def _inflate(data: bytes) -> tuple[bytes | None, bool]:
-    """Content of gzip or zlib data, and whether it was left closed for its size."""
-    wbits = 31 if data[:2] == b"\x1f\x8b" else 15 if data[:1] == b"\x78" and int.from_bytes(data[:2], "big") % 31 == 0 else 0
+def _wbits(head: bytes) -> int:
+    return 31 if head[:2] == b"\x1f\x8b" else 15 if head[:1] == b"\x78" and len(head) > 1 and int.from_bytes(head[:2], "big") % 31 == 0 else 0
+
+
+def _members(data: bytes, source: Iterator[bytes], wbits: int) -> Iterator[bytes]:
+    """Content of all members of gzip data, or of zlib data, in pieces; what follows is ignored."""
+    first, inside = True, zlib.decompressobj(wbits)
+    while True:
+        try:
+            while data and not inside.eof:
+                yield inside.decompress(data, PIECE)
+                data = inside.unconsumed_tail
+            if not inside.eof:
+                data = next(source, b"")
+                if not data:
+                    yield inside.flush()
+                    return
+        except zlib.error:
+            if first:
+                raise
+            return
+        if inside.eof:
+            rest = inside.unused_data.lstrip(b"\0")
+            while len(rest) < 2 and (more := next(source, b"")):
+                rest = (rest + more).lstrip(b"\0")
+            if wbits != 31 or _wbits(rest) != 31:
+                return
+            first, data, inside = False, rest, zlib.decompressobj(wbits)
+
+
+def _inflate(source: Iterator[bytes], levels: int = LEVELS) -> Iterator[bytes]:
+    """Bytes of ``source``, inflated as often as they are compressed, in pieces."""
+    head = b""
+    while len(head) < 2 and (more := next(source, b"")):
+        head += more
+    wbits = _wbits(head)
+    if wbits:
+        if not levels:
+            raise RecursionError
+        inner = filter(None, _members(head, source, wbits))
+        try:
+            one = next(inner, b"")
+        except zlib.error:
+            wbits = 0
+        else:
+            yield from _inflate(chain([one], inner), levels - 1)
     if not wbits:
-        return data, False
-    try:
-        out = zlib.decompressobj(wbits).decompress(data, MAX_LAYER + 1)
-    except zlib.error:
-        return data, False
-    return (None, True) if len(out) > MAX_LAYER else (out, False)
+        yield head
+        yield from source
+
+
+class Large(NamedTuple):
+    """Compressed data with a content of more than ``MAX_LAYER`` bytes, which is read as a stream."""
+
+    data: bytes
+
 
+def _odd(text: str) -> bool:
+    return any(c < " " and c not in "\t\n\r\x0b\x0c" for c in set(text))
 
-def _unpack(piece: str) -> tuple[str | None, bool]:
-    """Text inside a base64 piece, inflated where it is compressed."""
+
+def _texts(data: bytes) -> Iterator[str]:
+    """The content of ``data`` in parts cut where no match and no base64 run crosses; fails if it is no text."""
+    decode, held = codecs.getincrementaldecoder("utf-8")(), ""
+    for piece in _inflate(iter([data])):
+        new = decode.decode(piece)
+        if _odd(new):
+            raise ValueError("no text")
+        held += new
+        if len(held) >= PIECE:
+            safe = held.rstrip(_RUN)
+            cut = max(safe.rfind(c) for c in "\t\n\x0b\x0c\r") + 1
+            if not cut and len(held) >= MAX_LAYER:
+                cut = max(held.rfind(c) for c in "\t\n\x0b\x0c\r") + 1
+                if not cut:  # one line: parts overlap
+                    yield held
+                    held = held[-OVERLAP:]
+            if cut:
+                yield held[:cut]
+                held = held[cut:]
+    yield held + decode.decode(b"", True)
+
+
+def _unpack(piece: str) -> tuple[str | Large | None, bool]:
+    """Text inside a base64 piece, inflated where it is compressed, and whether it was left closed."""
     plain = piece.rstrip("=").replace("-", "+").replace("_", "/")
     try:
         data = base64.b64decode(plain[: len(plain) - (len(plain) % 4 == 1)] + "=" * (-len(plain) % 4 % 3), validate=True)
     except (binascii.Error, ValueError):
         return None, False
-    while True:
-        inner, closed = _inflate(data)
-        if closed:
-            return None, True
-        if inner is data:
-            break
-        data = inner
     try:
-        text = data.decode()
-    except UnicodeDecodeError:
+        if _wbits(data):
+            parts, size = [], 0
+            for part in _inflate(iter([data])):
+                parts.append(part)
+                size += len(part)
+                if size > MAX_LAYER:
+                    return Large(data), False
+            text = b"".join(parts).decode()
+        else:
+            text = data.decode()
+    except RecursionError:
+        return None, True
+    except (UnicodeDecodeError, zlib.error):
         return None, False
-    odd = sum(1 for c in text if c < " " and c not in "\t\n\r\x0b\x0c")
-    return (text, False) if len(text) >= 8 and not odd else (None, False)
+    return (text if len(text) >= 8 and not _odd(text) else None), False
 
 
-def packed(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int]]]:
+def _wrapped(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of base64 that may be broken over lines: a run of lines, without its first or last, or while lines are equally long."""
+    for m in _LINES.finditer(text):
+        lines = [x.span() for x in _LINE.finditer(text, m.start(), m.end())]
+        seen = set()
+        for first in (0, 1):
+            width = [len(text[a:b].rstrip("=")) for a, b in lines[first:]]
+            equal = next((k for k, w in enumerate(width) if w != width[0]), len(width))
+            for n in (len(width), len(width) - 1, equal, equal + 1):
+                if 2 <= n <= len(width):
+                    seen.add((lines[first][0], lines[first + n - 1][1]))
+        yield from sorted(seen)
+
+
+def packed(text: str) -> tuple[list[tuple[int, int, str | Large]], list[tuple[int, int]]]:
     """(start, end, content) of the base64 pieces, and the compressed pieces left closed."""
     out, closed = [], []
-    for m in _BASE64.finditer(text):
-        inner, big = _unpack(m.group())
-        if big:
-            closed.append(m.span())
+    for lo, hi in chain((m.span() for m in _BASE64.finditer(text)), _wrapped(text)):
+        inner, shut = _unpack(_BLANK.sub("", text[lo:hi]))
+        if shut:
+            closed.append((lo, hi))
         if inner is not None:
-            out.append((*m.span(), inner))
+            out.append((lo, hi, inner))
     return out, closed
 
 
@@ -153,10 +251,11 @@ class _Contents:
     """What decoded contents of a document hold, by content."""
 
     def __init__(self):
-        self.direct: dict[str, tuple[set[int], list[str], int]] = {}
-        self.all: dict[str, tuple[set[int], int]] = {}
+        self.direct: dict[str | Large, tuple[set[int], list[str | Large], int]] = {}
+        self.all: dict[str | Large, tuple[set[int], int]] = {}
+        self.reading: set[Large] = set()
 
-    def __call__(self, content: str) -> tuple[set[int], int]:
+    def __call__(self, content: str | Large) -> tuple[set[int], int]:
         """Kinds found in ``content`` and in everything below it, and the pieces left closed."""
         if content not in self.all:
             kinds, closed, seen, work = set(), 0, {content}, [content]
@@ -170,7 +269,29 @@ class _Contents:
             self.all[content] = kinds, closed
         return self.all[content]
 
-    def _look(self, text: str) -> tuple[set[int], list[str], int]:
+    def _stream(self, large: Large) -> tuple[set[int], list[str | Large], int]:
+        kinds, closed = set(), 0
+        if large in self.reading:
+            return kinds, [], 0
+        self.reading.add(large)
+        try:
+            for part in _texts(large.data):
+                inside = _Contents()  # of its own, so that parts do not add up
+                inside.reading = self.reading
+                own, shut = inside(part)
+                kinds |= own
+                closed += shut
+        except RecursionError:
+            closed += 1
+        except (ValueError, zlib.error):
+            kinds, closed = set(), 0
+        finally:
+            self.reading.discard(large)
+        return kinds, [], closed
+
+    def _look(self, text: str | Large) -> tuple[set[int], list[str | Large], int]:
+        if text not in self.direct and isinstance(text, Large):
+            self.direct[text] = self._stream(text)
         if text not in self.direct:
             pieces, closed = packed(text)
             lower = unescaped(Layer(text, None, None))

@@ -258,6 +258,22 @@ def test_secret_escapes_beside_plain_words():
         assert (0, 0, len(text)) in base + more
 
 
+def test_secret_wrapped_base64_and_members():
+    import base64
+    import gzip
+
+    rng = np.random.default_rng(2)
+    filler = " ".join(f"w{k}" for k in rng.integers(0, 10**6, 60))
+    secret = "password = abcdefghijkl"
+    zipped = gzip.compress(filler.encode()) + gzip.compress(f"{filler}\n{secret}".encode())
+    lines = base64.encodebytes(zipped).decode().strip()
+    for text in (f"data:\n{lines}\n\nend", f"data: {lines}\nThe end", lines.replace("\n", "\r\n  ")):
+        assert any(k == 0 for _, k, _ in secret_scan.scan(text)[1])
+    piece = base64.b64encode(gzip.compress(b"#\n" * 17_000_000 + secret.encode())).decode()
+    assert secret_scan.scan(f"see {piece} there")[1] == [(4, 0, 4 + len(piece))]
+    assert secret_scan.scan(base64.b64encode(gzip.compress(bytes(40 << 20))).decode())[1] == []
+
+
 def test_secret_base_and_edges(edge, empty):
     for text in ("API_KEY: 'abc.def-ghi_12' token=short secret: token: abcdefghijklmnop", "AKIA0123456789ABCD AKIAX", "f" * 40 + "g" + "0" * 15):
         want = [(m.start(), 0, m.end()) for m in secret_scan.ASSIGN.finditer(text) if len(m.group(2)) >= 12]
