@@ -20,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -38,6 +39,9 @@ _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
+# Groups of digits with what phone and card numbers have between them, as a whole.
+_RUN = re.compile(r"(?<![A-Za-z0-9_@])(?:\+|\()?[0-9]++(?:[\x20().-]{1,3}+[0-9]++)++(?![A-Za-z0-9_@])")
+
 _DIGIT = re.compile(r"[0-9]")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _EDGE = ".,;:!?'\"()[]{}<>|*$&%#="
@@ -126,7 +130,7 @@ def observe(text: str, base: list[Span]) -> list[dict]:
     words = [m.span() for m in _WORD.finditer(text)]
     starts = [w[0] for w in words]
     out = []
-    from bisect import bisect_right
+    from bisect import bisect_left, bisect_right
 
     def add(start, kind, stop, seed):
         first, last = bisect_right(starts, start) - 1, bisect_right(starts, stop - 1) - 1
@@ -135,6 +139,13 @@ def observe(text: str, base: list[Span]) -> list[dict]:
     for a, k, b in base:
         add(a, k, b, True)
     taken = sorted((a, b) for a, _, b in base)
+
+    begins, upto = [a for a, _ in taken], list(accumulate((b for _, b in taken), max))
+    for m in _RUN.finditer(text):
+        kind = _looks_like(m.group())
+        before = bisect_left(begins, m.end())  # seeds that start before the run ends
+        if kind in (2, 3) and "\x20" in m.group() and not (before and upto[before - 1] > m.start()):
+            add(m.start(), kind, m.end(), False)
     at = 0
     for lo, hi in words:
         while at < len(taken) and taken[at][1] <= lo:

@@ -306,6 +306,14 @@ def test_contextual_identifiers(spark, empty):
     assert pii.find_personal_data(empty).collect() == []
 
 
+def test_contextual_identifiers_with_blanks(spark):
+    seeds = [(n, f"please call +1 555 010 {1000 + n} today or never", "s") for n in range(40)]
+    unseen = [(100, "please call 020 7946 0958 today or never", "s"), (101, "please call (030) 123 4567 today or never", "s"),
+              (102, "rooms 020 7946 0958 are free", "s")]
+    clean = {r.doc_id: r.text for r in pii.redact_documents(table(spark, seeds + unseen)).collect()}
+    assert clean[100] == clean[101] == "please call [PHONE] today or never" and clean[102] == "rooms 020 7946 0958 are free"
+
+
 def test_quality_statistics_equal_brute_force(docs, edge):
     for frame in (docs, edge):
         texts = frame.select("doc_id", "text").collect()
