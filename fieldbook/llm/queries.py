@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldbook.llm import decontamination, mixing, near_dedup, ngram_model, pii, quality_classifier, quality_rules, secret_scan, templates, warc
+from fieldbook.llm import (decontamination, exact_dedup, lexical_search, mixing, near_dedup, ngram_model, pii, quality_classifier,
+                           quality_rules, secret_scan, spelling, templates, warc)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,6 +71,21 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return lexical_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group of equal texts of every document."""
+    return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near words, form and root of every word of the documents."""
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
 
 OP1_SQL = rf"""
@@ -125,6 +141,65 @@ SELECT p.page_id, p.payload_bytes, sha1(p.html) AS payload_digest,
 FROM p LEFT JOIN g ON g.html = p.html AND p.payload_bytes >= 1000
 """
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP11_SQL = rf"""
+WITH p AS (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+')) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM p GROUP BY ALL),
+d AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY doc_id),
+c AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM d),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+')) AS term FROM benchmark),
+df AS (SELECT term, count(*) AS df FROM tf WHERE term IN (SELECT term FROM q) GROUP BY term),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w FROM df, c),
+s AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms)))) AS BIGINT) AS score
+      FROM q JOIN w USING (term) JOIN tf USING (term) JOIN d USING (doc_id), c GROUP BY ALL),
+r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+      FROM s WHERE score > 0)
+SELECT * FROM r WHERE rank <= 10
+"""
+
+OP12_SQL = r"""
+WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents)
+SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+       row_number() OVER (PARTITION BY body ORDER BY doc_id NULLS LAST) = 1 AS kept, sha256(body) AS text_sha256
+FROM t WINDOW g AS (PARTITION BY body)
+"""
+
+# The checksum runs over a list: each byte is added, then eight steps (-1) divide by the polynomial.
+OP13_SQL = r"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')),
+                           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+counted AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS key, run, count(*) AS n FROM runs WHERE length(run) >= 7 GROUP BY ALL),
+sums AS (
+  SELECT run, n, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(string_split(key, ''), lambda c:
+    CAST(CASE WHEN ord(c) < 128 THEN [ord(c), -1, -1, -1, -1, -1, -1, -1, -1]
+         ELSE [195, -1, -1, -1, -1, -1, -1, -1, -1, ord(c) - 64, -1, -1, -1, -1, -1, -1, -1, -1] END AS BIGINT[])))),
+    lambda s, x: CASE WHEN x >= 0 THEN xor(s, x) WHEN s & 1 = 1 THEN xor(s >> 1, 3988292384) ELSE s >> 1 END), 4294967295) AS h
+  FROM counted),
+v AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, CAST(h % length(run) AS INTEGER)) || substr(run, CAST(h % length(run) AS INTEGER) + 2)
+                ELSE run END AS word, n FROM sums)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+cuts AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+pairs AS (
+  SELECT a.word AS word, a.n AS n, b.word AS near, b.n AS near_n FROM cuts a JOIN cuts b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT c.word, c.n, v.word, v.n FROM cuts c JOIN v ON v.word = c.rest
+  UNION SELECT v.word, v.n, c.word, c.n FROM cuts c JOIN v ON v.word = c.rest),
+best AS (
+  SELECT word, count(*) OVER (PARTITION BY word) AS n_near, near, near_n,
+         row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) AS k FROM pairs),
+f AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 10 * v.n THEN near END AS form,
+         CASE WHEN near_n >= 10 * v.n THEN near_n END AS form_n
+  FROM v LEFT JOIN best ON best.word = v.word AND k = 1),
+walk AS (
+  SELECT word, word AS at FROM f UNION ALL SELECT walk.word, f.form FROM walk JOIN f ON f.word = walk.at WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, walk.at AS root, f.n, f.n_near, f.form_n
+FROM f JOIN walk ON walk.word = f.word JOIN f last ON last.word = walk.at AND last.form IS NULL
+"""
+
 
 def queries() -> dict[str, Query]:
     return {
@@ -138,8 +213,12 @@ def queries() -> dict[str, Query]:
         "op8_quality_rules": op8_quality_rules,
         "op9_warc": op9_warc,
         "op10_decontamination": op10_decontamination,
+        "op11_lexical_search": op11_lexical_search,
+        "op12_exact_dedup": op12_exact_dedup,
+        "op13_spelling_variants": op13_spelling_variants,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_near_dedup": OP1_SQL, "op5_systematic_mix": OP5_SQL, "op9_warc": OP9_SQL}
+    return {"op1_near_dedup": OP1_SQL, "op5_systematic_mix": OP5_SQL, "op9_warc": OP9_SQL, "op11_lexical_search": OP11_SQL,
+            "op12_exact_dedup": OP12_SQL, "op13_spelling_variants": OP13_SQL}
