@@ -14,6 +14,8 @@ import sys
 from fieldbook.plans.registry import queries
 from fieldbook.session import build_session
 from fieldbook.sources.io import write_csv
+from fieldbook.sources.roles import forget_tables
+from fieldbook.sources.store import owned
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -40,16 +42,18 @@ def main(argv: list[str] | None = None) -> int:
         print(f"unknown query {args.name}; try `python -m fieldbook list`", file=sys.stderr)
         return 2
     spark = build_session(args.master)
-    df = qs[args.name](spark, args.sf)
-    if args.cmd == "explain":
-        df.explain("formatted")
-    elif args.out:
-        if args.format == "csv":
-            write_csv(df, args.out)
+    with owned(spark):
+        df = qs[args.name](spark, args.sf)
+        if args.cmd == "explain":
+            df.explain("formatted")
+        elif args.out:
+            if args.format == "csv":
+                write_csv(df, args.out)
+            else:
+                df.write.mode("overwrite").parquet(args.out)
         else:
-            df.write.mode("overwrite").parquet(args.out)
-    else:
-        df.show(args.show, truncate=False)
+            df.show(args.show, truncate=False)
+    forget_tables(spark)
     return 0
 
 

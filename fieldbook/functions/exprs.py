@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 ColumnOrName = Column | str
 
+# Fixed value: the digits that a division adds to those of its dividend (M-3).
+DIV_DIGITS = 4
+
 
 def col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -34,6 +37,28 @@ def eq_ci(c: ColumnOrName, value: str) -> Column:
     return F.collate(col(c), "UTF8_LCASE") == F.lit(value)
 
 
+def exact_div(num: ColumnOrName, den: ColumnOrName, num_scale: int = 0, den_scale: int = 0) -> Column:
+    """``num / den`` of exact numbers as MySQL types it (M-3): a decimal with four digits more than ``num`` has.
+
+    The quotient is taken in whole numbers with its remainder, so it is rounded once, half away from
+    zero; a zero divisor gives NULL (M-5).  ``num`` may have up to 18 digits in all.
+    """
+    scale = num_scale + DIV_DIGITS
+    n = (col(num).cast(f"decimal({18 + num_scale},{num_scale})") * F.lit(10 ** (scale + den_scale)).cast("decimal(19,0)")).cast("decimal(38,0)")
+    d = (col(den).cast(f"decimal({18 + den_scale},{den_scale})") * F.lit(10 ** den_scale).cast("decimal(10,0)")).cast("decimal(28,0)")
+    d = F.nullif(d, F.lit(0).cast("decimal(28,0)"))
+    rest = F.try_mod(n, d)
+    whole = F.try_divide(n - rest, d).cast("decimal(38,0)")
+    # 2 * rest >= den, without leaving the digits that rest has
+    up = F.when(F.abs(rest) >= F.abs(d) - F.abs(rest), F.signum(n).cast("int") * F.signum(d).cast("int")).otherwise(0)
+    return ((whole + up.cast("decimal(1,0)")).cast("decimal(32,0)") / F.lit(10 ** scale).cast("decimal(19,0)")).cast(f"decimal(38,{scale})")
+
+
+def exact_avg(c: ColumnOrName) -> Column:
+    """``AVG`` of an integer column as MySQL types it (M-3): an exact decimal with four digits."""
+    return exact_div(F.sum(col(c)), F.count(col(c)))
+
+
 def avg_nonzero(c: ColumnOrName) -> Column:
     """``AVG(NULLIF(x, 0))``: zeros count as missing (A-13)."""
     return F.avg(F.nullif(col(c), F.lit(0)))

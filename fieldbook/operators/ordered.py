@@ -17,7 +17,7 @@ by *range* instead:
    the first group of a partition can continue from an earlier partition, so
    the non-zero offsets number at most one per partition: a size bound that
    makes the broadcast join back safe at any data size.  The offsets are
-   checkpointed too, so readers of the result only pay a map-side join.
+   stored too, so readers of the result only pay a map-side join.
 
 Ties inside ``order`` are broken by the caller's ``tiebreak`` columns for
 row numbers; ranks and dense ranks come from the same pass (tie runs are
@@ -35,6 +35,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fieldbook.sources.store import current_store
+
 PID = "_fb_pid"
 LOCAL = "_fb_local"
 SEG = "_fb_seg"
@@ -64,12 +66,16 @@ def _n_partitions(df: DataFrame) -> int | None:
 
 
 def _pin(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` with its partition ids once to the shared folder and read it back (a cut, columnar lineage)."""
-    from fieldbook.sources.io import shared_path
+    """Write ``df`` with its partition ids once to the shared folder and read it back (a cut, columnar lineage).
+
+    The copy belongs to the current owner (:mod:`fieldbook.sources.store`), as the boundary tables do.
+    """
+    return current_store(df.sparkSession).store(df.withColumn(PID, F.spark_partition_id()), name)
+
 
-    path = shared_path(df.sparkSession, name)
-    df.withColumn(PID, F.spark_partition_id()).write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.parquet(path)
+def _bounds(df: DataFrame, name: str) -> DataFrame:
+    """Store a boundary table (at most one row per range partition), so that readers pay a map-side join only."""
+    return current_store(df.sparkSession).store(df.coalesce(1), name)
 
 
 def _sort_exprs(order: Sequence[str], descending: bool | Sequence[bool]) -> list[Column]:
@@ -127,7 +133,8 @@ def running_total(df: DataFrame, by: Sequence[str], order: Sequence[str], out: s
     earlier = (Window.partitionBy(*by) if by else Window).orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
     offs = (seg.select(F.col(PID).alias("_fb_opid"), *[F.col(b).alias(f"_fb_k{i}") for i, b in enumerate(by)],
                        F.sum(SEG).over(earlier).alias(OFF))
-            .filter(F.col(OFF) != 0)).checkpoint(eager=True)
+            .filter(F.col(OFF) != 0))
+    offs = _bounds(offs, "offsets")
     # At most one continuing group per range partition: |offs| <= n, so broadcast is bounded.
     cond = F.col(PID) == F.col("_fb_opid")
     for i, b in enumerate(by):
@@ -189,7 +196,7 @@ def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[str],
          F.sum(F.col("_fb_cont").cast("long")).over(upto)).alias("_fb_dense_off"),
         F.last(anchor, ignorenulls=True).over(before).alias("_fb_cont_rank"))
     # Only a partition's first group can have earlier chunks: at most one row per partition.
-    fixed = fixed.filter(F.col("_fb_rn_off") > 0).checkpoint(eager=True)
+    fixed = _bounds(fixed.filter(F.col("_fb_rn_off") > 0), "rank-offsets")
 
     cond = F.col(PID) == F.col("_fb_opid")
     for i, b in enumerate(by):
@@ -224,7 +231,8 @@ def lead_within(df: DataFrame, by: Sequence[str], order: Sequence[str], value: s
     after = (Window.partitionBy(*by) if by else Window).orderBy(PID)  # one row per (partition, group)
     bounds = (local.filter(F.col(FIRST)).select(
         F.col(PID).alias("_fb_p"), *keys, F.lead(F.lit(True)).over(after).alias("_fb_more"), F.lead(F.col(value)).over(after).alias("_fb_v"))
-        .filter("_fb_more")).checkpoint(eager=True)
+        .filter("_fb_more"))
+    bounds = _bounds(bounds, "next-values")
     cond = F.col(RN).isNull() & (F.col(PID) == F.col("_fb_p"))
     for i, b in enumerate(by):
         cond = cond & F.col(b).eqNullSafe(F.col(f"_fb_k{i}"))

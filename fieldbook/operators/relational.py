@@ -67,20 +67,44 @@ def share_of_total(df: DataFrame, keys: Sequence[str], measure: str | None, how:
     return grouped.withColumn(out_pct, round_int(share))
 
 
+def join_groups(df: DataFrame, groups: DataFrame, keys: Sequence[str], how: str = "inner",
+                equal: dict[str, str] | None = None) -> DataFrame:
+    """Rows of ``df`` with the row of ``groups`` (one per key) of their group; NULL keys are a group too.
+
+    The keys of ``groups`` are compared null-safe, which Spark plans as an equi-join on the key made
+    non-null and a flag: still a shuffled join that adaptive execution can split, so a third of all rows may
+    share one key, or share NULL.  ``equal`` adds plain equalities (column of df: column of groups).
+    """
+    names = {k: f"_fb_group{i}" for i, k in enumerate(keys)}
+    other = groups.withColumnsRenamed(names)
+    cond = F.lit(True)
+    for k, name in names.items():
+        cond = cond & F.col(k).eqNullSafe(F.col(name))
+    for left, right in (equal or {}).items():
+        cond = cond & (F.col(left) == F.col(right))
+    joined = df.join(for_skew_join(other, *names.values()), cond, how)
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*names.values())
+
+
 def with_group_total(df: DataFrame, keys: Sequence[str], measure: str, out: str) -> DataFrame:
-    """Detail rows next to the sum of ``measure`` over their group (J-8).
+    """Detail rows next to the sum of ``measure`` over their group, joined by ``=`` (J-8): NULL keys drop out.
 
     Partial aggregation shrinks the totals before the shuffle; the join back
-    lets adaptive execution broadcast small totals or split a skewed key.
+    lets adaptive execution broadcast small totals or split a skewed key.  ``df`` is
+    read twice, for the rows and for the totals: pass a stored frame (``snapshot``) where it
+    is the result of joins.
     """
     totals = df.groupBy(*keys).agg(F.sum(measure).alias(out))
     return df.join(for_skew_join(totals, *keys), list(keys), "inner")
 
 
 def with_group_max(df: DataFrame, keys: Sequence[str], measure: str, out: str) -> DataFrame:
-    """``MAX(measure) OVER (PARTITION BY keys)`` as an aggregate joined back (W-6)."""
+    """``MAX(measure) OVER (PARTITION BY keys)`` as an aggregate joined back (W-6).
+
+    As the window has it, rows whose key is NULL form one group, and a group without a value has the maximum NULL.
+    """
     maxima = df.groupBy(*keys).agg(F.max(measure).alias(out))
-    return df.join(for_skew_join(maxima, *keys), list(keys), "inner")
+    return join_groups(df, maxima, keys)
 
 
 def _distinct_keys(other: DataFrame, key: str) -> DataFrame:
@@ -153,13 +177,18 @@ def pivot_avg(df: DataFrame, row_key: Column | str, col_expr: Column, values: Se
 
 
 def pivot_share(df: DataFrame, keys: Sequence[str], category: str, values: Sequence[str],
-                measure: str) -> DataFrame:
+                measure: str, null_groups: bool = True) -> DataFrame:
     """Per group, the percent of ``measure`` that falls in each category, rounded (A-15, A-17).
 
     ``ROUND(SUM(CASE WHEN category = v THEN measure ELSE 0 END) * 100.0 / group_total, 0)``.
     The reference joins the detail with a per-group total; the total is the
     sum over the same group, so one aggregate computes both without the join.
+
+    NULL keys: with ``null_groups`` they are groups, as ``GROUP BY`` has them (A-15).  Without, rows in which
+    any key is NULL are left out, as the reference's join of the totals by ``=`` leaves them out (A-17).
     """
+    if not null_groups:
+        df = df.dropna("any", subset=list(keys))
     total = F.sum(F.col(measure)).cast("double")
     aggs = []
     for v in values:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldbook.operators.ordered import lead_within, rank_within
+from fieldbook.operators.relational import join_groups
 
 
 def rank_groups(df: DataFrame, key: str, measure: str, out_measure: str, out_rank: str) -> DataFrame:
@@ -37,8 +38,8 @@ def lead_gap(df: DataFrame, key: str, measure: str, out_next: str, out_gap: str)
 def latest_per_key(df: DataFrame, key: str, ordinal: str) -> DataFrame:
     """Rows whose ``ordinal`` equals the maximum of their ``key`` (ties kept) (W-7).
 
-    ``MAX() OVER (PARTITION BY key)`` becomes a partial aggregate and a semi-join.
+    ``MAX() OVER (PARTITION BY key)`` becomes a partial aggregate and a null-safe semi-join: rows without a key
+    are one group, rows without an ordinal never equal a maximum.
     """
     maxima = df.groupBy(key).agg(F.max(ordinal).alias("_fb_max"))
-    cond = (df[key] == maxima[key]) & (df[ordinal] == maxima["_fb_max"])
-    return df.join(maxima, cond, "left_semi")
+    return join_groups(df, maxima, [key], "left_semi", equal={ordinal: "_fb_max"})

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbook.functions.exprs import hour_label, like_ci, round_int
-from fieldbook.operators.relational import count_by, share_of_total, top_k, with_group_max
+from fieldbook.functions.exprs import exact_avg, hour_label, like_ci, round_int
+from fieldbook.operators.relational import count_by, distinct_values, pivot_share, share_of_total, top_k, with_group_max
 from fieldbook.operators.ordered import rank_within
 from fieldbook.operators.windows import latest_per_key, lead_gap, priority_ranks, rank_groups
 from fieldbook.plans.registry import register
 from fieldbook.sources.roles import survey_tables
+from fieldbook.sources.schemas import collated
 from fieldbook.sources.tables import load
 
 _NATIVE_COUNTED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
@@ -186,6 +187,89 @@ def w07_latest_visit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_per_key(v, "location_id", "visit_count")
 
 
+@register("w06_max_with_null_keys", """
+SELECT l_orderkey, l_linenumber, NULLIF(l_suppkey % 5, 2) AS bay, l_extendedprice,
+       MAX(CASE WHEN l_suppkey % 5 <> 3 THEN l_extendedprice END) OVER (PARTITION BY NULLIF(l_suppkey % 5, 2)) AS top_price
+FROM lineitem""")
+def w06_max_with_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five hot groups: one is the NULL key, one has no value at all."""
+    li = load(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice"])
+    bay = F.col("l_suppkey") % 5
+    rows = li.select("l_orderkey", "l_linenumber", F.nullif(bay, F.lit(2)).alias("bay"), "l_extendedprice",
+                     F.when(bay != 3, F.col("l_extendedprice")).alias("priced"))
+    return with_group_max(rows, ["bay"], "priced", "top_price").drop("priced")
+
+
+@register("w07_latest_with_null_keys", """
+SELECT buyer, o_orderkey, placed FROM (
+    SELECT NULLIF(o_custkey, o_custkey // 3 * 3) AS buyer, o_orderkey, NULLIF(o_orderkey % 50, 49) AS placed FROM orders)
+QUALIFY placed = MAX(placed) OVER (PARTITION BY buyer)""")
+def w07_latest_with_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the orders share the NULL key; some have no ordinal."""
+    o = load(spark, sf_dir, "orders", ["o_orderkey", "o_custkey"])
+    rows = o.select(F.when(F.col("o_custkey") % 3 != 0, F.col("o_custkey")).alias("buyer"), "o_orderkey",
+                    F.nullif(F.col("o_orderkey") % 50, F.lit(49)).alias("placed"))
+    return latest_per_key(rows, "buyer", "placed")
+
+
+@register("a17_share_joined_by_equals", """
+WITH unplaced AS (SELECT NULLIF(c_mktsegment, 'BUILDING') AS segment, o_orderstatus, o_orderkey % 7 AS units
+                  FROM orders JOIN customer ON c_custkey = o_custkey),
+totals AS (SELECT segment, SUM(units) AS everything FROM unplaced GROUP BY 1)
+SELECT segment, CAST(ROUND(SUM(units) FILTER (o_orderstatus = 'F') * 100.0 / any_value(everything)) AS INTEGER) AS F,
+       CAST(ROUND(SUM(units) FILTER (o_orderstatus = 'O') * 100.0 / any_value(everything)) AS INTEGER) AS O
+FROM unplaced JOIN totals USING (segment) GROUP BY 1""")
+def a17_share_joined_by_equals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows without a group key are left out, as a join of the totals by ``=`` leaves them out."""
+    o = load(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus"])
+    c = load(spark, sf_dir, "customer", ["c_custkey", "c_mktsegment"])
+    rows = o.join(c, o.o_custkey == c.c_custkey).select(
+        F.nullif(F.col("c_mktsegment"), F.lit("BUILDING")).alias("segment"), "o_orderstatus",
+        (F.col("o_orderkey") % 7).alias("units"))
+    return pivot_share(rows, ["segment"], "o_orderstatus", ["F", "O"], "units", null_groups=False)
+
+
+@register("a05_exact_average", """
+SELECT p_type, CAST(k // 10000 AS VARCHAR) || '.' || lpad(CAST(k % 10000 AS VARCHAR), 4, '0') AS avg_size
+FROM (SELECT p_type, (20000 * SUM(p_size) + COUNT(p_size)) // (2 * COUNT(p_size)) AS k FROM part GROUP BY 1)""")
+def a05_exact_average(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``AVG`` of an integer column as an exact decimal with four digits (M-3)."""
+    p = load(spark, sf_dir, "part", ["p_type", "p_size"])
+    return p.groupBy("p_type").agg(exact_avg("p_size").cast("string").alias("avg_size"))
+
+
+_MIXED = "CASE c_custkey % 3 WHEN 0 THEN lower(c_mktsegment) WHEN 1 THEN c_mktsegment ELSE initcap_(c_mktsegment) END"
+_MIXED_SQL = _MIXED.replace("initcap_(c_mktsegment)", "c_mktsegment[1] || lower(c_mktsegment[2:])")
+
+
+def _mixed_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers whose segment is written in three ways, under a collation that ignores case."""
+    c = load(spark, sf_dir, "customer", ["c_custkey", "c_mktsegment"])
+    segment = F.expr(_MIXED.replace("initcap_", "initcap"))
+    return collated(c.select("c_custkey", segment.alias("segment")), "segment")
+
+
+@register("a07_group_ignoring_case", f"""
+SELECT lower({_MIXED_SQL}) AS segment, COUNT(*) AS num_customers FROM customer GROUP BY 1""")
+def a07_group_ignoring_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grouped = count_by(_mixed_segments(spark, sf_dir), ["segment"], None, "num_customers")
+    return grouped.select(F.lower("segment").cast("string").alias("segment"), "num_customers")
+
+
+@register("f15_distinct_ignoring_case", f"SELECT DISTINCT upper({_MIXED_SQL}) AS segment FROM customer")
+def f15_distinct_ignoring_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return distinct_values(_mixed_segments(spark, sf_dir), "segment").select(F.upper("segment").cast("string").alias("segment"))
+
+
+@register("j01_join_ignoring_case", f"""
+SELECT c_custkey, n_customers FROM (SELECT c_custkey, upper({_MIXED_SQL}) AS segment FROM customer)
+JOIN (SELECT c_mktsegment AS segment, COUNT(*) AS n_customers FROM customer GROUP BY 1) USING (segment)""")
+def j01_join_ignoring_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = collated(load(spark, sf_dir, "customer", ["c_mktsegment"]).withColumnRenamed("c_mktsegment", "segment"))
+    return _mixed_segments(spark, sf_dir).join(count_by(names, ["segment"], None, "n_customers"), "segment") \
+        .select("c_custkey", "n_customers")
+
+
 @register("o01_order_ascending", "SELECT p_partkey, p_retailprice FROM part ORDER BY p_retailprice, p_partkey")
 def o01_order_ascending(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "part", ["p_partkey", "p_retailprice"]).orderBy("p_retailprice", "p_partkey")

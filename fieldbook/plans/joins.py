@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldbook.operators.relational import not_in, semi, top_k, with_group_total
 from fieldbook.plans.registry import register
+from fieldbook.sources.io import snapshot
 from fieldbook.sources.roles import survey_tables
 from fieldbook.sources.tables import load
 
@@ -86,7 +87,8 @@ def j08_group_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = v.join(t.location, "location_id").join(t.water_source, "source_id").select(
         "province_name", F.col("type_of_water_source").alias("source_type"),
         F.col("number_of_people_served").alias("people_served"))
-    return with_group_total(c, ["province_name"], "people_served", "total_ppl_serv") \
+    # stored, so that the joins run once for the rows and their totals
+    return with_group_total(snapshot(c, "served"), ["province_name"], "people_served", "total_ppl_serv") \
         .select("province_name", "source_type", "people_served", "total_ppl_serv")
 
 
@@ -129,5 +131,5 @@ def j07_composite_key_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = v.join(t.location, "location_id").join(t.water_source, "source_id").select(
         "record_id", "province_name", "town_name", F.col("number_of_people_served").alias("people_served"))
     # town names repeat across provinces, so the totals join on (province, town)
-    return with_group_total(c, ["province_name", "town_name"], "people_served", "total_ppl_serv") \
+    return with_group_total(snapshot(c, "served"), ["province_name", "town_name"], "people_served", "total_ppl_serv") \
         .select("record_id", "province_name", "town_name", "people_served", "total_ppl_serv")

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbook.functions.exprs import (avg_nonzero, days_between, hour_label, hour_of_day, like_ci,
-                                       round_int, weekday_name)
+from fieldbook.functions.exprs import (DIV_DIGITS, avg_nonzero, days_between, exact_avg, exact_div, hour_label,
+                                       hour_of_day, like_ci, round_int, weekday_name)
 from fieldbook.operators.cleaning import clean_contacts
 from fieldbook.operators.ordered import rank_within
 from fieldbook.operators.relational import count_by, pivot_avg, semi, share_of_total, top_k
@@ -71,6 +71,22 @@ def population_pct_diff(ws: DataFrame) -> DataFrame:
         F.round(F.try_divide(err, avg) * F.lit(100.0), 6).alias("pct_diff"))
 
 
+def population_pct_exact(sources: DataFrame) -> DataFrame:
+    """K-6 in exact decimals with MySQL's scales (M-3): nothing is rounded but where the statement does."""
+    kind = like_ci("type_of_water_source", "tap_in_home%")
+    agg = (sources.filter(kind).groupBy("type_of_water_source")
+           .agg(F.count("source_id").alias("cnt_src"),
+                F.round(exact_avg("number_of_people_served"), 0).cast("decimal(18,0)").alias("avg_src"),
+                F.sum("number_of_people_served").cast("decimal(18,0)").alias("population_served")))
+    derived = (F.col("cnt_src").cast("decimal(18,0)") * F.col("avg_src")).cast("decimal(18,0)")
+    both = agg.withColumn("derived", derived)
+    average = exact_div(F.col("derived") + F.col("population_served"), F.lit(2))
+    err = F.abs(F.col("derived") - F.col("population_served"))
+    pct = exact_div(err, average, den_scale=DIV_DIGITS) * F.lit(100).cast("decimal(3,0)")
+    return both.select("type_of_water_source", F.col("derived").cast("string").alias("derived_population_served"),
+                       average.cast("string").alias("average"), pct.cast("decimal(30,4)").cast("string").alias("pct_diff"))
+
+
 def queue_pivot(visits: DataFrame) -> DataFrame:
     """K-12: average non-zero queue by hour label (rows) and weekday (columns)."""
     # weekday and hour are formatted once per row, below the aggregate
@@ -199,6 +215,19 @@ def k06_population_pct_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return population_pct_diff(survey_tables(spark, sf_dir).water_source)
 
 
+@register("k06_population_pct_exact", """
+WITH a AS (SELECT type_of_water_source AS kind, COUNT(source_id) * ((2 * SUM(number_of_people_served) + COUNT(number_of_people_served))
+                  // (2 * COUNT(number_of_people_served))) AS d, SUM(number_of_people_served) AS p
+           FROM water_source WHERE type_of_water_source ILIKE 'tap_in_home%' GROUP BY 1),
+b AS (SELECT kind, d, d + p AS twice, (2 * abs(d - p) * 20000 + d + p) // (2 * (d + p)) AS k FROM a)
+SELECT kind AS type_of_water_source, CAST(d AS VARCHAR) AS derived_population_served,
+       CAST(twice // 2 AS VARCHAR) || CASE WHEN twice % 2 = 0 THEN '.0000' ELSE '.5000' END AS average,
+       CAST(k // 100 AS VARCHAR) || '.' || lpad(CAST(k % 100 AS VARCHAR), 2, '0') || '00' AS pct_diff
+FROM b""")
+def k06_population_pct_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return population_pct_exact(survey_tables(spark, sf_dir).water_source)
+
+
 @register("k07_served_by_type", """
 WITH a AS (SELECT type_of_water_source, COUNT(source_id) AS num_of_sources,
                   CAST(ROUND(AVG(number_of_people_served)) AS INTEGER) AS avg_served,

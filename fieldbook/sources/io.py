@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import os
-import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldbook.session import checkpoint_dir
+from fieldbook.sources.store import TableStore, current_store, exists, move_files
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -29,19 +27,17 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the session's shared checkpoint folder."""
-    return os.path.join(checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh folder under the session's shared checkpoint folder, removed with the current owner."""
+    return current_store(spark).path(name)
 
 
-def snapshot(df: DataFrame, name: str) -> DataFrame:
+def snapshot(df: DataFrame, name: str, store: TableStore | None = None) -> DataFrame:
     """``CREATE TABLE name AS SELECT ..`` (S-6): write once, return the stored copy.
 
     The copy lives in the shared checkpoint folder, so it survives executor
-    loss and its lineage is cut.
+    loss and its lineage is cut.  ``store`` owns it (default: the current owner).
     """
-    path = shared_path(df.sparkSession, name)
-    df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return (store or current_store(df.sparkSession)).store(df, name)
 
 
 def register_view(df: DataFrame, name: str) -> DataFrame:
@@ -55,16 +51,12 @@ def drop_view(spark: SparkSession, name: str) -> bool:
     return spark.catalog.dropTempView(name)
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, store: TableStore | None = None) -> DataFrame:
     """``CREATE TEMPORARY TABLE name AS ..`` read several times (S-9).
 
-    Kept in executor memory, spilling to disk, and registered as a view.
+    Kept in executor memory, spilling to disk, and registered as a view until its owner gives it back.
     """
-    from pyspark import StorageLevel
-
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    cached.createOrReplaceTempView(name)
-    return cached
+    return (store or current_store(df.sparkSession)).keep(df, name)
 
 
 def append_with_defaults(df: DataFrame, schema: T.StructType, defaults: Mapping[str, object],
@@ -93,31 +85,59 @@ def write_table(df: DataFrame, path: str, mode: str = "append") -> None:
     df.write.mode(mode).parquet(path)
 
 
-def _table_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hadoop_path)
+def broken_counts(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, Observation]:
+    """``df`` with a metric per rule that counts the rows breaking it, filled by the action that runs ``df``."""
+    seen = Observation()
+    return df.observe(seen, *[F.count_if(F.coalesce(rule, F.lit(False))).alias(name) for name, rule in rules.items()]), seen
 
 
 def insert_into(df: DataFrame, path: str, schema: T.StructType, defaults: Mapping[str, object],
-                id_column: str | None = None, check=None) -> DataFrame:
+                id_column: str | None = None, check=None, rules: Mapping[str, Column] | None = None) -> DataFrame:
     """``INSERT INTO table (subset) SELECT ..`` against a Parquet table at ``path`` (S-10).
 
     A ``SERIAL`` id continues after the largest id already stored (one scalar
-    aggregate over that column), so ids stay unique across inserts.  ``check``
-    maps the rows to their constraint violations; any violation stops the
-    insert before anything is written.  The rows are staged once: what is checked,
-    appended and returned are the same stored rows, ids included.  Two inserts
-    that run at the same time into one table need a lock around them.
+    aggregate over that column), so ids stay unique across inserts.  The rows are
+    computed and written once, into a staging folder; ``rules`` (a predicate per
+    declared constraint, true for a broken row) are counted by that same write.  A broken
+    rule removes the staged rows and stops the insert before the table is touched;
+    otherwise the staged files are moved into it, and the returned frame reads exactly
+    these.  ``check`` maps the staged rows to violations that no predicate can express, in a pass of its own.
+    Two inserts that run at the same time into one table need a lock around them.
     """
     spark = df.sparkSession
+    store = current_store(spark)
     start = 1
-    if id_column and _table_exists(spark, path):
+    if id_column and exists(spark, path):
         current = spark.read.parquet(path).agg(F.max(id_column)).first()[0]
         start = (current or 0) + 1
-    rows = snapshot(append_with_defaults(df, schema, defaults, id_column, start), "insert")
-    if check is not None and not check(rows).isEmpty():
-        raise ValueError(f"rows for {path} break a declared constraint")
-    write_table(rows, path, "append")
-    return rows
+    rows, seen = append_with_defaults(df, schema, defaults, id_column, start), None
+    if rules:
+        rows, seen = broken_counts(rows, rules)
+    staged = store.store(rows, "insert")
+    try:
+        broken = {name: n for name, n in seen.get.items() if n} if seen else {}
+        if check is not None and not check(staged).isEmpty():
+            broken["check"] = check(staged).count()
+        if broken:
+            raise ValueError(f"rows for {path} break a declared constraint: {broken}")
+        files = move_files(spark, staged._fb_path, path)
+    finally:
+        store.release(staged)
+    return spark.read.schema(staged.schema).parquet(*files)
+
+
+def write_sorted(df: DataFrame, path: str) -> None:
+    """Write an ordered result (``orderBy``) so that its order can be read back.
+
+    The sort is a range exchange; its partitions are written as files whose names ascend with
+    the order, each sorted inside.  Nothing passes through one task.
+    """
+    df.write.mode("errorifexists").parquet(path)
+
+
+def read_sorted(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of :func:`write_sorted` with ``file_place`` and ``row_place``, whose order is the stored one."""
+    meta = F.col("_metadata.file_name")
+    rows = spark.read.parquet(path)
+    return rows.select("*", F.regexp_extract(meta, r"part-(\d+)", 1).cast("int").alias("file_place"),
+                       F.expr("_metadata.row_index").alias("row_place"))

@@ -3,7 +3,7 @@
 The reference works on a survey database (``location``, ``visits``,
 ``water_source`` ...).  The driver ships TPC-H-like tables instead, so each
 survey table is a deterministic projection of them (FIXTURES.md section 3).
-The same expressions exist as SQL in :mod:`fieldbook.plans.oracle` for the
+The same expressions exist as SQL in :mod:`fieldbook.plans.roles_sql` for the
 DuckDB oracle.
 
 Every frame is lazy except ``visits``, whose per-location visit ordinal is
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from fieldbook.operators.ordered import row_number_within
 from fieldbook.sources.io import snapshot
+from fieldbook.sources.store import owned, session_store
 from fieldbook.sources.tables import load
 
 # Fixed values of the survey domain: the categories, labels and e-mail format the
@@ -113,11 +114,13 @@ def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``row_number`` window (one task per location) but the range-partitioned
     running count of :mod:`fieldbook.operators.ordered`.
     """
-    numbered = row_number_within(visits_unnumbered(spark, sf_dir), ["location_id"],
-                                 ["time_of_record"], "visit_count", tiebreak=["record_id"])
-    # stored once: every job reads it, and first-visit filters then reach the Parquet scan
-    return snapshot(numbered.select("record_id", "location_id", "source_id", "time_of_record",
-                                    "visit_count", "time_in_queue", "assigned_employee_id"), "visits")
+    with owned(spark):  # the range-partitioned copy is only read by the final write
+        numbered = row_number_within(visits_unnumbered(spark, sf_dir), ["location_id"],
+                                     ["time_of_record"], "visit_count", tiebreak=["record_id"])
+        # stored once: every job reads it, and first-visit filters then reach the Parquet scan
+        return snapshot(numbered.select("record_id", "location_id", "source_id", "time_of_record",
+                                        "visit_count", "time_in_queue", "assigned_employee_id"),
+                        "visits", session_store(spark))
 
 
 def water_quality(visits_df: DataFrame) -> DataFrame:
@@ -211,6 +214,15 @@ def survey_tables(spark: SparkSession, sf_dir: str) -> SurveyTables:
         return _TABLES[key]
 
 
+def forget_tables(spark: SparkSession) -> None:
+    """Drop the session's survey tables with all it has stored; the next use reads the files anew."""
+    app = (spark.sparkContext.applicationId, spark._jsparkSession.hashCode())
+    with _TABLES_LOCK:
+        for key in [k for k in _TABLES if k[:2] == app]:
+            del _TABLES[key]
+    session_store(spark).release_all()
+
+
 SURVEY_VIEWS = ("location", "employee", "water_source", "well_pollution", "visits", "water_quality",
                 "auditor_report", "global_water_access")
 

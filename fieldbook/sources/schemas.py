@@ -2,8 +2,23 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# MySQL's default collations compare text without case.
+IGNORE_CASE = "UTF8_LCASE"
+
+
+def collated(df: DataFrame, *cols: str, collation: str = IGNORE_CASE) -> DataFrame:
+    """``df`` with text columns (default: all) under a collation that ignores case (M-2).
+
+    Joins, groups, DISTINCT, IN and ``=`` on these columns then ignore case, whichever operator
+    uses them; values keep their spelling.  A group shows one of its spellings.
+    """
+    names = cols or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    return df.withColumns({c: F.collate(F.col(c), collation) for c in names})
+
 AUDITOR_REPORT = T.StructType([
     T.StructField("location_id", T.StringType(), True),
     T.StructField("type_of_water_source", T.StringType(), True),

@@ -8,7 +8,6 @@ Checkpoints go under the session's shared checkpoint folder.
 from __future__ import annotations
 
 import os
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -18,8 +17,7 @@ from fieldbook.plans.survey import queue_by, queue_pivot
 from fieldbook.session import checkpoint_dir
 
 
-def visit_stream(spark: SparkSession, events_path: str, max_files_per_trigger: int | None = None,
-                 sources: int = 200, employees: int = 10) -> DataFrame:
+def visit_stream(spark: SparkSession, events_path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Arriving event files projected to the visit columns the queue analyses read.
 
     ``events_path`` is normally a folder new files land in; a single file is accepted too.
@@ -36,15 +34,13 @@ def visit_stream(spark: SparkSession, events_path: str, max_files_per_trigger: i
     e = reader.parquet(source)
     return e.select(F.col("event_id").alias("record_id"),
                     F.col("user_id").alias("location_id"),
-                    (F.col("event_id") % sources).alias("source_id"),
                     F.col("ts").alias("time_of_record"),
-                    F.floor("value").cast("int").alias("time_in_queue"),
-                    (F.col("event_id") % employees).alias("assigned_employee_id"))
+                    F.floor("value").cast("int").alias("time_in_queue"))
 
 
 def _start(df: DataFrame, name: str, sink: str, available_now: bool, every: str = "10 seconds") -> StreamingQuery:
-    spark = df.sparkSession
-    location = os.path.join(checkpoint_dir(spark), "streams", f"{name}-{uuid.uuid4().hex[:8]}")
+    # one folder per query name: a restart under the same shared folder resumes where the query stopped
+    location = os.path.join(checkpoint_dir(df.sparkSession), "streams", name)
     writer = (df.writeStream.outputMode("complete").format(sink).queryName(name)
                 .option("checkpointLocation", location))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=every)

@@ -13,6 +13,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from fieldbook.plans.registry import queries  # noqa: E402
 from fieldbook.session import build_session  # noqa: E402
+from fieldbook.sources.roles import forget_tables  # noqa: E402
+from fieldbook.sources.store import owned  # noqa: E402
 
 
 def main() -> None:
@@ -27,10 +29,12 @@ def main() -> None:
         if not any(s in name for s in args.names):
             continue
         print("=" * 30, name)
-        df = fn(spark, args.sf)
-        if args.run:
-            df.write.format("noop").mode("overwrite").save()
-        df.explain(args.mode)
+        with owned(spark):
+            df = fn(spark, args.sf)
+            if args.run:
+                df.write.format("noop").mode("overwrite").save()
+            df.explain(args.mode)
+    forget_tables(spark)
     spark.stop()
 
 
