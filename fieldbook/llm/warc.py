@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from fieldbook.llm.storage import Scratch
 
 MIN_REVISIT = 1000
+READERS = 1 << 16  # tasks that read archives, at most
 ARCHIVE_BYTES = 64 << 20
 STEP = 1 << 16
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -172,8 +173,13 @@ def _reader(with_payload: bool):
 
 
 def read_archives(manifest: DataFrame, with_payload: bool = False) -> DataFrame:
-    """One row per record of the archives in ``manifest``; ``verified`` says that its digests agree."""
-    return manifest.select("path").repartition("path").mapInArrow(_reader(with_payload), _RECORD)
+    """One row per record of the archives in ``manifest``; ``verified`` says that its digests agree.
+
+    The number of archives (which are cut by size; at most ``READERS``) sets that of the tasks: a manifest is small,
+    whatever its archives hold, so a number left open would be merged into one task.
+    """
+    tasks = max(1, min(READERS, manifest.count()))
+    return manifest.select("path").repartition(tasks, "path").mapInArrow(_reader(with_payload), _RECORD)
 
 
 def archive_pages(pages: DataFrame, min_revisit: int = MIN_REVISIT) -> DataFrame:
