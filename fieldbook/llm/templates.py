@@ -12,7 +12,13 @@ remains in the slot is extracted from each page in page order.
 Per host only tokens on at least ``FREQUENT`` of its pages are brought together; a page
 with m tokens allows at most m / FREQUENT of them, whatever the number of pages.
 
-Edge cases.  A null or blank html gives an empty text.  A page of a host without a template,
+Inside the article a name alone decides little.  An element below the slot is left out if HTML itself says that it
+is no text of the article (navigation, aside, form, script), or if one of its class, id or role words is exactly that of a
+page part and the article keeps most of its text without such elements.  Names with such a word inside (related-work,
+social-history) are part of the article.  Paths do not depend on digits in class and id values, so that pages whose
+elements carry their own number still share a template.
+
+Edge cases.  Texts of any length are read whole, a page at a time.  A null or blank html gives an empty text.  A page of a host without a template,
 or without the template's article slot, falls back to its own article or main element, then to its
 body.  Null urls share one host.  Truncated pages end where they end.  Repeated rows are
 separate pages.  An empty table gives an empty result.  Other columns are ignored.
@@ -39,7 +45,7 @@ MIN_PAGES = 3
 MIN_CLASS = 3
 # Element names of HTML by what they do, and words that name page parts.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math object select button".split())
+RAW = frozenset("script style noscript template textarea title iframe svg object select button".split())
 DROPPED = frozenset("nav footer aside form header dialog menu".split()) | RAW
 BLOCKS = frozenset("address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption "
                    "figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section "
@@ -57,16 +63,23 @@ _TOKEN = re.compile(
     r"|<[!?][^>]*(?:>|\Z)"
     r"|</?[a-zA-Z][^<>]*\Z", re.S)
 _ATTR = re.compile(r"""\b(class|id|role|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
+_DIGITS = re.compile(r"\d+")
 _SCHEMA = "host string, path string, page bigint, n int, chars bigint, text_hash bigint"
 _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 
 
 class Piece(NamedTuple):
-    """Text of one run inside an element; ``dropped`` where an ancestor is no article part."""
+    """Text of one run inside an element.
+
+    ``dropped`` where an ancestor is no article part by its element; ``named`` is the outermost ancestor whose name says
+    so, and ``exact`` whether some ancestor's name is exactly that of a part.
+    """
 
     path: str
     text: str
     dropped: bool
+    named: str | None
+    exact: bool
 
 
 class Page(NamedTuple):
@@ -74,28 +87,29 @@ class Page(NamedTuple):
     pieces: list[Piece | None]  # None: a block ends
 
 
-def _named_parts(attrs: str) -> tuple[str, bool]:
-    """Suffix of the path token, and whether the names say that this is no article part."""
-    suffix, dropped = "", False
+def _named_parts(attrs: str) -> tuple[str, bool, bool]:
+    """Suffix of the path token; whether a name holds the word of a page part, and whether it is exactly one."""
+    suffix, holds, exact = "", False, False
     for key, value in _ATTR.findall(attrs):
         value = value.strip("\"'").lower()
-        suffix += f"[{key.lower()}={value}]"
+        suffix += f"[{key.lower()}={_DIGITS.sub('', value)}]"
         if key.lower() != "itemprop":
-            dropped = dropped or any(w in PARTS for w in re.split(r"[^a-z]+", value))
-    return suffix, dropped
+            holds = holds or any(w in PARTS for w in re.split(r"[^a-z]+", value))
+            exact = exact or any(w in PARTS for w in value.split())
+    return suffix, holds, exact
 
 
 def walk(source: str) -> Page:
     """Elements and text runs of a page, with the end tags that HTML lets pages leave out."""
     elements: list[str] = []
     pieces: list[Piece | None] = []
-    stack: list[tuple[str, str, bool]] = [("", "", False)]
+    stack: list[tuple[str, str, bool, str | None, bool]] = [("", "", False, None, False)]
     at, size = 0, len(source)
 
     def text(upto):
         if upto > at:
-            _, path, dropped = stack[-1]
-            pieces.append(Piece(path, entities.unescape(source[at:upto]), dropped))
+            _, path, *says = stack[-1]
+            pieces.append(Piece(path, entities.unescape(source[at:upto]), *says))
 
     def pop_to(names, stop):
         for k in range(len(stack) - 1, 0, -1):
@@ -126,13 +140,13 @@ def walk(source: str) -> Page:
             pop_to({"p"}, {"article", "body", "div", "section", "main", "td", "li", "blockquote"})
         if name in CLOSES:
             pop_to(CLOSES[name], {"ul", "ol", "dl", "table", "select", "menu"})
-        suffix, named = _named_parts(m["attrs"]) if m["attrs"] else ("", False)
-        _, parent, dropped = stack[-1]
+        suffix, holds, exact = _named_parts(m["attrs"]) if m["attrs"] else ("", False, False)
+        _, parent, dropped, named, exactly = stack[-1]
         path = f"{parent}/{name}{suffix}"
         inside = re.search(r"/(article|main)\b", parent)
-        out = dropped or named or (name in DROPPED and not (name == "header" and inside)) and not (named and name in ("body", "html", "article"))
-        if named and name in ("html", "body", "article", "main"):
-            out = dropped
+        out = dropped or (name in DROPPED and not (name == "header" and inside))
+        if holds and name not in ("html", "body", "article", "main"):
+            named, exactly = named or path, exactly or exact
         if name in VOID:
             continue
         if name in BLOCKS or name in RAW or suffix:
@@ -141,12 +155,23 @@ def walk(source: str) -> Page:
                 end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(source, at)
                 at = end.end() if end else size
                 continue
-            stack.append((name, path, out))
+            stack.append((name, path, out, named, exactly))
     return Page(elements, pieces)
 
 
 def slot_text(page: Page, roots: list[str], constant: set[str]) -> str:
     """Kept text below any of ``roots``, blocks in order joined by a space; the whole page where there is no root."""
+    def kept(piece: Piece) -> bool:
+        if piece.dropped or piece.path in constant or (roots and not _below(piece.path, roots)):
+            return False
+        return piece.named is None or (_inside(piece.named, roots) and (by_name or not piece.exact))
+
+    # Elements with the name of a part go, unless they hold most of the article.
+    by_name = False
+    if roots:
+        lean = sum(len(p.text) for p in page.pieces if p and kept(p))
+        by_name = True
+        by_name = 2 * lean < sum(len(p.text) for p in page.pieces if p and kept(p))
     blocks, run = [], []
     for piece in [*page.pieces, None]:
         if piece is None:
@@ -154,7 +179,7 @@ def slot_text(page: Page, roots: list[str], constant: set[str]) -> str:
             if block:
                 blocks.append(block)
             run = []
-        elif not piece.dropped and piece.path not in constant and (not roots or _below(piece.path, roots)):
+        elif kept(piece):
             run.append(piece.text)
     return " ".join(blocks)
 
@@ -163,6 +188,11 @@ def _below(path: str, roots: list[str]) -> bool:
     return any(path == r or path.startswith(r + "/") for r in roots)
 
 
+def _inside(path: str, roots: list[str]) -> bool:
+    """Whether an element lies in one of ``roots`` (or bears its name); a part around a root is outside."""
+    return any(path.startswith(r + "/") or path == r for r in roots)
+
+
 def _is_article(path: str) -> int:
     last = path.rsplit("/", 1)[-1]
     if last.startswith("article") or "[itemprop=articlebody]" in last:
@@ -186,7 +216,7 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             page = walk(source or "")
             texts: dict[str, list[str]] = {}
             for piece in page.pieces:
-                if piece and not piece.dropped and not piece.text.isspace():
+                if piece and not piece.dropped and piece.named is None and not piece.text.isspace():
                     texts.setdefault(piece.path, []).append(piece.text)
             for path, n in Counter(page.elements).items():
                 own = " ".join(" ".join(texts.get(path, [])).split())
@@ -229,8 +259,12 @@ def _deduce(paths: pd.DataFrame) -> pd.DataFrame:
     template = [p for c in classes for p in c]
     roots = _own_roots(template)
     if not roots:
-        total = paths["chars"].sum()
-        held = {p: paths.loc[[_below(q, [p]) for q in paths["path"]], "chars"].sum() for p in template}
+        # All text of the host counts, that of elements which stand on few pages too.
+        total, held = paths["host_chars"].iloc[0], dict.fromkeys(template, 0)
+        for path, chars in zip(paths["path"], paths["chars"], strict=True):
+            for at in [m.start() for m in re.finditer("/", path)][1:] + [len(path)]:
+                if path[:at] in held:
+                    held[path[:at]] += chars
         deep = [p for p in template if total and held[p] >= 0.7 * total]
         roots = [max(deep, key=len)] if deep else []
     fixed = paths[(paths["same_text"]) & (paths["chars"] > 0) & (paths["pages"] >= max(MIN_PAGES, 0.5 * pages))]["path"]
@@ -250,7 +284,8 @@ def deduce_templates(pages: DataFrame, scratch: Scratch) -> DataFrame:
         F.bit_xor(F.xxhash64("page", "n")).alias("vector_a"), F.bit_xor(F.xxhash64("n", "page", F.lit(7))).alias("vector_b"),
         (F.min("text_hash") == F.max("text_hash")).alias("same_text")), "tokens")
     sizes = pages.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
-    frequent = (tokens.join(sizes, "host").where(
+    texts = tokens.groupBy("host").agg(F.sum("chars").alias("host_chars"))
+    frequent = (tokens.join(sizes, "host").join(texts, "host").where(
         (F.col("pages") >= MIN_PAGES) & (F.col("pages") >= FREQUENT * F.col("host_pages"))))
     return scratch.store(frequent.groupBy("host").applyInPandas(
         _deduce, "host string, roots array<string>, constant array<string>"), "templates")
@@ -261,8 +296,10 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = []
         for source, roots, constant in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)), strict=True):
             page = walk(source or "")
-            here = [r for r in roots or [] if r in page.elements]
-            texts.append(slot_text(page, here or _own_roots(page.elements), set(constant or [])))
+            here, own = [r for r in roots or [] if r in page.elements], _own_roots(page.elements)
+            if own and not set(here) & set(own):
+                here = own  # the template's slot never stands in for an article of the page's own
+            texts.append(slot_text(page, here, set(constant or [])))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())],
             names=["page_id", "url", "text", "n_chars"])
