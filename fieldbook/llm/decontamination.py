@@ -1,18 +1,20 @@
 """Operator 10: documents that carry benchmark passages, by latent semantic retrieval.
 
-The benchmark is cut into passages of at most ``PASSAGE`` words.  Their TF-IDF matrix, with document
+The benchmark is cut into passages of at most ``PASSAGE`` words, which overlap by three quarters in longer items: a run
+of words that stands in a document fills most of one passage, wherever the cuts are.  Their TF-IDF matrix, with document
 frequencies counted over the whole corpus, is reduced by a randomised SVD whose products
 Spark sums over the passages; the driver keeps factors of a fixed size.  Every document is
 read once more: windows of its words, as long as the passages they are compared with and one
 step apart, are projected into the latent space, and the cosine with each passage gives the
-candidates.  A candidate counts if the longest common subsequence of words covers the passage,
+candidates.  A short passage fills a window less, so its cosine has to reach what it would among foreign words.  A candidate counts if the longest common subsequence of words covers the passage,
 or covers most of it and the passage's answer (its last sentence) stands there too.
 
 Queries are handled in blocks of ``BLOCK`` passages, so what the tasks receive has a bound
 however large the benchmark is; whole documents are searched, window by window.
 
 Edge cases.  Null and blank texts, of documents or of the benchmark, match nothing; so do
-items of fewer than ``MIN_WORDS`` words.  Null ids are carried as they are.  Repeated rows are
+items of fewer than ``MIN_WORDS`` words.  Very long documents are searched whole, window by window, very long items in all
+their passages.  Null ids are carried as they are.  Repeated rows are
 reported once per (doc_id, item_id).  Empty tables give an empty result.
 """
 
@@ -31,6 +33,7 @@ from fieldbook.llm.storage import Scratch
 from fieldbook.llm.words import Block, blocks
 
 PASSAGE = 64
+OVERLAP = 16  # words between the begins of neighbouring passages, at most
 BLOCK = 4096
 MIN_WORDS = 5
 STEP = 8  # words between windows
@@ -38,6 +41,7 @@ RANK = 256
 EXTRA = 16
 POWER = 2
 COSINE = 0.45  # of what a passage itself reaches in the latent space
+AMONG = 0.85  # of the cosine that a verbatim passage has with a window of otherwise foreign words
 WEIGHT = 0.45  # share of a passage's own weight that a candidate must have along it
 COVERED = 0.6
 PARTLY = 0.45
@@ -78,12 +82,13 @@ def passages_of(items: list[tuple]) -> Passages:
         own = _word_hashes(text)
         if len(own) < MIN_WORDS:
             continue
-        n = -(-len(own) // PASSAGE)
+        n = 1 + max(0, -(-(len(own) - PASSAGE) // OVERLAP))
         last = _word_hashes(re.split(r"[.!?]\s+", text.strip())[-1])
         last = last if 3 <= len(last) < len(own) else own[-5:]
         for k in range(n):
+            begin = (len(own) - PASSAGE) * k // (n - 1) if n > 1 else 0
             item.append(item_id)
-            words.append(own[len(own) * k // n: len(own) * (k + 1) // n])
+            words.append(own[begin: begin + PASSAGE])
             answer.append(last if k == n - 1 else words[-1][-5:])
     vocabulary = np.unique(np.concatenate(words)) if words else np.zeros(0, np.uint64)
     return Passages(item, words, answer, vocabulary)
@@ -171,6 +176,11 @@ def latent_factors(rows: DataFrame, n_words: int, rank: int, seed: int = 11) ->
     return factor @ vector[:, np.argsort(-value)[:rank]]
 
 
+def window_steps(words: int) -> int:
+    """Steps of the windows for a passage; a short one lies in them whole, wherever it begins."""
+    return -(-words // STEP) if words > 2 * STEP else -(-(words - 1) // STEP) + 1
+
+
 def build_space(docs: DataFrame, passages: Passages, scratch: Scratch, rank: int = RANK) -> Space:
     idf, other = _weights(docs, passages.vocabulary)
     n = len(passages.vocabulary)
@@ -183,21 +193,24 @@ def build_space(docs: DataFrame, passages: Passages, scratch: Scratch, rank: int
     factors = latent_factors(rows, n, min(rank, n))
     project = (idf[:, None] * factors).astype(np.float32)
     query: dict[int, tuple[list, list, list]] = {}
-    least = 1.0
+    least = COSINE
     for k, (at, weight) in enumerate(tf):
         weight = np.array(weight)
         vector = weight @ factors[at]
         length = np.linalg.norm(vector)
         if length < 1e-9:
             continue
-        reach = length / np.linalg.norm(weight)
-        least = min(least, reach)
-        numbers, vectors, scores = query.setdefault(max(2, -(-len(passages.words[k]) // STEP)), ([], [], []))
+        steps = window_steps(len(passages.words[k]))
+        own = float(weight @ weight)
+        foreign = (steps * STEP - len(passages.words[k])) * other ** 2
+        limit = min(COSINE, AMONG * np.sqrt(own / (own + foreign))) * length / np.sqrt(own)
+        least = min(least, limit)
+        numbers, vectors, scores = query.setdefault(steps, ([], [], []))
         numbers.append(k)
-        vectors.append(vector / length / (COSINE * reach))
-        scores.append(WEIGHT * length / (COSINE * reach))
+        vectors.append(vector / length / limit)
+        scores.append(WEIGHT * length / limit)
     ready = {s: (np.array(a), np.array(v, np.float32).T.copy(), np.array(c, np.float32)) for s, (a, v, c) in query.items()}
-    return Space(passages, project, np.append(idf ** 2, other ** 2).astype(np.float32), (COSINE * least) ** 2, ready)
+    return Space(passages, project, np.append(idf ** 2, other ** 2).astype(np.float32), least ** 2, ready)
 
 
 def common_words(a: np.ndarray, b: np.ndarray) -> int:
@@ -317,7 +330,7 @@ def _spaces(docs: DataFrame, benchmark: DataFrame, scratch: Scratch) -> Iterator
     """One latent space per block of benchmark items; a block is a hash range of the items."""
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").where("text is not null")
     size = F.size(F.split("text", r"[\x20\x09-\x0D]+"))
-    passages = items.agg(F.sum(F.floor(size / PASSAGE) + 1)).first()[0] or 0
+    passages = items.agg(F.sum(F.floor(F.greatest(size - PASSAGE, F.lit(0)) / OVERLAP) + 2)).first()[0] or 0
     n = -(-passages // BLOCK)
     for k in range(n):
         mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
