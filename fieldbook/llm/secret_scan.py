@@ -6,7 +6,12 @@ compressed data inside those.  What a run's content holds, in all that is encode
 once per content and reported at every place where that content stands; a content met again
 below itself ends a cycle.  A match in a layer is reported at the span of the outer text that it came from.
 
-Base64 may be broken over lines.  Compressed pieces are inflated with all their members; a content
+Escapes of an escape sign, nested any number of times (``%252525..41``), are cut to ``NESTED`` levels in one step, so that
+the levels of a text are few and the work stays in proportion to its length.
+
+A run of base64 letters is decoded at its four offsets, and what follows a slash, dash or underscore in it is looked at as
+well, since these stand in paths and names too.  Base64 may be broken over lines, hold UTF-16, and compressed data
+with or without a header.  Compressed pieces are inflated with all their members; a content
 of more than ``MAX_LAYER`` bytes is searched as a stream, in parts cut between lines, so that a
 decompression bomb does not fill the task.  Only data compressed more than ``LEVELS`` times
 over, such as a file that inflates to itself, is left and counted in ``n_unopened``.
@@ -24,6 +29,7 @@ import hashlib
 import html
 import re
 import zlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from itertools import chain
 from typing import NamedTuple
@@ -37,6 +43,7 @@ from pyspark.sql import functions as F
 MAX_LAYER = 32 << 20  # bytes that are held at once
 PIECE = 4 << 20  # bytes or characters of a step
 OVERLAP = 1 << 16
+NESTED = 6  # levels of one nested escape sign that are looked at one by one
 LEVELS = 100  # of compressed data directly in compressed data
 # Kinds in the order that breaks ties, and the patterns of the scan.
 KINDS = ("assign", "access", "hex")
@@ -46,6 +53,9 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(r"\\u[0-9A-Fa-f]{4}|\\u\{[0-9A-Fa-f]{1,6}\}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
+_CHAIN = re.compile(r"([%\\&])([^\s%\\&]{2,14}?)\2{" + str(NESTED) + r",}")
+_PARTING = re.compile(r"[/_-]")
+_CONTROL = re.compile(rb"[\x00-\x08\x0e-\x1f]")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 _LINES = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:[\x20\t]*+\r?\n[\x20\t]*+[A-Za-z0-9+/_-]++)++={0,2}")
 _LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
@@ -85,11 +95,43 @@ def _escapes(text: str) -> re.Pattern | None:
     return _UNICODE if ("\\" in text or "&#" in text) and _UNICODE.search(text) else None
 
 
+def _same_sign(sign: str, unit: str) -> bool:
+    """Whether ``sign`` and ``unit`` decode to the sign again, so that repeated units are nested escapes of it."""
+    text = sign + unit
+    for _ in range(3):
+        pattern = _escapes(text)
+        if pattern is None:
+            break
+        text = pattern.sub(lambda m: _unescape(m.group()), text)
+        if text == sign:
+            return True
+    return False
+
+
+def _cut_chains(layer: Layer) -> Layer:
+    """Escapes of a sign nested deeper than ``NESTED`` levels cut to these; the sign keeps its place."""
+    text, parts, keep, at = layer.text, [], [], 0
+    for m in _CHAIN.finditer(text):
+        unit = m.group(2)
+        if _same_sign(m.group(1), unit):
+            rest = m.end() - NESTED * len(unit)
+            parts += [text[at: m.start() + 1], text[rest: m.end()]]
+            keep += [np.arange(at, m.start() + 1), np.arange(rest, m.end())]
+            at = m.end()
+    if not parts:
+        return layer
+    parts.append(text[at:])
+    at = np.concatenate([*keep, np.arange(at, len(text))])
+    first, last = (at, at + 1) if layer.start is None else (layer.start[at], layer.end[at])
+    return Layer("".join(parts), first, last)
+
+
 def unescaped(layer: Layer) -> Layer | None:
     """The whole text with one level of its escapes decoded, so that neighbours stay neighbours; None without escapes."""
-    text, pattern = layer.text, _escapes(layer.text)
-    if pattern is None:
+    if _escapes(layer.text) is None:
         return None
+    layer = _cut_chains(layer)
+    text, pattern = layer.text, _escapes(layer.text)
     parts, first, last, at = [], [], [], 0
     for m in pattern.finditer(text):
         new = _unescape(m.group())
@@ -198,11 +240,20 @@ def _texts(data: bytes) -> Iterator[str]:
 
 def _unpack(piece: str) -> tuple[str | Large | None, bool]:
     """Text inside a base64 piece, inflated where it is compressed, and whether it was left closed."""
-    plain = piece.rstrip("=").replace("-", "+").replace("_", "/")
+    data = _bytes(piece.rstrip("="))
+    return (None, False) if data is None else _content(data)
+
+
+def _bytes(letters: str) -> bytes | None:
+    plain = letters.replace("-", "+").replace("_", "/")
     try:
-        data = base64.b64decode(plain[: len(plain) - (len(plain) % 4 == 1)] + "=" * (-len(plain) % 4 % 3), validate=True)
+        return base64.b64decode(plain[: len(plain) - (len(plain) % 4 == 1)] + "=" * (-len(plain) % 4 % 3), validate=True)
     except (binascii.Error, ValueError):
-        return None, False
+        return None
+
+
+def _content(data: bytes) -> tuple[str | Large | None, bool]:
+    """Text that ``data`` holds, inflated where it is compressed, and whether it was left closed."""
     try:
         if _wbits(data):
             parts, size = [], 0
@@ -217,8 +268,86 @@ def _unpack(piece: str) -> tuple[str | Large | None, bool]:
     except RecursionError:
         return None, True
     except (UnicodeDecodeError, zlib.error):
-        return None, False
-    return (text if len(text) >= 8 and not _odd(text) else None), False
+        return _without_mark(data), False
+    if _odd(text):
+        return _without_mark(data), False
+    return (text if len(text) >= 8 else None), False
+
+
+def _without_mark(data: bytes | memoryview) -> str | Large | None:
+    """Text of ``data`` that is UTF-16, or deflated without a header."""
+    if len(data) >= 16:
+        marked = bytes(data[:2]) in (b"\xff\xfe", b"\xfe\xff")
+        for code, zeros in (("utf-16-le", data[1:32:2]), ("utf-16-be", data[0:32:2])):
+            if marked or not any(zeros):
+                try:
+                    text = str(data[: len(data) // 2 * 2], "utf-16" if marked else code)
+                except UnicodeDecodeError:
+                    continue
+                return text if len(text) >= 8 and not _odd(text) else None
+    inside = zlib.decompressobj(-15)
+    try:
+        head = inside.decompress(data, 256)  # bytes that are not deflated mostly fail here
+        head.decode("utf-8", "strict" if inside.eof else "ignore")
+        if len(head) < 8 or _CONTROL.search(head):
+            return None
+        plain = head + inside.decompress(inside.unconsumed_tail, MAX_LAYER)
+        if inside.unconsumed_tail:
+            return Large(_with_header(bytes(data), plain, inside))
+        text = (plain + inside.flush()).decode()
+    except (zlib.error, UnicodeDecodeError):
+        return None
+    return text if inside.eof and not _odd(text) else None
+
+
+def _with_header(data: bytes, plain: bytes, inside) -> bytes:
+    """Headerless deflated data as a gzip member, so that it can be read as a stream like the others."""
+    crc, size = zlib.crc32(plain), len(plain)
+    while not inside.eof and inside.unconsumed_tail:
+        more = inside.decompress(inside.unconsumed_tail, PIECE)
+        crc, size = zlib.crc32(more, crc), size + len(more)
+    return b"\x1f\x8b\x08\0\0\0\0\0\0\xff" + data + crc.to_bytes(4, "little") + (size & 0xFFFFFFFF).to_bytes(4, "little")
+
+
+def _placed(text: str, lo: int, hi: int) -> Iterator[tuple[int, int, str | Large | None, bool]]:
+    """Contents of a run of base64 letters that do not begin at its first one.
+
+    They may begin at one of its first letters or after a parting sign, and end with the run or before a parting sign.
+    The run is decoded once per offset.  Of the places inside one stretch of text only the first is kept, so each
+    byte is decoded once.
+    """
+    letters = text[lo:hi].rstrip("=")
+    cuts = [m.end() for m in _PARTING.finditer(letters)]
+    for r in range(4):
+        places = sorted({p for p in [r, *cuts] if p % 4 == r and len(letters) - p >= 16})
+        data = _bytes(letters[r:]) if places else None
+        if data is None:
+            continue
+        view, done = memoryview(data), 0
+        control = [m.start() for m in _CONTROL.finditer(data)]
+        for p in places:
+            at = (p - r) // 4 * 3
+            if _wbits(data[at: at + 2]):
+                yield (lo + p, hi, *_content(data[at:]))
+            elif (inner := _without_mark(view[at:])) is not None:
+                yield lo + p, hi, inner, False
+            elif at >= done:
+                after = bisect_left(control, at)
+                stop = control[after] if after < len(control) else len(data)
+                try:
+                    inner = str(view[at:stop], "utf-8")
+                except UnicodeDecodeError as e:
+                    stop = at + e.start
+                if stop == len(data):
+                    yield lo + p, hi, inner if len(inner) >= 8 and not _odd(inner) else None, False
+                else:  # text up to a parting sign
+                    end = cuts[k] - 1 if (k := bisect_right(cuts, r + stop // 3 * 4 + 4) - 1) >= 0 else 0
+                    if end - p >= 16:
+                        yield (lo + p, lo + end, *_unpack(letters[p:end]))
+                done = stop + 1
+    for a, b in zip([0, *cuts], [*(c - 1 for c in cuts), None], strict=True):
+        if cuts and b is not None and b - a >= 16:
+            yield (lo + a, lo + b, *_unpack(letters[a:b]))
 
 
 def _wrapped(text: str) -> Iterator[tuple[int, int]]:
@@ -238,12 +367,19 @@ def _wrapped(text: str) -> Iterator[tuple[int, int]]:
 def packed(text: str) -> tuple[list[tuple[int, int, str | Large]], list[tuple[int, int]]]:
     """(start, end, content) of the base64 pieces, and the compressed pieces left closed."""
     out, closed = [], []
-    for lo, hi in chain((m.span() for m in _BASE64.finditer(text)), _wrapped(text)):
-        inner, shut = _unpack(_BLANK.sub("", text[lo:hi]))
+
+    def take(lo, hi, inner, shut):
         if shut:
             closed.append((lo, hi))
         if inner is not None:
             out.append((lo, hi, inner))
+        return inner is not None or shut
+    for m in _BASE64.finditer(text):
+        if not take(*m.span(), *_unpack(m.group())):
+            for found in _placed(text, *m.span()):
+                take(*found)
+    for lo, hi in _wrapped(text):
+        take(lo, hi, *_unpack(_BLANK.sub("", text[lo:hi])))
     return out, closed
 
 
