@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldbook.llm.storage import Scratch
+from fieldbook.llm.storage import Scratch, dealt
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -19,7 +19,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Link every larger neighbour of a node to the smallest node around it."""
     around = _both_ways(edges)
     least = around.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
-    return (around.join(least, "u").where("v > u")
+    return (around.join(dealt(least, "u"), "u").where("v > u")
             .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
 
 
@@ -27,7 +27,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
     """Link every smaller neighbour of a node, and the node, to the smallest of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = down.groupBy("u").agg(F.min("v").alias("m"))
-    turned = (down.join(least, "u")
+    turned = (down.join(dealt(least, "u"), "u")
               .select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v")))
     return turned.where("u <> v").distinct()
 
@@ -51,6 +51,7 @@ def components(edges: DataFrame, scratch: Scratch, max_rounds: int = 60) -> Data
         if (row[0], row[1]) == mark or row[0] == 0:
             break
         mark = (row[0], row[1])
+        scratch.tidy()
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = current.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()

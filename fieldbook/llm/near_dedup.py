@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldbook.llm.graph import components
-from fieldbook.llm.storage import Scratch
+from fieldbook.llm.storage import Scratch, dealt
 from fieldbook.llm.words import blocks, mix, shingle_hashes
 
 TREES = 16
@@ -423,15 +423,22 @@ def _ask_block(key, members: pa.Table, asking: pa.Table) -> pa.Table:
 
 
 def confirm_groups(asks: DataFrame, groups: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
-    """Links between texts u and texts of group v, for asks (u, v); ``groups`` has (node, grp, weight)."""
-    member = groups.join(asks.select(F.col("v").alias("grp")).distinct(), "grp", "left_semi")
+    """Links between texts u and texts of group v, for asks (u, v); ``groups`` has (node, grp, weight).
+
+    Both the texts that ask for a group and the group's own texts are dealt into blocks of at most about ``GROUP_BLOCK``;
+    each pair of blocks is a piece of work of its own, however large the group and however many ask for it.
+    """
+    asked = asks.groupBy(F.col("v").alias("grp")).agg(F.ceil(F.count(F.lit(1)) / GROUP_BLOCK).cast("int").alias("rounds"))
     pieces = F.ceil(F.col("weight") / GROUP_BLOCK).cast("int")
-    members = member.select("node", "grp", F.pmod(F.xxhash64("node"), pieces).cast("int").alias("piece")).join(sets, "node")
-    size = member.select("grp", pieces.alias("pieces")).distinct()
+    member = groups.join(dealt(asked, "grp"), "grp").withColumn("pieces", pieces)
+    members = (member.select("node", "grp", F.pmod(F.xxhash64("node"), "pieces").cast("int").alias("piece"),
+                             F.explode(F.sequence(F.lit(0), F.col("rounds") - 1)).alias("round")).join(sets, "node"))
+    size = dealt(member.groupBy("grp").agg(F.max("pieces").alias("pieces"), F.max("rounds").alias("rounds")), "grp")
     asking = (asks.join(size, F.col("v") == F.col("grp")).join(sets.withColumnRenamed("node", "u"), "u")
-              .select("u", "grp", "shingles", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece")))
-    asking = asking.toDF("u", "of", "asked", "part")  # other names than the members', which share their tables
-    links = (members.groupBy("grp", "piece").cogroup(asking.groupBy("of", "part"))
+              .select("u", "grp", "shingles", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"),
+                      F.pmod(F.xxhash64("u"), "rounds").cast("int").alias("round")))
+    asking = asking.toDF("u", "of", "asked", "part", "turn")  # other names than the members', which share their tables
+    links = (members.groupBy("grp", "piece", "round").cogroup(asking.groupBy("of", "part", "turn"))
              .applyInArrow(_ask_block, "u bigint, v bigint"))
     return scratch.store(links, "group-links")
 
@@ -453,13 +460,16 @@ def near_duplicates(docs: DataFrame, region_rows: int = REGION_ROWS) -> DataFram
     singles = classes.withColumns({"grp": F.col("node"), "weight": F.lit(1).cast("bigint")})
     crowded = _crowded(singles, region_rows, scratch)
     pairs = scratch.store(sweep(singles, crowded, True, region_rows), "pairs")
+    scratch.tidy()
     active = scratch.store(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "active")
     sets = shingle_sets(docs, active, scratch)
     links = confirm_pairs(pairs.where("mark").select("u", "v"), sets, scratch)
     groups = scratch.store(components(links, scratch), "groups")
 
     known = active.join(groups, "node", "left").select("node", F.coalesce("root", "node").alias("grp"))
-    known = scratch.store(known.join(known.groupBy("grp").agg(F.count(F.lit(1)).alias("weight")), "grp"), "known")
+    weights = dealt(known.groupBy("grp").agg(F.count(F.lit(1)).alias("weight")), "grp")
+    known = scratch.store(known.join(weights, "grp"), "known")
+    scratch.tidy()
     asks = scratch.store(sweep(classes.join(known, "node"), crowded, False, region_rows).select("u", "v"), "asks")
     if crowded:
         # A text that no pair names has none in its thin regions, but may have some in its crowded ones.
@@ -471,6 +481,7 @@ def near_duplicates(docs: DataFrame, region_rows: int = REGION_ROWS) -> DataFram
         if not late.isEmpty():
             known = known.unionByName(late.withColumns({"grp": F.col("node"), "weight": F.lit(1).cast("bigint")}))
             sets = sets.union(shingle_sets(docs, late, scratch))
+    scratch.tidy()
     more = confirm_groups(asks, known, sets, scratch)
     if not more.isEmpty():
         # Every text is linked with its group already, so groups and new links together give the components.
