@@ -2,6 +2,11 @@
 
 Every stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept.  All but
 the last return the columns of documents; the last adds ``copy``, the number of the copy.
+
+A null text is the empty text and a null id an id of its own: such rows pass the filters on their text, are never
+near-duplicates of anything, and are redacted and mixed like others.  Of rows that repeat an id and a text one stays after
+the near-duplicate stage, the first by all its columns as JSON.  Columns beyond those of documents, of any type and
+name, are carried along.  An empty table gives an empty result, and without labels nothing is rejected.
 """
 
 from __future__ import annotations
@@ -26,10 +31,12 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group, the one with the smallest id; of repeated rows one."""
     kept = near_dedup.near_duplicates(docs.select("doc_id", "text")).where("kept and doc_id is not null").select("doc_id").distinct()
-    known = docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
-    seen = [c for c in ("doc_id", "text") if c in docs.columns]
-    first = known.withColumn("_n", F.row_number().over(Window.partitionBy(*seen).orderBy(*[F.col(c) for c in docs.columns])))
-    return first.where("_n = 1").drop("_n").union(docs.where("doc_id is null"))
+    whole = F.struct(*docs.columns).alias("row")
+    known = docs.select("doc_id", whole).join(kept, "doc_id", "left_semi")
+    # The window's keys begin with the join's, so the rows are not shuffled again.
+    same = Window.partitionBy("doc_id", "row.text").orderBy(F.to_json("row"))
+    first = known.select("row", F.row_number().over(same).alias("nth")).where("nth = 1").select("row.*")
+    return first.union(docs.where("doc_id is null"))
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,4 +72,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = scratch.store(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        scratch.tidy()
     return docs
