@@ -11,6 +11,8 @@ name, are carried along.  An empty table gives an empty result, and without labe
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -22,12 +24,30 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: The driver keeps a description of each of the last thousand plans; those of this pipeline are long.
+PLAN_TEXT = {"spark.sql.ui.explainMode": "simple", "spark.sql.maxPlanStringLength": "4000"}
+
+
+def _short_plans(stage):
+    """``stage`` with short plan descriptions, unless the session says otherwise."""
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        said = spark.sparkContext.getConf()
+        for key, value in PLAN_TEXT.items():
+            if not said.contains(key):
+                spark.conf.set(key, value)
+        return stage(spark, docs, sf_dir)
+    return run_stage
+
+
+@_short_plans
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
     model = quality_classifier.fit(docs, _table(spark, sf_dir, "labels"))
     return quality_classifier.keep_accepted(docs, model) if model else docs
 
 
+@_short_plans
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group, the one with the smallest id; of repeated rows one."""
     kept = near_dedup.near_duplicates(docs.select("doc_id", "text")).where("kept and doc_id is not null").select("doc_id").distinct()
@@ -39,16 +59,19 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return first.union(docs.where("doc_id is null"))
 
 
+@_short_plans
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without benchmark passages."""
     return decontamination.drop_leaks(docs, _table(spark, sf_dir, "benchmark"))
 
 
+@_short_plans
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by the name of its kind; n_chars is that of the new text."""
     return pii.redact_documents(docs).withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
 
 
+@_short_plans
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: every document once per copy, with the copy's number."""
     return mixing.emit_mix(docs)
