@@ -14,7 +14,6 @@ import sys
 from fieldbook.plans.registry import queries
 from fieldbook.session import build_session
 from fieldbook.sources.io import write_csv
-from fieldbook.sources.roles import forget_tables
 from fieldbook.sources.store import owned
 
 
@@ -53,7 +52,7 @@ def main(argv: list[str] | None = None) -> int:
                 df.write.mode("overwrite").parquet(args.out)
         else:
             df.show(args.show, truncate=False)
-    forget_tables(spark)
+    # what the session stored for longer (the survey tables) goes with the session
     return 0
 
 

@@ -56,10 +56,15 @@ class TableStore:
         self._kept: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
-        """A fresh folder below the shared folder, removed with its owner."""
-        path = os.path.join(checkpoint_dir(self.spark), "tables", f"{name}-{uuid.uuid4().hex[:12]}")
-        fs, target = _file_system(self.spark, path)
+        """A fresh folder below the shared folder, removed with its owner.
+
+        It is inside one that exists already, since only what exists can be marked for removal at exit.
+        """
+        outer = os.path.join(checkpoint_dir(self.spark), "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+        fs, target = _file_system(self.spark, outer)
+        fs.mkdirs(target)
         fs.deleteOnExit(target)
+        path = os.path.join(outer, "rows")
         with self._lock:
             self._paths.add(path)
         return path
@@ -83,12 +88,12 @@ class TableStore:
         return cached
 
     def release(self, *tables: DataFrame | str) -> None:
-        """Remove stored copies (or folders) that are no longer read."""
+        """Remove stored copies (or folders that ``path`` gave) that are no longer read."""
         for table in tables:
             path = table if isinstance(table, str) else table._fb_path
             with self._lock:
                 self._paths.discard(path)
-            fs, target = _file_system(self.spark, path)
+            fs, target = _file_system(self.spark, os.path.dirname(path))
             fs.delete(target, True)
             fs.cancelDeleteOnExit(target)
 

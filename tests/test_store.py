@@ -67,6 +67,23 @@ def test_survey_tables_outlive_the_block_that_built_them(spark, tmp_path):
     assert t.visits.count() == n
 
 
+def test_a_session_leaves_no_tables_behind(tmp_path):
+    """The command line in a process of its own: the shared folder has no table after it."""
+    import subprocess
+    import sys
+
+    code = ("import sys; from pyspark.sql import SparkSession; "
+            f"SparkSession.builder.master('local[2]').config('spark.checkpoint.dir', '{tmp_path}/shared')"
+            ".config('spark.ui.enabled', 'false').config('spark.sql.shuffle.partitions', '4').getOrCreate(); "
+            f"from fieldbook.__main__ import main; sys.exit(main(['run', 'k21_mistake_gap', '--sf', '{SF_SMALL}', '--out', '{tmp_path}/out']))")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert any(f.endswith(".parquet") for f in os.listdir(tmp_path / "out"))
+    left = [f for _, _, files in os.walk(tmp_path / "shared") for f in files]
+    assert left == []
+
+
 # --- NULL keys -------------------------------------------------------------------------------------
 
 rows_with_nulls = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.one_of(st.none(), st.integers(0, 9))), max_size=25)
