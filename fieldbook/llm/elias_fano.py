@@ -40,9 +40,12 @@ class Levels:
 
 
 class EliasFano:
-    """A non-decreasing sequence: low bits packed, high bits in unary with a sampled directory."""
+    """A non-decreasing sequence: low bits packed, high bits in unary with a directory of ones before every block.
 
-    STEP = 64  # ones between two directory entries
+    Everything is read from the mapped file; no level is unpacked.
+    """
+
+    BLOCK = 8  # 64-bit words of the unary part between two directory entries
 
     def __init__(self, levels: Levels, values: np.ndarray):
         values = values.astype(np.uint64)
@@ -51,46 +54,83 @@ class EliasFano:
         top = int(values[-1]) if n else 0
         self.bits = max(0, (top // max(n, 1)).bit_length() - 1) if n else 0
         bits = np.uint64(self.bits)
-        high = (values >> bits).astype(np.int64)
-        unary = np.zeros((int(high[-1]) if n else 0) + n + 1, dtype=bool)
-        ones = high + np.arange(n)
-        unary[ones] = True
+        self.top = top >> self.bits
+        span = 64 * self.BLOCK
+        unary = np.zeros(-(-(self.top + n + 1) // span) * span, dtype=bool)
+        unary[(values >> bits).astype(np.int64) + np.arange(n)] = True
         low = values & ((np.uint64(1) << bits) - np.uint64(1))
         self._levels = levels
-        self._high = levels.add(np.packbits(unary, bitorder="little"))
+        self._high = levels.add(np.packbits(unary, bitorder="little").view(np.uint64))
         self._low = levels.add(_pack(low, self.bits))
-        self._directory = levels.add(ones[:: self.STEP].astype(np.int64))
-        self._ones: np.ndarray | None = None
-
-    def _select(self, index: np.ndarray) -> np.ndarray:
-        """Positions of the ones numbered ``index``; the unary part is opened once per use of the level."""
-        if self._ones is None:
-            self._ones = np.flatnonzero(np.unpackbits(self._levels.array(self._high), bitorder="little"))
-        return self._ones[index]
-
-    def access(self, index: np.ndarray) -> np.ndarray:
-        high = (self._select(index) - index).astype(np.uint64)
+        self._directory = levels.add(np.concatenate([[0], np.cumsum(unary.reshape(-1, span).sum(axis=1))[:-1]]).astype(np.int64))
+
+    def _select(self, index: np.ndarray, ones: bool) -> np.ndarray:
+        """Positions of the ones (or zeros) numbered ``index`` in the unary part."""
+        words, before = self._levels.array(self._high), self._levels.array(self._directory)
+        if not ones:
+            before = np.arange(len(before)) * (64 * self.BLOCK) - before
+        block = np.searchsorted(before, index, side="right") - 1
+        rest, word = index - before[block], block * self.BLOCK
+        live = np.arange(len(index))
+        for _ in range(self.BLOCK - 1):
+            x = words[word[live]]
+            here = np.bitwise_count(x if ones else ~x).astype(np.int64)
+            past = rest[live] >= here
+            live, here = live[past], here[past]
+            rest[live] -= here
+            word[live] += 1
+        x = words[word] if ones else ~words[word]
+        at = word * 64
+        for width in (32, 16, 8, 4, 2, 1):
+            here = np.bitwise_count(x & np.uint64((1 << width) - 1)).astype(np.int64)
+            past = rest >= here
+            rest -= np.where(past, here, 0)
+            at += np.where(past, width, 0)
+            x = np.where(past, x >> np.uint64(width), x)
+        return at
+
+    def _low_bits(self, index: np.ndarray) -> np.ndarray:
         if not self.bits:
-            return high
+            return np.zeros(len(index), dtype=np.uint64)
         words = self._levels.array(self._low)
         at = index.astype(np.uint64) * np.uint64(self.bits)
         word, shift = (at >> np.uint64(6)).astype(np.int64), at & np.uint64(63)
         value = words[word] >> shift
         over = shift + np.uint64(self.bits) > np.uint64(64)
         value[over] |= words[word[over] + 1] << (np.uint64(64) - shift[over])
-        return (high << np.uint64(self.bits)) | (value & ((np.uint64(1) << np.uint64(self.bits)) - np.uint64(1)))
+        return value & ((np.uint64(1) << np.uint64(self.bits)) - np.uint64(1))
+
+    def access(self, index: np.ndarray) -> np.ndarray:
+        index = index.astype(np.int64)
+        high = (self._select(index, True) - index).astype(np.uint64)
+        return (high << np.uint64(self.bits)) | self._low_bits(index)
+
+    def find(self, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First index whose entry is at least ``value`` (their number if there is none), and whether it is equal."""
+        value = value.astype(np.uint64)
+        place, equal = np.full(len(value), self.n, np.int64), np.zeros(len(value), bool)
+        inside = np.flatnonzero(value >> np.uint64(self.bits) <= np.uint64(self.top)) if self.n else np.zeros(0, np.int64)
+        high = (value[inside] >> np.uint64(self.bits)).astype(np.int64)
+        low = value[inside] & ((np.uint64(1) << np.uint64(self.bits)) - np.uint64(1))
+        # The entries with these high bits stand between two zeros of the unary part.
+        lo = np.where(high > 0, self._select(np.maximum(high - 1, 0), False) + 1 - high, 0)
+        stop = self._select(high, False) - high
+        hi = stop.copy()
+        live = np.flatnonzero(lo < hi)
+        while len(live):
+            mid = (lo[live] + hi[live]) >> 1
+            less = self._low_bits(mid) < low[live]
+            lo[live[less]] = mid[less] + 1
+            hi[live[~less]] = mid[~less]
+            live = live[lo[live] < hi[live]]
+        place[inside] = lo
+        here = np.flatnonzero(lo < stop)
+        equal[inside[here]] = self._low_bits(lo[here]) == low[here]
+        return place, equal
 
     def search(self, lo: np.ndarray, hi: np.ndarray, value: np.ndarray) -> np.ndarray:
         """First index in ``[lo, hi)`` whose entry is at least ``value`` (``hi`` if there is none), for many queries at once."""
-        lo, hi = lo.astype(np.int64).copy(), hi.astype(np.int64).copy()
-        open_ = np.flatnonzero(lo < hi)
-        while len(open_):
-            mid = (lo[open_] + hi[open_]) >> 1
-            less = self.access(mid) < value[open_]
-            lo[open_[less]] = mid[less] + 1
-            hi[open_[~less]] = mid[~less]
-            open_ = open_[lo[open_] < hi[open_]]
-        return lo
+        return np.minimum(np.maximum(self.find(value)[0], lo), hi)
 
 
 def _pack(low: np.ndarray, bits: int) -> np.ndarray:

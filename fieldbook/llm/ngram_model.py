@@ -1,31 +1,39 @@
 """Operator 2: language model scores from Elias-Fano n-gram tries.
 
-Model.  Word pairs with interpolated absolute discounting:
-
-    p(w | v) = max(c(v w) - D, 0) / c(v) + D * n(v) / c(v) * q(w)
-
-with n(v) the different words after v.  q, the level below, has the smoothed unigram
-probability of the ``TOP`` most frequent words, and for the others that of their hash class
-(``CLASSES`` classes), so its size is fixed while the counts behind it cover the whole corpus.
-Where no two words share a class q is the unigram model itself.
-
-Execution.  One pass counts words.  A second sends every word pair, packed, to the shard
-of its first word; a word with more than a shard's share of all tokens is
-spread over shards by the second word, and a small aggregate tells its shards n(v).  A shard
-counts the training pairs, builds the trie (sorted contexts, monotone pointers, successors
-relative to their context in Elias-Fano code, probabilities quantised to a byte) in a
-memory-mapped file, looks every pair up by successor search within its context, and returns
-sums per document.  All counts come from all training rows; nothing is cut off.
+Model.  Three words with interpolated absolute discounting:
+
+    p(w | u v) = max(c(u v w) - D, 0) / c(u v) + D * n(u v) / c(u v) * p(w | v)
+    p(w | v)   = max(c(v w) - D, 0) / c(v) + D * n(v) / c(v) * q(w)
+    q(w)       = (c(w) + 0.1) / (N + 0.1 * (V + 1))
+
+with n(...) the different words after a context; an unseen context leaves its level out.  A text
+begins with two begin marks and ends with the end token.  Every count covers all training rows
+and every word has its own count at every level, whatever their number.
+
+Execution.  One pass counts words.  Every position goes, packed, to the shard of its middle word
+v, which so holds the contexts v and u v and all that follows them.  There are as many shards as
+``SHARD_TOKENS`` goes into all tokens, so a task does not grow with the corpus.  What is more
+frequent than a shard holds is dealt over many: the positions of a hot word by the word before
+it, those of a hot pair u v by the word after it, those of a hot triple by their place in the
+corpus.  The counts that a shard then cannot see itself come from aggregates: c, n of hot
+contexts and c of hot triples, of their words and of their pairs v w are broadcast (at most all tokens / ``SHARD_TOKENS`` of each);
+the other c(v w) of hot v and c(w) are joined to the words that a shard asks for.  The ``COMMON`` most frequent words are
+broadcast to save their join; the result does not depend on that number.
+
+A shard builds its trie in a memory-mapped file: sorted contexts, monotone pointers, successors
+relative to their context in Elias-Fano code, a third level whose words are their rank among the successors of the
+shorter context, probabilities quantised to a byte.  Positions are looked up by successor search and
+come back as sums per document.
 
 Edge cases.  A null or blank text has the end token alone.  A null doc_id counts as
 training.  Repeated rows count and are scored one by one.  Without training rows the model
-knows no word.  An empty table gives an empty result.  Other columns are ignored.
+knows no word.  A very long text is one piece while it is read, and is dealt over the shards like any other.  An
+empty table gives an empty result.  Other columns are ignored.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -40,41 +48,80 @@ from fieldbook.llm.words import blocks, mix
 
 HELD_OUT = "pmod(crc32(cast(doc_id as string)), 10) = 0"
 DISCOUNT = 0.75
-TOP = 1 << 16
-CLASSES = 1 << 20
+SHARD_TOKENS = 1 << 21
+COMMON = 1 << 16
 CHUNK_TOKENS = 1 << 20
 QUANTUM = 0.04  # log10 units between two stored probabilities: a byte reaches down to 10**-10.2
 BEGIN, END = np.uint64(1), np.uint64(2)  # marks outside the texts
-SUCCESSOR_PARTS = 8
-_CELL = ("shard int, chunk bigint, docs binary, rows binary, held binary, first binary, runs binary, second binary, pair binary, doc binary")
-_PART = "chunk bigint, docs binary, rows binary, held binary, words binary, known binary, base binary, score binary"
-_SUMS = "row bigint, doc_id bigint, held boolean, words bigint, known bigint, base double, score double"
+_GRAM = np.uint64(0xD6E8FEB86659FD93)
+_CELL = ("shard int, chunk bigint, docs binary, flags binary, first binary, runs binary, second binary, pair binary, "
+         "before binary, prior binary, doc binary, times binary")
+_PART = "chunk bigint, docs binary, flags binary, words binary, known binary, base binary, score binary"
+_SUMS = "doc_id bigint, held boolean, words bigint, known bigint, base double, score double"
+_COUNT = "kind int, owner bigint, key bigint, n bigint, tokens bigint"
+
+
+class Hot(NamedTuple):
+    """Contexts or triples that are dealt over shards: sorted keys, training counts, different words after each."""
+
+    key: np.ndarray
+    count: np.ndarray
+    follow: np.ndarray
+
+    def has(self, key: np.ndarray) -> np.ndarray:
+        return _among(key, self.key)
+
+    def override(self, key: np.ndarray, count: np.ndarray, follow: np.ndarray | None = None) -> None:
+        if not len(self.key):
+            return
+        at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+        mine = self.key[at] == key
+        count[mine] = self.count[at[mine]]
+        if follow is not None:
+            follow[mine] = self.follow[at[mine]]
+
+
+def _hot(key=(), count=(), follow=()) -> Hot:
+    key = np.asarray(key, dtype=np.int64).view(np.uint64)
+    order = np.argsort(key)
+    return Hot(key[order], np.asarray(count, dtype=np.float64)[order], np.asarray(follow, dtype=np.float64)[order])
 
 
 class Lower(NamedTuple):
-    """The level below the pairs, and the contexts that are spread over shards."""
+    """What every shard knows: the totals, the common words, and what is dealt over shards."""
 
     total: int
     distinct: int
-    end: int  # count of the end token
-    top: np.ndarray  # sorted hashes
-    top_count: np.ndarray
-    class_log: np.ndarray  # float32, log10 probability of a word of the class
-    hot: np.ndarray  # sorted hashes of spread contexts
-    hot_count: np.ndarray
-    hot_next: np.ndarray  # different words after each
+    shards: int
+    common: np.ndarray  # sorted hashes, the end token among them
+    common_count: np.ndarray
+    word: Hot
+    pair: Hot
+    triple: Hot
+    after: Hot  # frequent pairs of a hot word and the word after it
 
     def log_base(self, count: np.ndarray) -> np.ndarray:
         return np.log10((count + 0.1) / (self.total + 0.1 * (self.distinct + 1)))
 
-    def log(self, words: np.ndarray) -> np.ndarray:
-        out = self.class_log[(words & np.uint64(CLASSES - 1)).astype(np.int64)].astype(np.float64)
-        if len(self.top):
-            at = np.minimum(np.searchsorted(self.top, words), len(self.top) - 1)
-            hit = self.top[at] == words
-            out[hit] = self.log_base(self.top_count[at[hit]])
-        out[words == END] = self.log_base(np.array([self.end], dtype=np.float64))[0]
-        return out
+
+def _among(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which of ``words`` are among sorted ``keys``."""
+    if not len(keys):
+        return np.zeros(len(words), bool)
+    return keys[np.minimum(np.searchsorted(keys, words), len(keys) - 1)] == words
+
+
+def _look_up(words: np.ndarray, keys: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Values of ``words`` by sorted ``keys``, 0 for those that are not there."""
+    if not len(keys):
+        return np.zeros(len(words))
+    at = np.minimum(np.searchsorted(keys, words), len(keys) - 1)
+    return np.where(keys[at] == words, values[at], 0).astype(np.float64)
+
+
+def gram(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Key of a pair, by order."""
+    return mix(a * _GRAM + mix(b + np.uint64(1)))
 
 
 def _pack(values: np.ndarray) -> bytes:
@@ -93,220 +140,382 @@ def _narrow(values: np.ndarray) -> np.ndarray:
     return values.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32)
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, n) of the training words, summed per about a million tokens."""
-    held: list[np.ndarray] = []
+class Positions(NamedTuple):
+    """Every position of some rows: the word, the two before it, the row, and whether the row is held out."""
 
-    def flush():
-        words, n = np.unique(np.concatenate(held), return_counts=True)
-        held.clear()
-        return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n.astype(np.int64))], names=["word", "n"])
-    for batch in batches:
-        for block in blocks(batch.column(0)):
-            held.append(block.hash)
-            if sum(map(len, held)) >= 4 * CHUNK_TOKENS:
-                yield flush()
-    if held:
-        yield flush()
+    u: np.ndarray
+    v: np.ndarray
+    w: np.ndarray
+    row: np.ndarray
+    held: np.ndarray
 
 
-def _pairs(block, held: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First word, second word and row of every pair of a block, begin and end marks included."""
+def _positions(block, held: np.ndarray) -> Positions:
     n = np.diff(block.at)
-    size = len(block.hash) + block.rows
-    first, second = np.empty(size, np.uint64), np.empty(size, np.uint64)
+    w = np.full(len(block.hash) + block.rows, END, np.uint64)
+    starts, ends = block.at[:-1] + np.arange(block.rows), block.at[1:] + np.arange(block.rows)
+    inner = np.ones(len(w), bool)
+    inner[ends] = False
+    w[inner] = block.hash
     row = np.repeat(np.arange(block.rows), n + 1)
-    starts = block.at[:-1] + np.arange(block.rows)  # of each row among the pairs
-    inner = np.ones(size, bool)
-    inner[starts] = False
-    first[starts], first[inner] = BEGIN, block.hash
-    ends = starts + n
-    outer = np.ones(size, bool)
-    outer[ends] = False
-    second[ends], second[outer] = END, block.hash
-    return first, second, row
-
-
-def _cells(shards: int, hot: np.ndarray):
+    v = np.concatenate([[BEGIN], w[:-1]])
+    v[starts] = BEGIN
+    u = np.concatenate([[BEGIN], v[:-1]])
+    u[starts] = BEGIN
+    return Positions(u, v, w, row, held[row])
+
+
+def _shard_of(at: Positions, place: np.ndarray, lower: Lower) -> np.ndarray:
+    """Shard of every position; ``place`` spreads the hot triples."""
+    key = mix(at.v.copy())
+    spread = np.flatnonzero(lower.word.has(at.v))
+    if len(spread):
+        pair = gram(at.u[spread], at.v[spread])
+        key[spread] = pair
+        hot = np.flatnonzero(lower.pair.has(pair))
+        if len(hot):
+            triple = gram(pair[hot], at.w[spread[hot]])
+            key[spread[hot]] = triple
+            again = np.flatnonzero(lower.triple.has(triple))
+            key[spread[hot[again]]] = gram(triple[again], place[spread[hot[again]]].astype(np.uint64))
+    return (key % np.uint64(lower.shards)).astype(np.int64)
+
+
+def _summed(keys: tuple[np.ndarray, ...], trained: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Distinct keys with their training positions and all positions."""
+    order = np.lexsort(keys)
+    sorted_ = [k[order] for k in keys]
+    new = np.ones(len(order), bool)
+    if len(order):
+        new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in sorted_])
+    begin = np.flatnonzero(new)
+    n = np.add.reduceat(trained[order].astype(np.int64), begin) if len(begin) else np.zeros(0, np.int64)
+    return [k[begin] for k in sorted_], n, np.diff(np.append(begin, len(order)))
+
+
+def _count(select: Callable):
+    """Counts (kind, owner, key, n, tokens) of what ``select`` takes from the positions, summed per few million tokens."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        size = 0
+
+        def flush():
+            kind, owner, key, trained = (np.concatenate([h[k] for h in held]) for k in range(4))
+            (key, owner, kind), n, tokens = _summed((key, owner, kind), trained)
+            held.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(kind.astype(np.int32)), pa.array(owner.view(np.int64)), pa.array(key.view(np.int64)), pa.array(n), pa.array(tokens)],
+                names=["kind", "owner", "key", "n", "tokens"])
+        for batch in batches:
+            out = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
+            for block in blocks(batch.column(0)):
+                at = _positions(block, out[block.first: block.first + block.rows])
+                for kind, owner, key, trained in select(at):
+                    held.append((np.full(len(key), kind, np.int8), owner, key, trained))
+                    size += len(key)
+                if size >= 2 * CHUNK_TOKENS:
+                    yield flush()
+                    size = 0
+        if held:
+            yield flush()
+    return count
+
+
+def _words(at: Positions):
+    yield 0, np.zeros(len(at.w), np.uint64), at.w, ~at.held
+
+
+def _pairs_of(word: Hot):
+    """Kind 1: pairs v w of hot v, owned by v.  Kind 2: pairs u v, which may be hot themselves."""
+    def pairs(at: Positions):
+        mine = np.flatnonzero(word.has(at.v))
+        v, trained = at.v[mine], ~at.held[mine]
+        yield 1, v, gram(v, at.w[mine]), trained
+        yield 2, v, gram(at.u[mine], v), trained
+    return pairs
+
+
+def _triples_of(pair: Hot):
+    def triples(at: Positions):
+        key = gram(at.u, at.v)
+        mine = np.flatnonzero(pair.has(key))
+        yield 3, key[mine], gram(key[mine], at.w[mine]), ~at.held[mine]
+    return triples
+
+
+def _asked(lower: Lower):
+    """(shard, key) of the words and of the pairs of hot words whose counts a shard needs and cannot see."""
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        size = 0
+
+        def flush():
+            (key, shard), _, _ = _summed(tuple(np.concatenate([h[k] for h in held]) for k in (1, 0)), np.zeros(size, bool))
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(shard.astype(np.int32)), pa.array(key.view(np.int64))], names=["shard", "key"])
+        for batch in batches:
+            out = np.zeros(len(batch.column(0)), bool)
+            for block in blocks(batch.column(0)):
+                at = _positions(block, out[: block.rows])
+                # The word and the pair of a hot triple are as frequent as it is, so they are never asked for and its place does not matter.
+                shard = _shard_of(at, np.zeros(len(at.w), np.int64), lower)
+                rare = np.flatnonzero(~_among(at.w, lower.common))
+                spread = np.flatnonzero(lower.word.has(at.v))
+                pair = gram(at.v[spread], at.w[spread])
+                some = ~lower.after.has(pair)
+                held += [(shard[rare], at.w[rare]), (shard[spread[some]], pair[some])]
+                size += len(rare) + int(some.sum())
+                if size >= 2 * CHUNK_TOKENS:
+                    yield flush()
+                    size = 0
+        if held:
+            yield flush()
+    return asked
+
+
+def _cells(lower: Lower):
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, done = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40, 0
         held: list[tuple] = []
         size = rows = 0
         for batch in batches:
             for block in blocks(batch.column(1)):
-                first, second, row = _pairs(block, None)
                 part = slice(block.first, block.first + block.rows)
-                ids = batch.column(0).slice(block.first, block.rows)
-                held.append((first, second, row + rows, ids, batch.column(2).to_numpy(zero_copy_only=False)[part]))
-                size, rows = size + len(first), rows + block.rows
+                out = batch.column(2).to_numpy(zero_copy_only=False)[part].astype(bool)
+                at = _positions(block, out)
+                held.append((at._replace(row=at.row + rows), batch.column(0).slice(block.first, block.rows), out))
+                size, rows = size + len(at.w), rows + block.rows
                 if size >= CHUNK_TOKENS:
-                    yield _chunk(held, base + done, shards, hot)
+                    yield _chunk(held, base + done, lower)
                     done, size, rows = done + rows, 0, 0
                     held.clear()
         if held:
-            yield _chunk(held, base + done, shards, hot)
+            yield _chunk(held, base + done, lower)
     return cells
 
 
-def _chunk(held: list[tuple], row_base: int, shards: int, hot: np.ndarray) -> pa.RecordBatch:
-    first, second, row = (np.concatenate([h[k] for h in held]) for k in range(3))
-    ids = pa.concat_arrays([h[3] for h in held])
+def _chunk(held: list[tuple], chunk: int, lower: Lower) -> pa.RecordBatch:
+    """One cell per shard, and one without positions that carries the ids of the chunk's rows."""
+    at = Positions(*(np.concatenate([h[0][k] for h in held]) for k in range(5)))
+    ids = pa.concat_arrays([h[1] for h in held])
     absent = ids.is_null().to_numpy(zero_copy_only=False)
-    ids = ids.fill_null(0).to_numpy()
-    out_of = np.concatenate([h[4] for h in held]).astype(np.uint8) | (absent.astype(np.uint8) << 1)
-    vocabulary, both = np.unique(np.concatenate([first, second]), return_inverse=True)
-    a, b = both[: len(first)].astype(np.uint64), both[len(first):].astype(np.uint64)
-    shard = mix(first.copy())
-    if len(hot):
-        spread = np.isin(first, hot)
-        shard[spread] = mix(first[spread] ^ mix(second[spread].copy()))
-    shard %= np.uint64(shards)
-    width = np.uint64(max(1, int(len(vocabulary)).bit_length()))
-    key = (((shard << width) | a) << width) | b
-    order = np.argsort(key, kind="stable")
-    cuts = np.searchsorted(shard[order], np.arange(shards + 1, dtype=np.uint64))
-    columns: list[list] = [[] for _ in range(10)]
-    for s in range(shards):
-        mine = order[cuts[s]: cuts[s + 1]]
-        if not len(mine):
-            continue
-        v, w = a[mine].astype(np.int64), b[mine].astype(np.int64)
-        begins = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]]))
-        seconds, at = np.unique(w, return_inverse=True)
+    out = np.concatenate([h[2] for h in held])
+    shard = _shard_of(at, at.row + chunk, lower)
+    vocabulary, number = np.unique(np.concatenate([at.w, [BEGIN]]), return_inverse=True)
+    w, begin = number[:-1], number[-1]
+    starts = np.flatnonzero(np.concatenate([[True], at.row[1:] != at.row[:-1]]))
+    v = np.concatenate([[begin], w[:-1]])
+    v[starts] = begin
+    u = np.concatenate([[begin], v[:-1]])
+    u[starts] = begin
+    # Equal positions of a row are summed, so a word that fills a text is one entry.
+    follows = (w.astype(np.uint64) << np.uint64(32)) | u.astype(np.uint64)
+    (row, follows, middle), _, times = _summed((at.row, follows, shard * len(vocabulary) + v), np.zeros(len(w), bool))
+    shard, v = np.divmod(middle, len(vocabulary))
+    w, u = (follows >> np.uint64(32)).astype(np.int64), (follows & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    cuts = np.searchsorted(shard, np.arange(lower.shards + 1))
+    columns: list[list] = [[] for _ in range(12)]
+    home = int(mix(np.array([chunk], dtype=np.uint64))[0] % np.uint64(lower.shards))
+    cells = [(home, chunk, _pack(ids.fill_null(0).to_numpy()), _pack(out.astype(np.uint8) | (absent.astype(np.uint8) << 1)), *([None] * 8))]
+    for s in np.flatnonzero(np.diff(cuts)):
+        mine = slice(cuts[s], cuts[s + 1])
+        begins = np.flatnonzero(np.concatenate([[True], v[mine][1:] != v[mine][:-1]]))
         docs, doc = np.unique(row[mine], return_inverse=True)
-        cell = (s, row_base, _pack(ids[docs]), _pack(docs + row_base), _pack(out_of[docs]), _pack(vocabulary[v[begins]]),
-                _pack(_narrow(np.diff(np.append(begins, len(v))))), _pack(vocabulary[seconds]), _pack(_narrow(at)), _pack(_narrow(doc)))
+        second, pair = np.unique(w[mine], return_inverse=True)
+        before, prior = np.unique(u[mine], return_inverse=True)
+        cells.append((int(s), chunk, _pack(_narrow(docs)), _pack(out[docs].astype(np.uint8)), _pack(vocabulary[v[mine][begins]]),
+                      _pack(_narrow(np.diff(np.append(begins, cuts[s + 1] - cuts[s])))), _pack(vocabulary[second]), _pack(_narrow(pair)),
+                      _pack(vocabulary[before]), _pack(_narrow(prior)), _pack(_narrow(doc)), _pack(_narrow(times[mine]))))
+    for cell in cells:
         for c, x in zip(columns, cell, strict=True):
             c.append(x)
-    names = ["shard", "chunk", "docs", "rows", "held", "first", "runs", "second", "pair", "doc"]
+    names = [c.split()[0] for c in _CELL.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int64()),
                                        *(pa.array(c, pa.binary()) for c in columns[2:])], names=names)
 
 
+class Counts(NamedTuple):
+    """A level as counted: the number of the context and of the word of every entry (sorted), and how often."""
+
+    context: np.ndarray
+    word: np.ndarray
+    n: np.ndarray
+
+
+def _interpolate(n: np.ndarray, count: np.ndarray, back: np.ndarray, lower: np.ndarray) -> np.ndarray:
+    """Discounted probability of entries seen ``n`` times in contexts seen ``count`` times, the level below mixed in."""
+    return np.maximum(n - DISCOUNT, 0) / np.maximum(count, 1) + 10.0 ** back * lower
+
+
+def _back(count: np.ndarray, follow: np.ndarray) -> np.ndarray:
+    """log10 weight of the level below; 0 where the context was never seen."""
+    return np.where(count > 0, np.log10(np.maximum(DISCOUNT * follow, 1e-9) / np.maximum(count, 1)), 0.0)
+
+
 class Trie:
-    """Contexts, their successors and the quantised log probabilities of the pairs of one shard."""
+    """Contexts, their successors at two levels and the quantised log probabilities of one shard."""
 
-    def __init__(self, contexts: np.ndarray, count: np.ndarray, follow: np.ndarray, pair_context: np.ndarray,
-                 pair_word: np.ndarray, pair_count: np.ndarray, log_q: np.ndarray, words: int):
-        """Pairs are sorted by (context, word number); ``count`` and ``follow`` are c(v) and n(v), ``log_q`` is per word."""
+    def __init__(self, contexts: np.ndarray, back: np.ndarray, two: Counts, p_two: np.ndarray, words: int,
+                 longer: np.ndarray, back_longer: np.ndarray, three: Counts, p_three: np.ndarray, before: int):
+        """``longer`` are context number * ``before`` + number of the word before it, sorted; ``three`` counts by their index."""
         levels = Levels()
-        self.levels, self.words = levels, words
+        self.levels, self.words, self.before = levels, words, before
         self.context = EliasFano(levels, contexts)
-        starts = np.searchsorted(pair_context, np.arange(len(contexts) + 1))
+        starts = np.searchsorted(two.context, np.arange(len(contexts) + 1))
         self.pointer = EliasFano(levels, starts)
         # Word numbers grow within a context; with the context's number in front they grow along the level.
-        self.successor = EliasFano(levels, pair_context.astype(np.uint64) * np.uint64(words) + pair_word.astype(np.uint64))
-        some = np.maximum(count, 1)
-        self.back = np.where(count > 0, np.log10(np.maximum(DISCOUNT * follow, 1e-9) / some), 0.0)
-        p = np.maximum(pair_count - DISCOUNT, 0) / some[pair_context] + 10.0 ** (self.back[pair_context] + log_q[pair_word])
-        self._prob = levels.add(np.clip(np.rint(-np.log10(p) / QUANTUM), 0, 255).astype(np.uint8))
+        self.successor = EliasFano(levels, two.context.astype(np.uint64) * np.uint64(words) + two.word.astype(np.uint64))
+        self._p_two = levels.add(_quantise(p_two))
+        self.longer = EliasFano(levels, longer)
+        # Every word of a triple follows the shorter context too: its rank there is its name.
+        context = (longer // np.uint64(before)).astype(np.int64)[three.context]
+        self.ranks = int(np.diff(starts).max(initial=0)) + 1
+        place = np.searchsorted(two.context.astype(np.uint64) * np.uint64(words) + two.word.astype(np.uint64),
+                                context.astype(np.uint64) * np.uint64(words) + three.word.astype(np.uint64))
+        self.third = EliasFano(levels, three.context.astype(np.uint64) * np.uint64(self.ranks) + (place - starts[context]).astype(np.uint64))
+        self._p_three = levels.add(_quantise(p_three))
+        self._back, self._back_longer = levels.add(back), levels.add(back_longer)
         levels.seal()
 
-    def log_probability(self, context: np.ndarray, word: np.ndarray, log_q: np.ndarray) -> np.ndarray:
-        """log10 p(word | context) for context hashes and word numbers."""
-        n = self.context.n
-        zero = np.zeros(len(context), np.int64)
-        at = self.context.search(zero, zero + n, context)
-        at = np.minimum(at, n - 1)
-        known = self.context.access(at) == context
-        lo, hi = self.pointer.access(at).astype(np.int64), self.pointer.access(at + 1).astype(np.int64)
-        wanted = at.astype(np.uint64) * np.uint64(self.words) + word.astype(np.uint64)
-        place = self.successor.search(lo, hi, wanted)
-        inside = known & (place < hi)
-        found = np.zeros(len(context), bool)
-        found[inside] = self.successor.access(place[inside]) == wanted[inside]
-        out = log_q[word] + np.where(known, self.back[at], 0.0)
-        out[found] = self.levels.array(self._prob)[place[found]] * -QUANTUM
+    def log_probability(self, context: np.ndarray, before: np.ndarray, word: np.ndarray, log_q: np.ndarray) -> np.ndarray:
+        """log10 p(word | before context) for context hashes, numbers of the words before them, and word numbers."""
+        if not self.context.n:
+            return log_q[word]
+        at, known = self.context.find(context)
+        at = np.minimum(at, self.context.n - 1)
+        place, found = self.successor.find(at.astype(np.uint64) * np.uint64(self.words) + word.astype(np.uint64))
+        found &= known
+        out = log_q[word] + np.where(known, self.levels.array(self._back)[at], 0.0)
+        out[found] = self.levels.array(self._p_two)[place[found]] * -QUANTUM
+        long_at, seen = self.longer.find(at.astype(np.uint64) * np.uint64(self.before) + before.astype(np.uint64))
+        seen = np.flatnonzero(seen & known)
+        out[seen] += self.levels.array(self._back_longer)[long_at[seen]]
+        ask = seen[found[seen]]
+        rank = place[ask] - self.pointer.access(at[ask]).astype(np.int64)
+        third, there = self.third.find(long_at[ask].astype(np.uint64) * np.uint64(self.ranks) + rank.astype(np.uint64))
+        out[ask[there]] = self.levels.array(self._p_three)[third[there]] * -QUANTUM
         return out
 
 
+def _quantise(p: np.ndarray) -> np.ndarray:
+    return np.clip(np.rint(-np.log10(p) / QUANTUM), 0, 255).astype(np.uint8)
+
+
+def _joined(parts: list[np.ndarray], dtype) -> np.ndarray:
+    return np.concatenate(parts) if parts else np.zeros(0, dtype)
+
+
+def _numbered(values: list[np.ndarray], entries: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values of all cells, and the number of each entry's value."""
+    distinct, number = np.unique(np.concatenate(values), return_inverse=True)
+    starts = np.cumsum([0, *map(len, values)])
+    number = number.astype(np.int32)
+    return distinct, np.concatenate([number[s + e.astype(np.int64)] for s, e in zip(starts, entries, strict=False)])
+
+
 def _score_shard(lower: Lower):
-    def score(table: pa.Table) -> pa.Table:
+    names = [c.split()[0] for c in _PART.split(", ")]
+
+    def score(cells: pa.Table, asked: pa.Table) -> pa.Table:
+        whole = cells.column("first").is_null().to_numpy()
+        directory = cells.filter(pa.array(whole))
+        passed = [directory.column("chunk"), directory.column("docs"), directory.column("flags"),
+                  *[pa.nulls(directory.num_rows, pa.binary())] * 4]
+        passed = pa.table(passed, names=names)
+        cells = cells.filter(pa.array(~whole))
+        if not cells.num_rows:
+            return passed
+
         def part(name):
-            return [_unpack(x) for x in table.column(name).to_pylist()]
+            return [_unpack(x) for x in cells.column(name).to_pylist()]
 
-        # Numbers of a shard's words and rows fit four bytes; the arrays with an entry per pair are kept few and narrow.
+        # Numbers of a shard's words and rows fit four bytes; the arrays with an entry per position are kept few and narrow.
         contexts, context = np.unique(np.concatenate(part("first")), return_inverse=True)
         context = np.repeat(context.astype(np.int32), np.concatenate(part("runs")).astype(np.int64))
-        seconds = part("second")
-        offsets = np.concatenate([[0], np.cumsum([len(x) for x in seconds])])
-        words, number = np.unique(np.concatenate(seconds), return_inverse=True)
-        del seconds
-        number = number.astype(np.int32)
-        word = np.concatenate([number[o + p.astype(np.int64)] for o, p in zip(offsets, part("pair"), strict=False)])
-        doc_at = np.concatenate([[0], np.cumsum([len(x) for x in part("docs")])])
-        doc = np.concatenate([(o + d.astype(np.int64)).astype(np.int32) for o, d in zip(doc_at, part("doc"), strict=False)])
-        held = (np.concatenate(part("held")) & 1).astype(bool)
-        n_docs = int(doc_at[-1])
-
-        asked, which = np.unique(context.astype(np.uint64) * np.uint64(len(words)) + word.astype(np.uint64), return_inverse=True)
-        del word
-        which = which.astype(np.int32)
-        trained = ~held[doc]
-        n = np.bincount(which[trained], minlength=len(asked))
-        pairs, n = asked[n > 0], n[n > 0]
-        pair_context = (pairs // np.uint64(len(words))).astype(np.int64)
-        pair_word = (pairs % np.uint64(len(words))).astype(np.int64)
-        count = np.bincount(context[trained], minlength=len(contexts)).astype(np.float64)
-        follow = np.bincount(pair_context, minlength=len(contexts)).astype(np.float64)
-        if len(lower.hot):
-            at = np.minimum(np.searchsorted(lower.hot, contexts), len(lower.hot) - 1)
-            spread = lower.hot[at] == contexts
-            count[spread], follow[spread] = lower.hot_count[at[spread]], lower.hot_next[at[spread]]
-        log_q = lower.log(words)
-        trie = Trie(contexts, count, follow, pair_context, pair_word, n, log_q, len(words))
-
-        asked_context = contexts[(asked // np.uint64(len(words))).astype(np.int64)]
-        log_p = trie.log_probability(asked_context, (asked % np.uint64(len(words))).astype(np.int64), log_q)
-        score = np.bincount(doc, weights=log_p[which], minlength=n_docs)
-        is_word = contexts != BEGIN
-        base = np.where(is_word, lower.log_base(count), 0.0)
-        sums = [np.bincount(doc, weights=x[context], minlength=n_docs) for x in (is_word, is_word & (count > 0), base)]
+        words, word = _numbered(part("second"), part("pair"))
+        priors, prior = _numbered(part("before"), part("prior"))
+        flags = part("flags")
+        doc_at = np.cumsum([0, *map(len, flags)])
+        doc = np.concatenate([(s + d.astype(np.int64)).astype(np.int32) for s, d in zip(doc_at, part("doc"), strict=False)])
+        times = np.concatenate(part("times")).astype(np.int64)
+        trained = np.where(np.concatenate(flags)[doc] & 1, 0, times)
+        n_docs, n_words = int(doc_at[-1]), np.uint64(len(words))
+
+        keys = asked.column("key").to_numpy().view(np.uint64)
+        keys, first = np.unique(keys, return_index=True)
+        numbers = asked.column("n").to_numpy()[first].astype(np.float64)
+        word_count = np.maximum(_look_up(words, lower.common, lower.common_count), _look_up(words, keys, numbers))
+        log_q = lower.log_base(word_count)
+
+        # The pairs v w, then the contexts u v, then the triples, all of them numbered in sorted order.
+        two, two_of = np.unique(context.astype(np.uint64) * n_words + word.astype(np.uint64), return_inverse=True)
+        longer, longer_of = np.unique(context.astype(np.uint64) * np.uint64(len(priors)) + prior.astype(np.uint64), return_inverse=True)
+        three, which = np.unique(longer_of.astype(np.uint64) * n_words + word.astype(np.uint64), return_inverse=True)
+        of_two, of_three = two_of[_first(which, len(three))], three // n_words
+        of_three = of_three.astype(np.int64)
+        count = np.bincount(context, weights=trained, minlength=len(contexts))
+        two_n = np.bincount(two_of, weights=trained, minlength=len(two))
+        longer_n = np.bincount(longer_of, weights=trained, minlength=len(longer))
+        three_n = np.bincount(which, weights=trained, minlength=len(three))
+        del two_of, longer_of, context, prior
+
+        two_context, two_word = (two // n_words).astype(np.int64), (two % n_words).astype(np.int64)
+        spread = lower.word.has(contexts)[two_context]
+        pair = gram(contexts[two_context[spread]], words[two_word[spread]])
+        two_n[spread] = np.maximum(_look_up(pair, keys, numbers), _look_up(pair, lower.after.key, lower.after.count))
+        follow = np.bincount(two_context[two_n > 0], minlength=len(contexts)).astype(np.float64)
+        lower.word.override(contexts, count, follow)
+        longer_context = (longer // np.uint64(len(priors))).astype(np.int64)
+        longer_key = gram(priors[(longer % np.uint64(len(priors))).astype(np.int64)], contexts[longer_context])
+        lower.triple.override(gram(longer_key[of_three], words[(three % n_words).astype(np.int64)]), three_n)
+        longer_follow = np.bincount(of_three[three_n > 0], minlength=len(longer)).astype(np.float64)
+        lower.pair.override(longer_key, longer_n, longer_follow)
+
+        back, back_longer = _back(count, follow), _back(longer_n, longer_follow)
+        p_two = _interpolate(two_n, count[two_context], back[two_context], 10.0 ** log_q[two_word])
+        p_three = _interpolate(three_n, longer_n[of_three], back_longer[of_three], p_two[of_two])
+        seen2, seen3, seen_long = two_n > 0, three_n > 0, longer_n > 0
+        new_number = np.cumsum(seen_long) - 1
+        seen3 &= seen_long[of_three]
+        trie = Trie(contexts, back, Counts(two_context[seen2], two_word[seen2], two_n[seen2]), p_two[seen2], len(words),
+                    longer[seen_long], back_longer[seen_long],
+                    Counts(new_number[of_three[seen3]], (three[seen3] % n_words).astype(np.int64), three_n[seen3]), p_three[seen3], len(priors))
+        del two, p_two, p_three, two_context, two_word
+        asked_context = longer_context[of_three]
+        log_p = trie.log_probability(contexts[asked_context], (longer[of_three] % np.uint64(len(priors))).astype(np.int64),
+                                     (three % n_words).astype(np.int64), log_q)
+        value = np.bincount(doc, weights=log_p[which] * times, minlength=n_docs)
+        sums = [np.bincount(doc, weights=times, minlength=n_docs), np.bincount(doc, weights=times * (word_count > 0)[word], minlength=n_docs)]
+        base = np.bincount(doc, weights=times * log_q[word], minlength=n_docs)
         # A row goes back per cell, packed, so what is shuffled next does not grow with the number of shards.
         cut = [slice(a, b) for a, b in zip(doc_at[:-1], doc_at[1:], strict=True)]
         packed = [[_pack(np.ascontiguousarray(x[c])) for c in cut]
-                  for x in (_narrow(sums[0].astype(np.int64)), _narrow(sums[1].astype(np.int64)), sums[2], score)]
-        return pa.table([table.column("chunk"), table.column("docs"), table.column("rows"), table.column("held"),
-                         *(pa.array(p, pa.binary()) for p in packed)],
-                        names=["chunk", "docs", "rows", "held", "words", "known", "base", "score"])
+                  for x in (_narrow(sums[0].astype(np.int64)), _narrow(sums[1].astype(np.int64)), base, value)]
+        scored = pa.table([cells.column("chunk"), cells.column("docs"), pa.nulls(cells.num_rows, pa.binary()),
+                           *(pa.array(p, pa.binary()) for p in packed)], names=names)
+        return pa.concat_tables([passed, scored])
     return score
 
 
+def _first(which: np.ndarray, n: int) -> np.ndarray:
+    """A position of every number below ``n``."""
+    out = np.zeros(n, np.int64)
+    out[which] = np.arange(len(which))
+    return out
+
+
 def _merge_chunk(table: pa.Table) -> pa.Table:
     """Sums of the rows of one chunk (a bounded number of tokens) over all shards."""
-    parts = {name: np.concatenate([_unpack(x) for x in table.column(name).to_pylist()]) for name in table.column_names if name != "chunk"}
-    rows, first, at = np.unique(parts["rows"], return_index=True, return_inverse=True)
-    flags = parts["held"][first]
-    words, known, base, score = (np.bincount(at, weights=parts[n], minlength=len(rows)) for n in ("words", "known", "base", "score"))
-    return pa.table([pa.array(rows), pa.array(parts["docs"][first], mask=(flags & 2).astype(bool)), pa.array((flags & 1).astype(bool)),
+    whole = table.column("flags").is_valid().to_numpy()
+    directory, parts = table.filter(pa.array(whole)), table.filter(pa.array(~whole))
+    ids, flags = (_unpack(directory.column(name)[0].as_py()) for name in ("docs", "flags"))
+    row = np.concatenate([_unpack(x) for x in parts.column("docs").to_pylist()]).astype(np.int64)
+    words, known, base, score = (
+        np.bincount(row, weights=np.concatenate([_unpack(x) for x in parts.column(name).to_pylist()]), minlength=len(ids))
+        for name in ("words", "known", "base", "score"))
+    return pa.table([pa.array(ids, mask=(flags & 2).astype(bool)), pa.array((flags & 1).astype(bool)),
                      pa.array(words.astype(np.int64)), pa.array(known.astype(np.int64)), pa.array(base), pa.array(score)],
-                    names=["row", "doc_id", "held", "words", "known", "base", "score"])
-
-
-def _hot_successors(hot: np.ndarray):
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block in blocks(batch.column(0), block_bytes=8 << 20):
-                first, second, _ = _pairs(block, None)
-                mine = np.isin(first, hot)
-                if not mine.any():
-                    continue
-                word = second[mine]
-                group = np.searchsorted(hot, first[mine]) * SUCCESSOR_PARTS + (mix(word.copy()) % np.uint64(SUCCESSOR_PARTS)).astype(np.int64)
-                order = np.argsort(group, kind="stable")
-                groups, starts = np.unique(group[order], return_index=True)
-                words = [_pack(np.unique(w)) for w in np.split(word[order], starts[1:])]
-                yield pa.RecordBatch.from_arrays([pa.array((groups // SUCCESSOR_PARTS).astype(np.int32)),
-                                                  pa.array((groups % SUCCESSOR_PARTS).astype(np.int32)), pa.array(words, pa.binary())],
-                                                 names=["place", "part", "words"])
-    return pairs
-
-
-def _count_successors(table: pa.Table) -> pa.Table:
-    distinct = np.zeros(0, np.uint64)
-    for packed in table.column("words").to_pylist():
-        distinct = np.union1d(distinct, _unpack(packed))
-    return pa.table([table.column("place").slice(0, 1), pa.array([len(distinct)], pa.int64())], names=["place", "n"])
+                    names=["doc_id", "held", "words", "known", "base", "score"])
 
 
 def _columns(df: DataFrame, *types) -> list[np.ndarray]:
@@ -314,53 +523,63 @@ def _columns(df: DataFrame, *types) -> list[np.ndarray]:
     return [table.column(k).to_numpy().astype(t) for k, t in enumerate(types)]
 
 
-def fit_lower(training: DataFrame, shards: int, scratch: Scratch) -> Lower:
-    """Counts of all training texts (column ``text``), reduced to the fixed-size level."""
-    counts = scratch.store(training.mapInArrow(_count_words, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")), "counts")
-    row = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
-    end = training.count()
-    total, distinct = (row[0] or 0) + end, (row[1] or 0) + (end > 0)
-    word, n = _columns(counts.orderBy(F.desc("n"), "word").limit(TOP).select("word", "n"), np.int64, np.float64)
-    word = word.view(np.uint64)
-    order = np.argsort(word)
-    least = n.min(initial=0)
-    share = total / shards
-    spread = word[n > share] if len(n) else word
-    spread_n = n[n > share] if len(n) else n
-    if end > share:
-        spread, spread_n = np.append(spread, BEGIN), np.append(spread_n, end)
-    by = np.argsort(spread)
-    hot, hot_count = spread[by], spread_n[by].astype(np.float64)
-    hot_next = np.ones(len(hot))
-    if len(hot):
-        place, m = _columns(training.mapInArrow(_hot_successors(hot), "place int, part int, words binary")
-                            .groupBy("place", "part").applyInArrow(_count_successors, "place int, n bigint")
-                            .groupBy("place").agg(F.sum("n")), np.int64, np.float64)
-        hot_next[place] = m
-    rest = counts.where(F.col("n") <= F.lit(float(least))) if len(n) == TOP else counts.where(F.lit(False))
-    number, c, v = _columns(rest.groupBy(F.col("word").bitwiseAND(F.lit(CLASSES - 1)).alias("k")).agg(F.sum("n"), F.count(F.lit(1))),
-                            np.int64, np.float64, np.float64)
-    scale = total + 0.1 * (distinct + 1)
-    class_log = np.full(CLASSES, math.log10(0.1 / scale), dtype=np.float32)
-    class_log[number] = np.log10((c + 0.1 * v) / v / scale)
-    return Lower(total, distinct, end, word[order], n[order], class_log, hot, hot_count, hot_next)
-
-
-def score_documents(docs: DataFrame, shards: int | None = None) -> DataFrame:
+def _counted(rows: DataFrame, select: Callable, scratch: Scratch, name: str) -> DataFrame:
+    sums = rows.select("text", "held").mapInArrow(_count(select), _COUNT).groupBy("kind", "owner", "key")
+    return scratch.store(sums.agg(F.sum("n").alias("n"), F.sum("tokens").alias("tokens")), name)
+
+
+def fit_lower(rows: DataFrame, scratch: Scratch, shard_tokens: int, common: int = COMMON) -> tuple[Lower, DataFrame]:
+    """What all shards share, and the counts (key, n) that they ask for, from all rows (doc_id, text, held)."""
+    counts = _counted(rows, _words, scratch, "words")
+    row = counts.agg(F.sum("n"), F.sum((F.col("n") > 0).cast("bigint")), F.sum("tokens")).first()
+    total, distinct, tokens = (int(x or 0) for x in row)
+    shards = max(2, -(-tokens // shard_tokens))
+    many = counts.where(F.col("tokens") > shard_tokens)
+    frequent = counts.orderBy(F.desc("tokens"), "key").limit(common).unionAll(many).select("key", "n").distinct()
+    top, top_n = _sorted(*_columns(frequent, np.int64, np.float64))
+    texts = rows.agg(F.count(F.lit(1)), F.sum((~F.col("held")).cast("bigint"))).first()
+    key, n = _columns(many.where(F.col("key") != int(END)).select("key", "n"), np.int64, np.float64)
+    if texts[0] > shard_tokens:
+        key, n = np.append(key, np.int64(BEGIN)), np.append(n, float(texts[1]))
+    word, pair, triple, after = _hot(key, n, np.zeros(len(n))), _hot(), _hot(), _hot()
+    known = counts.select("key", "n")
+    if len(key):
+        pairs = _counted(rows, _pairs_of(word), scratch, "pairs")
+        owner, m = _columns(pairs.where("kind = 1 and n > 0").groupBy("owner").count(), np.int64, np.float64)
+        word = word._replace(follow=_look_up(word.key, *_sorted(owner, m)))
+        known = known.unionAll(pairs.where("kind = 1").select("key", "n"))
+        many = pairs.where(F.col("tokens") > shard_tokens)
+        key, n = _columns(many.where("kind = 1").select("key", "n"), np.int64, np.float64)
+        after = _hot(key, n, np.zeros(len(n)))
+        key, n = _columns(many.where("kind = 2").select("key", "n"), np.int64, np.float64)
+        if len(key):
+            pair = _hot(key, n, np.zeros(len(n)))
+            triples = _counted(rows, _triples_of(pair), scratch, "triples")
+            owner, m = _columns(triples.where("n > 0").groupBy("owner").count(), np.int64, np.float64)
+            pair = pair._replace(follow=_look_up(pair.key, *_sorted(owner, m)))
+            key, n = _columns(triples.where(F.col("tokens") > shard_tokens).select("key", "n"), np.int64, np.float64)
+            triple = _hot(key, n, np.zeros(len(n)))
+    return Lower(total, distinct, shards, top, top_n, word, pair, triple, after), known
+
+
+def _sorted(key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    key = key.view(np.uint64)
+    order = np.argsort(key)
+    return key[order], value[order]
+
+
+def score_documents(docs: DataFrame, shard_tokens: int = SHARD_TOKENS, common: int = COMMON) -> DataFrame:
     """Scores of every document (doc_id, text) under the model of the rows that are not held out.
 
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "ngram-model")
-    shards = shards or max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    scratch = Scratch(docs.sparkSession, "ngram-model")
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"),
                        F.coalesce(F.expr(HELD_OUT), F.lit(False)).alias("held"))
-    lower = fit_lower(rows.where("not held").select("text"), shards, scratch)
-    cells = rows.mapInArrow(_cells(shards, lower.hot), _CELL)
-    parts = cells.groupBy("shard").applyInArrow(_score_shard(lower), _PART)
+    lower, known = fit_lower(rows, scratch, shard_tokens, common)
+    asked = (rows.select("text").mapInArrow(_asked(lower), "shard int, key bigint").join(known, "key").select("shard", "key", "n"))
+    cells = rows.mapInArrow(_cells(lower), _CELL)
+    parts = cells.groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(_score_shard(lower), _PART)
     sums = parts.groupBy("chunk").applyInArrow(_merge_chunk, _SUMS)
-    log_end = float(lower.log_base(np.array([lower.end]))[0])
-    return (sums.select("doc_id", F.col("held").alias("held_out"), (F.col("words") + 1).alias("n_tokens"),
-                    (F.col("known") + F.lit(int(lower.end > 0))).alias("n_known"), F.lit(lower.total).cast("bigint").alias("train_tokens"),
-                    (F.col("base") + F.lit(log_end)).alias("base_score"), "score"))
+    return sums.select("doc_id", F.col("held").alias("held_out"), F.col("words").alias("n_tokens"), F.col("known").alias("n_known"),
+                       F.lit(lower.total).cast("bigint").alias("train_tokens"), F.col("base").alias("base_score"), "score")

@@ -135,41 +135,73 @@ def test_elias_fano_round_trip():
         assert np.array_equal(found, np.searchsorted(values, asked))
 
 
+def plain_ngram_scores(rows):
+    """Rows (doc_id, text) under the three-word model, in plain Python and without quantised probabilities."""
+    held = {i: i is not None and zlib.crc32(str(i).encode()) % 10 == 0 for i, _ in rows}
+
+    def triples(text):
+        w = [b" ", b" ", *words(text), b"\n"]
+        return list(zip(w, w[1:], w[2:]))
+    one, two, three, c1, c2 = (collections.Counter() for _ in range(5))
+    for i, text in rows:
+        if not held[i]:
+            for u, v, w in triples(text):
+                one[w] += 1
+                two[v, w] += 1
+                three[u, v, w] += 1
+                c1[v] += 1
+                c2[u, v] += 1
+    n1, n2 = collections.Counter(v for v, _ in two), collections.Counter((u, v) for u, v, _ in three)
+    total, distinct = sum(one.values()), len(one)
+    out = []
+    for i, text in rows:
+        base = score = known = 0
+        for u, v, w in triples(text):
+            p = (one[w] + 0.1) / (total + 0.1 * (distinct + 1))
+            base, known = base + math.log10(p), known + (one[w] > 0)
+            if c1[v]:
+                p = max(two[v, w] - 0.75, 0) / c1[v] + 0.75 * n1[v] / c1[v] * p
+            if c2[u, v]:
+                p = max(three[u, v, w] - 0.75, 0) / c2[u, v] + 0.75 * n2[u, v] / c2[u, v] * p
+            score += math.log10(p)
+        out.append((i, held[i], len(words(text)) + 1, known, total, base, score))
+    return out
+
+
+def assert_ngram_scores(frame, rows, **options):
+    want = sorted(plain_ngram_scores(rows), key=lambda r: (str(r[0]), r[2], r[6]))
+    got = sorted((tuple(r) for r in ngram_model.score_documents(frame, **options).collect()), key=lambda r: (str(r[0]), r[2], r[6]))
+    assert [r[:5] for r in got] == [r[:5] for r in want]
+    for g, w in zip(got, want):
+        assert g[5] == pytest.approx(w[5])
+        assert abs(g[6] - w[6]) / w[2] <= 0.0201  # half a step of the stored byte per token
+
+
 def test_ngram_scores_equal_a_plain_model(docs):
-    rows = docs.select("doc_id", "text").collect()
-    held = {r.doc_id: zlib.crc32(str(r.doc_id).encode()) % 10 == 0 for r in rows}
-    one, two, first, n_docs = collections.Counter(), collections.Counter(), collections.Counter(), 0
-    for r in rows:
-        if not held[r.doc_id]:
-            w = words(r.text)
-            one.update(w)
-            n_docs += 1
-            pairs = list(zip([b" "] + w, w + [b"\n"]))
-            two.update(pairs)
-            first.update(a for a, _ in pairs)
-    total, distinct, after = sum(one.values()) + n_docs, len(one) + 1, collections.Counter(a for a, _ in two)
-
-    def base(n):
-        return math.log10((n + 0.1) / (total + 0.1 * (distinct + 1)))
-    for shards in (3, 16):
-        gap = 0
-        for r in ngram_model.score_documents(docs, shards).collect():
-            w = words(next(x.text for x in rows if x.doc_id == r.doc_id))
-            assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (
-                held[r.doc_id], len(w) + 1, sum(one[x] > 0 for x in w) + 1, total)
-            assert r.base_score == pytest.approx(sum(base(one[x]) for x in w) + base(n_docs))
-            score = 0
-            for a, b in zip([b" "] + w, w + [b"\n"]):
-                q = 10 ** (base(n_docs) if b == b"\n" else base(one[b]))
-                score += math.log10(max(two[a, b] - 0.75, 0) / first[a] + 0.75 * after[a] / first[a] * q if first[a] else q)
-            gap += abs(score - r.score) / (len(w) + 1)
-        assert gap / len(rows) < 0.03  # a byte per probability; a few words share a class
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    assert_ngram_scores(docs, rows, shard_tokens=1 << 20)
+    # A shard of 300 tokens: hot words, hot pairs and rare words whose counts are asked for.
+    assert_ngram_scores(docs, rows, shard_tokens=300, common=20)
+
+
+def test_ngram_hot_triples_and_repeated_words(spark):
+    rows = [(k, f"terms of use apply here w{k} terms of use apply " + "so " * (k % 9)) for k in range(400)]
+    rows += [(1000, "so " * 3000), (None, "terms of use"), (1001, None)]
+    assert_ngram_scores(table(spark, [(i, t, "a") for i, t in rows]).repartition(3), rows, shard_tokens=200, common=3)
+
+
+def test_ngram_scores_with_more_words_than_are_broadcast(spark):
+    rng = np.random.default_rng(5)
+    drawn = rng.zipf(1.15, 420000) % 400009
+    assert len(np.unique(drawn)) > ngram_model.COMMON
+    rows = [(k, " ".join(f"w{x}" for x in part)) for k, part in enumerate(np.array_split(drawn, 600))]
+    assert_ngram_scores(table(spark, [(i, t, "a") for i, t in rows]), rows, shard_tokens=1 << 16)
 
 
 def test_ngram_edges(edge, empty):
-    got = [(r.doc_id, r.n_tokens) for r in ngram_model.score_documents(edge, 4).collect()]
+    got = [(r.doc_id, r.n_tokens) for r in ngram_model.score_documents(edge, shard_tokens=5000).collect()]
     assert sorted(got, key=str) == sorted([(i, len(words(t)) + 1) for i, t, _ in EDGE], key=str)
-    assert ngram_model.score_documents(empty, 4).collect() == []
+    assert ngram_model.score_documents(empty).collect() == []
 
 
 def test_classifier_on_held_out_rows(docs, labels):
