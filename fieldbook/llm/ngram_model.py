@@ -20,7 +20,8 @@ contexts and c of hot triples, of their words and of their pairs v w are broadca
 the other c(v w) of hot v and c(w) are joined to the words that a shard asks for.  The ``COMMON`` most frequent words are
 broadcast to save their join; the result does not depend on that number.
 
-A shard builds its trie in a memory-mapped file: sorted contexts, monotone pointers, successors
+A chunk of rows sends its ids, its word counts and the unigram sums of common words along once; a cell for a shard names common
+words by their place among them and other words by their hash.  A shard builds its trie in a memory-mapped file: sorted contexts, monotone pointers, successors
 relative to their context in Elias-Fano code, a third level whose words are their rank among the successors of the
 shorter context, probabilities quantised to a byte.  Positions are looked up by successor search and
 come back as sums per document.
@@ -49,14 +50,13 @@ from fieldbook.llm.words import blocks, mix
 HELD_OUT = "pmod(crc32(cast(doc_id as string)), 10) = 0"
 DISCOUNT = 0.75
 SHARD_TOKENS = 1 << 21
-COMMON = 1 << 16
+COMMON = 1 << 17
 CHUNK_TOKENS = 1 << 20
 QUANTUM = 0.04  # log10 units between two stored probabilities: a byte reaches down to 10**-10.2
 BEGIN, END = np.uint64(1), np.uint64(2)  # marks outside the texts
 _GRAM = np.uint64(0xD6E8FEB86659FD93)
-_CELL = ("shard int, chunk bigint, docs binary, flags binary, first binary, runs binary, second binary, pair binary, "
-         "before binary, prior binary, doc binary, times binary")
-_PART = "chunk bigint, docs binary, flags binary, words binary, known binary, base binary, score binary"
+_CELL = "shard int, chunk bigint, ids boolean, data binary"
+_PART = "chunk bigint, ids boolean, data binary"
 _SUMS = "doc_id bigint, held boolean, words bigint, known bigint, base double, score double"
 _COUNT = "kind int, owner bigint, key bigint, n bigint, tokens bigint"
 
@@ -124,15 +124,32 @@ def gram(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix(a * _GRAM + mix(b + np.uint64(1)))
 
 
-def _pack(values: np.ndarray) -> bytes:
-    """Compressed array with its type and length in front."""
-    raw = values.tobytes()
-    return values.dtype.str[1:].encode() + len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
-
-
-def _unpack(data: bytes) -> np.ndarray:
-    size = int.from_bytes(data[2:10], "little")
-    return np.frombuffer(pa.decompress(data[10:], decompressed_size=size, codec="zstd", asbytes=True), dtype=data[:2].decode())
+def _pack(*arrays: np.ndarray) -> bytes:
+    """Arrays, their types and lengths in one value; small integers go byte by byte, as their high bytes are alike."""
+    out = [len(arrays).to_bytes(1, "little")]
+    for values in arrays:
+        planes = values.view(np.uint8).reshape(len(values), -1).T if values.dtype.str[1:] in ("u2", "u4") else [values.view(np.uint8)]
+        out += [values.dtype.str[1:].encode(), len(values).to_bytes(5, "little")]
+        for plane in planes:
+            data = pa.compress(plane.tobytes(), codec="zstd", asbytes=True) if len(plane) else b""
+            out += [len(data).to_bytes(5, "little"), data]
+    return b"".join(out)
+
+
+def _unpack(data: bytes) -> list[np.ndarray]:
+    at, out = 1, []
+    for _ in range(data[0]):
+        dtype, n = np.dtype(data[at: at + 2].decode()), int.from_bytes(data[at + 2: at + 7], "little")
+        at += 7
+        planes = dtype.itemsize if dtype.str[1:] in ("u2", "u4") else 1
+        size, parts = n * dtype.itemsize // planes, []
+        for _ in range(planes):
+            end = at + 5 + int.from_bytes(data[at: at + 5], "little")
+            parts.append(pa.decompress(data[at + 5: end], decompressed_size=size, codec="zstd", asbytes=True) if size else b"")
+            at = end
+        raw = np.frombuffer(b"".join(parts), np.uint8)
+        out.append((np.ascontiguousarray(raw.reshape(planes, n).T) if planes > 1 else raw).reshape(-1).view(dtype))
+    return out
 
 
 def _narrow(values: np.ndarray) -> np.ndarray:
@@ -295,13 +312,27 @@ def _cells(lower: Lower):
 
 
 def _chunk(held: list[tuple], chunk: int, lower: Lower) -> pa.RecordBatch:
-    """One cell per shard, and one without positions that carries the ids of the chunk's rows."""
+    """One cell per shard, and one without positions that carries the ids of the chunk's rows and what is known of them here."""
     at = Positions(*(np.concatenate([h[0][k] for h in held]) for k in range(5)))
     ids = pa.concat_arrays([h[1] for h in held])
     absent = ids.is_null().to_numpy(zero_copy_only=False)
     out = np.concatenate([h[2] for h in held])
     shard = _shard_of(at, at.row + chunk, lower)
     vocabulary, number = np.unique(np.concatenate([at.w, [BEGIN]]), return_inverse=True)
+    # The base sums of common words are known here.
+    count = _look_up(vocabulary, lower.common, lower.common_count)
+    common = np.where(_among(vocabulary, lower.common), np.searchsorted(lower.common, vocabulary) + 1, 0)
+    w = number[:-1]
+    here, rows = (common > 0)[w], len(ids)
+    log_q = lower.log_base(count)
+    sums = (np.bincount(at.row, minlength=rows), np.bincount(at.row, weights=here & (count > 0)[w], minlength=rows).astype(np.int64),
+            np.bincount(at.row, weights=np.where(here, log_q[w], 0), minlength=rows))
+    # Words are numbered from the most frequent of the chunk on, so most numbers are small.
+    order = np.argsort(-np.bincount(number, minlength=len(vocabulary)), kind="stable")
+    vocabulary, common = vocabulary[order], common[order].astype(np.uint32)
+    renumbered = np.empty(len(order), np.int64)
+    renumbered[order] = np.arange(len(order))
+    number = renumbered[number]
     w, begin = number[:-1], number[-1]
     starts = np.flatnonzero(np.concatenate([[True], at.row[1:] != at.row[:-1]]))
     v = np.concatenate([[begin], w[:-1]])
@@ -314,24 +345,32 @@ def _chunk(held: list[tuple], chunk: int, lower: Lower) -> pa.RecordBatch:
     shard, v = np.divmod(middle, len(vocabulary))
     w, u = (follows >> np.uint64(32)).astype(np.int64), (follows & np.uint64(0xFFFFFFFF)).astype(np.int64)
     cuts = np.searchsorted(shard, np.arange(lower.shards + 1))
-    columns: list[list] = [[] for _ in range(12)]
     home = int(mix(np.array([chunk], dtype=np.uint64))[0] % np.uint64(lower.shards))
-    cells = [(home, chunk, _pack(ids.fill_null(0).to_numpy()), _pack(out.astype(np.uint8) | (absent.astype(np.uint8) << 1)), *([None] * 8))]
+    cells = [(home, True, _pack(ids.fill_null(0).to_numpy(), out.astype(np.uint8) | (absent.astype(np.uint8) << 1), *sums))]
+    local = np.zeros(len(vocabulary), np.int64)
     for s in np.flatnonzero(np.diff(cuts)):
         mine = slice(cuts[s], cuts[s + 1])
         begins = np.flatnonzero(np.concatenate([[True], v[mine][1:] != v[mine][:-1]]))
-        docs, doc = np.unique(row[mine], return_inverse=True)
-        second, pair = np.unique(w[mine], return_inverse=True)
-        before, prior = np.unique(u[mine], return_inverse=True)
-        cells.append((int(s), chunk, _pack(_narrow(docs)), _pack(out[docs].astype(np.uint8)), _pack(vocabulary[v[mine][begins]]),
-                      _pack(_narrow(np.diff(np.append(begins, cuts[s + 1] - cuts[s])))), _pack(vocabulary[second]), _pack(_narrow(pair)),
-                      _pack(vocabulary[before]), _pack(_narrow(prior)), _pack(_narrow(doc)), _pack(_narrow(times[mine]))))
-    for cell in cells:
-        for c, x in zip(columns, cell, strict=True):
-            c.append(x)
-    names = [c.split()[0] for c in _CELL.split(", ")]
-    return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int64()),
-                                       *(pa.array(c, pa.binary()) for c in columns[2:])], names=names)
+        first = v[mine][begins]
+        docs, doc = _distinct(row[mine], rows)
+        names, _ = _distinct(np.concatenate([first, w[mine], u[mine]]), len(vocabulary))
+        local[names] = np.arange(len(names))
+        runs = np.diff(np.append(begins, cuts[s + 1] - cuts[s]))
+        cells.append((int(s), False, _pack(
+            _narrow(np.diff(docs, prepend=0)), out[docs].astype(np.uint8), common[names], vocabulary[names[common[names] == 0]],
+            *map(_narrow, (local[first], runs, local[w[mine]], local[u[mine]], doc, times[mine])))))
+    shard, ids, data = zip(*cells, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), pa.array([chunk] * len(cells), pa.int64()), pa.array(ids), pa.array(data, pa.binary())],
+                                      names=["shard", "chunk", "ids", "data"])
+
+
+def _distinct(numbers: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct numbers below ``n`` in order, and the place of each number among them."""
+    if len(numbers) * 16 < n:
+        return np.unique(numbers, return_inverse=True)
+    there = np.zeros(n, bool)
+    there[numbers] = True
+    return np.flatnonzero(there), (np.cumsum(there) - 1)[numbers]
 
 
 class Counts(NamedTuple):
@@ -377,22 +416,30 @@ class Trie:
         self._back, self._back_longer = levels.add(back), levels.add(back_longer)
         levels.seal()
 
-    def log_probability(self, context: np.ndarray, before: np.ndarray, word: np.ndarray, log_q: np.ndarray) -> np.ndarray:
-        """log10 p(word | before context) for context hashes, numbers of the words before them, and word numbers."""
-        if not self.context.n:
-            return log_q[word]
-        at, known = self.context.find(context)
-        at = np.minimum(at, self.context.n - 1)
-        place, found = self.successor.find(at.astype(np.uint64) * np.uint64(self.words) + word.astype(np.uint64))
-        found &= known
-        out = log_q[word] + np.where(known, self.levels.array(self._back)[at], 0.0)
-        out[found] = self.levels.array(self._p_two)[place[found]] * -QUANTUM
-        long_at, seen = self.longer.find(at.astype(np.uint64) * np.uint64(self.before) + before.astype(np.uint64))
-        seen = np.flatnonzero(seen & known)
-        out[seen] += self.levels.array(self._back_longer)[long_at[seen]]
-        ask = seen[found[seen]]
-        rank = place[ask] - self.pointer.access(at[ask]).astype(np.int64)
-        third, there = self.third.find(long_at[ask].astype(np.uint64) * np.uint64(self.ranks) + rank.astype(np.uint64))
+    def log_probability(self, contexts: np.ndarray, pairs: tuple[np.ndarray, np.ndarray], longer: tuple[np.ndarray, np.ndarray],
+                        triples: tuple[np.ndarray, np.ndarray], log_q: np.ndarray) -> np.ndarray:
+        """log10 p(word | before context) of triples.
+
+        Triples name their longer context and their pair, these the number of their context hash and that of their other word, so
+        what many triples share is sought once.
+        """
+        at, known = self.context.find(contexts)
+        context, word = pairs
+        place, found = self.successor.find(at[context].astype(np.uint64) * np.uint64(self.words) + word.astype(np.uint64))
+        found &= known[context]
+        two = log_q[word] + np.where(known[context], self.levels.array(self._back)[np.minimum(at, self.context.n - 1)][context], 0.0)
+        two[found] = self.levels.array(self._p_two)[place[found]] * -QUANTUM
+        rank = np.zeros(len(place), np.int64)
+        rank[found] = place[found] - self.pointer.access(at)[context[found]].astype(np.int64)
+        context, before = longer
+        long_at, seen = self.longer.find(at[context].astype(np.uint64) * np.uint64(self.before) + before.astype(np.uint64))
+        seen &= known[context]
+        back = np.zeros(len(seen))
+        back[seen] = self.levels.array(self._back_longer)[long_at[seen]]
+        of_longer, of_pair = triples
+        out = two[of_pair] + back[of_longer]
+        ask = np.flatnonzero(seen[of_longer] & found[of_pair])
+        third, there = self.third.find(long_at[of_longer[ask]].astype(np.uint64) * np.uint64(self.ranks) + rank[of_pair[ask]].astype(np.uint64))
         out[ask[there]] = self.levels.array(self._p_three)[third[there]] * -QUANTUM
         return out
 
@@ -401,43 +448,30 @@ def _quantise(p: np.ndarray) -> np.ndarray:
     return np.clip(np.rint(-np.log10(p) / QUANTUM), 0, 255).astype(np.uint8)
 
 
-def _joined(parts: list[np.ndarray], dtype) -> np.ndarray:
-    return np.concatenate(parts) if parts else np.zeros(0, dtype)
-
-
-def _numbered(values: list[np.ndarray], entries: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct values of all cells, and the number of each entry's value."""
-    distinct, number = np.unique(np.concatenate(values), return_inverse=True)
-    starts = np.cumsum([0, *map(len, values)])
-    number = number.astype(np.int32)
-    return distinct, np.concatenate([number[s + e.astype(np.int64)] for s, e in zip(starts, entries, strict=False)])
-
-
 def _score_shard(lower: Lower):
-    names = [c.split()[0] for c in _PART.split(", ")]
-
     def score(cells: pa.Table, asked: pa.Table) -> pa.Table:
-        whole = cells.column("first").is_null().to_numpy()
-        directory = cells.filter(pa.array(whole))
-        passed = [directory.column("chunk"), directory.column("docs"), directory.column("flags"),
-                  *[pa.nulls(directory.num_rows, pa.binary())] * 4]
-        passed = pa.table(passed, names=names)
+        whole = cells.column("ids").to_numpy()
+        passed = cells.filter(pa.array(whole)).select(["chunk", "ids", "data"])
         cells = cells.filter(pa.array(~whole))
         if not cells.num_rows:
             return passed
 
-        def part(name):
-            return [_unpack(x) for x in cells.column(name).to_pylist()]
-
         # Numbers of a shard's words and rows fit four bytes; the arrays with an entry per position are kept few and narrow.
-        contexts, context = np.unique(np.concatenate(part("first")), return_inverse=True)
-        context = np.repeat(context.astype(np.int32), np.concatenate(part("runs")).astype(np.int64))
-        words, word = _numbered(part("second"), part("pair"))
-        priors, prior = _numbered(part("before"), part("prior"))
-        flags = part("flags")
+        columns = [list(c) for c in zip(*map(_unpack, cells.column("data").to_pylist()), strict=True)]
+        gaps, flags, common, rare, first, runs, second, prior, doc, times = columns
+        names = [lower.common[np.maximum(c.astype(np.int64), 1) - 1] if len(lower.common) else np.zeros(len(c), np.uint64) for c in common]
+        for name, c, hashes in zip(names, common, rare, strict=True):
+            name[c == 0] = hashes
+        words, number = np.unique(np.concatenate(names), return_inverse=True)
+        number = np.split(number.astype(np.int32), np.cumsum([len(x) for x in names])[:-1])
+        first, second, prior = (np.concatenate([m[x] for m, x in zip(number, column, strict=True)]) for column in (first, second, prior))
+        del names, number
+        there, first = _distinct(first, len(words))
+        contexts = words[there]
+        context = np.repeat(first.astype(np.int32), np.concatenate(runs).astype(np.int64))
         doc_at = np.cumsum([0, *map(len, flags)])
-        doc = np.concatenate([(s + d.astype(np.int64)).astype(np.int32) for s, d in zip(doc_at, part("doc"), strict=False)])
-        times = np.concatenate(part("times")).astype(np.int64)
+        doc = np.concatenate([(s + d.astype(np.int64)).astype(np.int32) for s, d in zip(doc_at, doc, strict=False)])
+        times = np.concatenate(times).astype(np.int64)
         trained = np.where(np.concatenate(flags)[doc] & 1, 0, times)
         n_docs, n_words = int(doc_at[-1]), np.uint64(len(words))
 
@@ -448,9 +482,9 @@ def _score_shard(lower: Lower):
         log_q = lower.log_base(word_count)
 
         # The pairs v w, then the contexts u v, then the triples, all of them numbered in sorted order.
-        two, two_of = np.unique(context.astype(np.uint64) * n_words + word.astype(np.uint64), return_inverse=True)
-        longer, longer_of = np.unique(context.astype(np.uint64) * np.uint64(len(priors)) + prior.astype(np.uint64), return_inverse=True)
-        three, which = np.unique(longer_of.astype(np.uint64) * n_words + word.astype(np.uint64), return_inverse=True)
+        two, two_of = np.unique(context.astype(np.uint64) * n_words + second.astype(np.uint64), return_inverse=True)
+        longer, longer_of = np.unique(context.astype(np.uint64) * n_words + prior.astype(np.uint64), return_inverse=True)
+        three, which = np.unique(longer_of.astype(np.uint64) * n_words + second.astype(np.uint64), return_inverse=True)
         of_two, of_three = two_of[_first(which, len(three))], three // n_words
         of_three = of_three.astype(np.int64)
         count = np.bincount(context, weights=trained, minlength=len(contexts))
@@ -458,6 +492,7 @@ def _score_shard(lower: Lower):
         longer_n = np.bincount(longer_of, weights=trained, minlength=len(longer))
         three_n = np.bincount(which, weights=trained, minlength=len(three))
         del two_of, longer_of, context, prior
+        three_word = (three % n_words).astype(np.int64)
 
         two_context, two_word = (two // n_words).astype(np.int64), (two % n_words).astype(np.int64)
         spread = lower.word.has(contexts)[two_context]
@@ -465,9 +500,9 @@ def _score_shard(lower: Lower):
         two_n[spread] = np.maximum(_look_up(pair, keys, numbers), _look_up(pair, lower.after.key, lower.after.count))
         follow = np.bincount(two_context[two_n > 0], minlength=len(contexts)).astype(np.float64)
         lower.word.override(contexts, count, follow)
-        longer_context = (longer // np.uint64(len(priors))).astype(np.int64)
-        longer_key = gram(priors[(longer % np.uint64(len(priors))).astype(np.int64)], contexts[longer_context])
-        lower.triple.override(gram(longer_key[of_three], words[(three % n_words).astype(np.int64)]), three_n)
+        longer_context, longer_word = (longer // n_words).astype(np.int64), (longer % n_words).astype(np.int64)
+        longer_key = gram(words[longer_word], contexts[longer_context])
+        lower.triple.override(gram(longer_key[of_three], words[three_word]), three_n)
         longer_follow = np.bincount(of_three[three_n > 0], minlength=len(longer)).astype(np.float64)
         lower.pair.override(longer_key, longer_n, longer_follow)
 
@@ -479,20 +514,22 @@ def _score_shard(lower: Lower):
         seen3 &= seen_long[of_three]
         trie = Trie(contexts, back, Counts(two_context[seen2], two_word[seen2], two_n[seen2]), p_two[seen2], len(words),
                     longer[seen_long], back_longer[seen_long],
-                    Counts(new_number[of_three[seen3]], (three[seen3] % n_words).astype(np.int64), three_n[seen3]), p_three[seen3], len(priors))
-        del two, p_two, p_three, two_context, two_word
-        asked_context = longer_context[of_three]
-        log_p = trie.log_probability(contexts[asked_context], (longer[of_three] % np.uint64(len(priors))).astype(np.int64),
-                                     (three % n_words).astype(np.int64), log_q)
-        value = np.bincount(doc, weights=log_p[which] * times, minlength=n_docs)
-        sums = [np.bincount(doc, weights=times, minlength=n_docs), np.bincount(doc, weights=times * (word_count > 0)[word], minlength=n_docs)]
-        base = np.bincount(doc, weights=times * log_q[word], minlength=n_docs)
+                    Counts(new_number[of_three[seen3]], three_word[seen3], three_n[seen3]), p_three[seen3], len(words))
+        log_p = trie.log_probability(contexts, (two_context, two_word), (longer_context, longer_word), (of_three, of_two), log_q)
+        del two, three, three_word, p_two, p_three, two_context, two_word
+        value = np.bincount(doc, weights=log_p[which] * times, minlength=n_docs).astype(np.float32)
+        del which, log_p
+        # The base sums of common words are known where the cell comes from.
+        rare_at = np.flatnonzero(~_among(words, lower.common)[second])
+        of, n, q = doc[rare_at], times[rare_at], second[rare_at]
+        rare_known = np.bincount(of, weights=n * (word_count > 0)[q], minlength=n_docs).astype(np.int64)
+        rare_base = np.bincount(of, weights=n * log_q[q], minlength=n_docs)
         # A row goes back per cell, packed, so what is shuffled next does not grow with the number of shards.
-        cut = [slice(a, b) for a, b in zip(doc_at[:-1], doc_at[1:], strict=True)]
-        packed = [[_pack(np.ascontiguousarray(x[c])) for c in cut]
-                  for x in (_narrow(sums[0].astype(np.int64)), _narrow(sums[1].astype(np.int64)), base, value)]
-        scored = pa.table([cells.column("chunk"), cells.column("docs"), pa.nulls(cells.num_rows, pa.binary()),
-                           *(pa.array(p, pa.binary()) for p in packed)], names=names)
+        data = []
+        for gap, a, b in zip(gaps, doc_at[:-1], doc_at[1:], strict=True):
+            some = np.flatnonzero(rare_base[a:b])
+            data.append(_pack(gap, value[a:b], _narrow(some), _narrow(rare_known[a:b][some]), rare_base[a:b][some]))
+        scored = pa.table([cells.column("chunk"), cells.column("ids"), pa.array(data, pa.binary())], names=["chunk", "ids", "data"])
         return pa.concat_tables([passed, scored])
     return score
 
@@ -506,15 +543,17 @@ def _first(which: np.ndarray, n: int) -> np.ndarray:
 
 def _merge_chunk(table: pa.Table) -> pa.Table:
     """Sums of the rows of one chunk (a bounded number of tokens) over all shards."""
-    whole = table.column("flags").is_valid().to_numpy()
-    directory, parts = table.filter(pa.array(whole)), table.filter(pa.array(~whole))
-    ids, flags = (_unpack(directory.column(name)[0].as_py()) for name in ("docs", "flags"))
-    row = np.concatenate([_unpack(x) for x in parts.column("docs").to_pylist()]).astype(np.int64)
-    words, known, base, score = (
-        np.bincount(row, weights=np.concatenate([_unpack(x) for x in parts.column(name).to_pylist()]), minlength=len(ids))
-        for name in ("words", "known", "base", "score"))
+    whole = table.column("ids").to_numpy()
+    ids, flags, words, known, base = _unpack(table.column("data").filter(pa.array(whole))[0].as_py())
+    known, base, score = known.copy(), base.copy(), np.zeros(len(ids))
+    for data in table.column("data").filter(pa.array(~whole)).to_pylist():
+        gap, value, some, more, rare = _unpack(data)
+        docs = np.cumsum(gap.astype(np.int64))
+        score[docs] += value
+        known[docs[some]] += more
+        base[docs[some]] += rare
     return pa.table([pa.array(ids, mask=(flags & 2).astype(bool)), pa.array((flags & 1).astype(bool)),
-                     pa.array(words.astype(np.int64)), pa.array(known.astype(np.int64)), pa.array(base), pa.array(score)],
+                     pa.array(words), pa.array(known), pa.array(base), pa.array(score)],
                     names=["doc_id", "held", "words", "known", "base", "score"])
 
 

@@ -193,9 +193,9 @@ def test_ngram_hot_triples_and_repeated_words(spark):
 def test_ngram_scores_with_more_words_than_are_broadcast(spark):
     rng = np.random.default_rng(5)
     drawn = rng.zipf(1.15, 420000) % 400009
-    assert len(np.unique(drawn)) > ngram_model.COMMON
+    assert len(np.unique(drawn)) > 1 << 16
     rows = [(k, " ".join(f"w{x}" for x in part)) for k, part in enumerate(np.array_split(drawn, 600))]
-    assert_ngram_scores(table(spark, [(i, t, "a") for i, t in rows]), rows, shard_tokens=1 << 16)
+    assert_ngram_scores(table(spark, [(i, t, "a") for i, t in rows]), rows, shard_tokens=1 << 16, common=1 << 12)
 
 
 def test_ngram_edges(edge, empty):
