@@ -46,6 +46,7 @@ class EliasFano:
     """
 
     BLOCK = 8  # 64-bit words of the unary part between two directory entries
+    QUERIES = 1 << 17  # looked up at a time, which bounds the memory of a search
 
     def __init__(self, levels: Levels, values: np.ndarray):
         values = values.astype(np.uint64)
@@ -107,7 +108,13 @@ class EliasFano:
 
     def find(self, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First index whose entry is at least ``value`` (their number if there is none), and whether it is equal."""
-        value = value.astype(np.uint64)
+        place, equal = np.empty(len(value), np.int64), np.empty(len(value), bool)
+        for at in range(0, len(value), self.QUERIES):
+            part = slice(at, at + self.QUERIES)
+            place[part], equal[part] = self._find(value[part].astype(np.uint64))
+        return place, equal
+
+    def _find(self, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         place, equal = np.full(len(value), self.n, np.int64), np.zeros(len(value), bool)
         inside = np.flatnonzero(value >> np.uint64(self.bits) <= np.uint64(self.top)) if self.n else np.zeros(0, np.int64)
         high = (value[inside] >> np.uint64(self.bits)).astype(np.int64)

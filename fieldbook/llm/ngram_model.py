@@ -49,7 +49,7 @@ from fieldbook.llm.words import blocks, mix
 
 HELD_OUT = "pmod(crc32(cast(doc_id as string)), 10) = 0"
 DISCOUNT = 0.75
-SHARD_TOKENS = 1 << 21
+SHARD_TOKENS = 1 << 20
 COMMON = 1 << 17
 CHUNK_TOKENS = 1 << 20
 QUANTUM = 0.04  # log10 units between two stored probabilities: a byte reaches down to 10**-10.2
@@ -174,7 +174,7 @@ def _positions(block, held: np.ndarray) -> Positions:
     inner = np.ones(len(w), bool)
     inner[ends] = False
     w[inner] = block.hash
-    row = np.repeat(np.arange(block.rows), n + 1)
+    row = np.repeat(np.arange(block.rows, dtype=np.int32), n + 1)
     v = np.concatenate([[BEGIN], w[:-1]])
     v[starts] = BEGIN
     u = np.concatenate([[BEGIN], v[:-1]])
@@ -300,12 +300,11 @@ def _cells(lower: Lower):
                 part = slice(block.first, block.first + block.rows)
                 out = batch.column(2).to_numpy(zero_copy_only=False)[part].astype(bool)
                 at = _positions(block, out)
-                held.append((at._replace(row=at.row + rows), batch.column(0).slice(block.first, block.rows), out))
+                held.append((at._replace(row=at.row + np.int32(rows)), batch.column(0).slice(block.first, block.rows), out))
                 size, rows = size + len(at.w), rows + block.rows
                 if size >= CHUNK_TOKENS:
                     yield _chunk(held, base + done, lower)
                     done, size, rows = done + rows, 0, 0
-                    held.clear()
         if held:
             yield _chunk(held, base + done, lower)
     return cells
@@ -317,16 +316,19 @@ def _chunk(held: list[tuple], chunk: int, lower: Lower) -> pa.RecordBatch:
     ids = pa.concat_arrays([h[1] for h in held])
     absent = ids.is_null().to_numpy(zero_copy_only=False)
     out = np.concatenate([h[2] for h in held])
+    held.clear()
     shard = _shard_of(at, at.row + chunk, lower)
+    row = at.row
     vocabulary, number = np.unique(np.concatenate([at.w, [BEGIN]]), return_inverse=True)
+    del at
     # The base sums of common words are known here.
     count = _look_up(vocabulary, lower.common, lower.common_count)
     common = np.where(_among(vocabulary, lower.common), np.searchsorted(lower.common, vocabulary) + 1, 0)
     w = number[:-1]
     here, rows = (common > 0)[w], len(ids)
     log_q = lower.log_base(count)
-    sums = (np.bincount(at.row, minlength=rows), np.bincount(at.row, weights=here & (count > 0)[w], minlength=rows).astype(np.int64),
-            np.bincount(at.row, weights=np.where(here, log_q[w], 0), minlength=rows))
+    sums = (np.bincount(row, minlength=rows), np.bincount(row, weights=here & (count > 0)[w], minlength=rows).astype(np.int64),
+            np.bincount(row, weights=np.where(here, log_q[w], 0), minlength=rows))
     # Words are numbered from the most frequent of the chunk on, so most numbers are small.
     order = np.argsort(-np.bincount(number, minlength=len(vocabulary)), kind="stable")
     vocabulary, common = vocabulary[order], common[order].astype(np.uint32)
@@ -334,14 +336,16 @@ def _chunk(held: list[tuple], chunk: int, lower: Lower) -> pa.RecordBatch:
     renumbered[order] = np.arange(len(order))
     number = renumbered[number]
     w, begin = number[:-1], number[-1]
-    starts = np.flatnonzero(np.concatenate([[True], at.row[1:] != at.row[:-1]]))
+    starts = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
     v = np.concatenate([[begin], w[:-1]])
     v[starts] = begin
     u = np.concatenate([[begin], v[:-1]])
     u[starts] = begin
     # Equal positions of a row are summed, so a word that fills a text is one entry.
     follows = (w.astype(np.uint64) << np.uint64(32)) | u.astype(np.uint64)
-    (row, follows, middle), _, times = _summed((at.row, follows, shard * len(vocabulary) + v), np.zeros(len(w), bool))
+    middle = shard * len(vocabulary) + v
+    del number, here, u, v, w, shard
+    (row, follows, middle), _, times = _summed((row, follows, middle), np.zeros(len(row), bool))
     shard, v = np.divmod(middle, len(vocabulary))
     w, u = (follows >> np.uint64(32)).astype(np.int64), (follows & np.uint64(0xFFFFFFFF)).astype(np.int64)
     cuts = np.searchsorted(shard, np.arange(lower.shards + 1))
@@ -436,11 +440,15 @@ class Trie:
         seen &= known[context]
         back = np.zeros(len(seen))
         back[seen] = self.levels.array(self._back_longer)[long_at[seen]]
-        of_longer, of_pair = triples
-        out = two[of_pair] + back[of_longer]
-        ask = np.flatnonzero(seen[of_longer] & found[of_pair])
-        third, there = self.third.find(long_at[of_longer[ask]].astype(np.uint64) * np.uint64(self.ranks) + rank[of_pair[ask]].astype(np.uint64))
-        out[ask[there]] = self.levels.array(self._p_three)[third[there]] * -QUANTUM
+        stored, out = self.levels.array(self._p_three), np.empty(len(triples[0]))
+        for start in range(0, len(out), EliasFano.QUERIES):
+            of_longer, of_pair = (x[start: start + EliasFano.QUERIES] for x in triples)
+            part = two[of_pair] + back[of_longer]
+            ask = np.flatnonzero(seen[of_longer] & found[of_pair])
+            third, there = self.third.find(long_at[of_longer[ask]].astype(np.uint64) * np.uint64(self.ranks)
+                                           + rank[of_pair[ask]].astype(np.uint64))
+            part[ask[there]] = stored[third[there]] * -QUANTUM
+            out[start: start + len(part)] = part
         return out
 
 
@@ -482,17 +490,18 @@ def _score_shard(lower: Lower):
         log_q = lower.log_base(word_count)
 
         # The pairs v w, then the contexts u v, then the triples, all of them numbered in sorted order.
-        two, two_of = np.unique(context.astype(np.uint64) * n_words + second.astype(np.uint64), return_inverse=True)
-        longer, longer_of = np.unique(context.astype(np.uint64) * n_words + prior.astype(np.uint64), return_inverse=True)
-        three, which = np.unique(longer_of.astype(np.uint64) * n_words + second.astype(np.uint64), return_inverse=True)
-        of_two, of_three = two_of[_first(which, len(three))], three // n_words
-        of_three = of_three.astype(np.int64)
+        two, two_of = _ranked(context, n_words, second)
+        longer, longer_of = _ranked(context, n_words, prior)
+        three, which = _ranked(longer_of, n_words, second)
+        of_two, of_three = two_of[_first(which, len(three))], (three // n_words).astype(np.int32)
         count = np.bincount(context, weights=trained, minlength=len(contexts))
         two_n = np.bincount(two_of, weights=trained, minlength=len(two))
         longer_n = np.bincount(longer_of, weights=trained, minlength=len(longer))
         three_n = np.bincount(which, weights=trained, minlength=len(three))
+        del trained
         del two_of, longer_of, context, prior
-        three_word = (three % n_words).astype(np.int64)
+        three_word = (three % n_words).astype(np.int32)
+        del three
 
         two_context, two_word = (two // n_words).astype(np.int64), (two % n_words).astype(np.int64)
         spread = lower.word.has(contexts)[two_context]
@@ -514,9 +523,9 @@ def _score_shard(lower: Lower):
         seen3 &= seen_long[of_three]
         trie = Trie(contexts, back, Counts(two_context[seen2], two_word[seen2], two_n[seen2]), p_two[seen2], len(words),
                     longer[seen_long], back_longer[seen_long],
-                    Counts(new_number[of_three[seen3]], three_word[seen3], three_n[seen3]), p_three[seen3], len(words))
+                    Counts(new_number[of_three[seen3]], three_word[seen3].astype(np.int64), three_n[seen3]), p_three[seen3], len(words))
         log_p = trie.log_probability(contexts, (two_context, two_word), (longer_context, longer_word), (of_three, of_two), log_q)
-        del two, three, three_word, p_two, p_three, two_context, two_word
+        del two, longer, three_word, p_two, p_three, two_context, two_word
         value = np.bincount(doc, weights=log_p[which] * times, minlength=n_docs).astype(np.float32)
         del which, log_p
         # The base sums of common words are known where the cell comes from.
@@ -534,6 +543,12 @@ def _score_shard(lower: Lower):
     return score
 
 
+def _ranked(a: np.ndarray, n: np.uint64, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs of two numbers, the second below ``n``, as ``a * n + b`` in order, and the number of each pair."""
+    values, at = np.unique(a.astype(np.uint64) * n + b.astype(np.uint64), return_inverse=True)
+    return values, at.astype(np.int32)
+
+
 def _first(which: np.ndarray, n: int) -> np.ndarray:
     """A position of every number below ``n``."""
     out = np.zeros(n, np.int64)
