@@ -317,7 +317,7 @@ def _chunk(held: list[tuple], chunk: int, lower: Lower) -> pa.RecordBatch:
     absent = ids.is_null().to_numpy(zero_copy_only=False)
     out = np.concatenate([h[2] for h in held])
     held.clear()
-    shard = _shard_of(at, at.row + chunk, lower)
+    shard = _shard_of(at, at.row.astype(np.int64) + chunk, lower)
     row = at.row
     vocabulary, number = np.unique(np.concatenate([at.w, [BEGIN]]), return_inverse=True)
     del at
