@@ -53,6 +53,8 @@ SHARD_TOKENS = 1 << 20
 COMMON = 1 << 17
 CHUNK_TOKENS = 1 << 20
 QUANTUM = 0.04  # log10 units between two stored probabilities: a byte reaches down to 10**-10.2
+STEP = QUANTUM / 256  # log10 units between two sums that a shard sends back
+SMALL = 512  # planes of fewer bytes are compressed together
 BEGIN, END = np.uint64(1), np.uint64(2)  # marks outside the texts
 _GRAM = np.uint64(0xD6E8FEB86659FD93)
 _CELL = "shard int, chunk bigint, ids boolean, data binary"
@@ -95,13 +97,18 @@ class Lower(NamedTuple):
     shards: int
     common: np.ndarray  # sorted hashes, the end token among them
     common_count: np.ndarray
+    by_count: np.ndarray  # places of the common words, the most frequent first
     word: Hot
     pair: Hot
     triple: Hot
     after: Hot  # frequent pairs of a hot word and the word after it
 
     def log_base(self, count: np.ndarray) -> np.ndarray:
-        return np.log10((count + 0.1) / (self.total + 0.1 * (self.distinct + 1)))
+        return _log_base(count, self.total, self.distinct)
+
+
+def _log_base(count: np.ndarray, total: int, distinct: int) -> np.ndarray:
+    return np.log10((count + 0.1) / (total + 0.1 * (distinct + 1)))
 
 
 def _among(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -124,37 +131,96 @@ def gram(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix(a * _GRAM + mix(b + np.uint64(1)))
 
 
+def _number(value: int) -> bytes:
+    """A count in as many bytes as it needs, seven bits in each."""
+    out = bytearray()
+    while value > 127:
+        out.append(value & 127 | 128)
+        value >>= 7
+    return bytes([*out, value])
+
+
+def _squeezed(raw: bytes) -> tuple[bytes, bool]:
+    """``raw``, compressed if that makes it shorter."""
+    data = pa.compress(raw, codec="zstd", asbytes=True) if len(raw) > 32 else raw
+    return (data, True) if len(data) < len(raw) else (raw, False)
+
+
 def _pack(*arrays: np.ndarray) -> bytes:
-    """Arrays, their types and lengths in one value; small integers go byte by byte, as their high bytes are alike."""
-    out = [len(arrays).to_bytes(1, "little")]
+    """Arrays, their types and lengths in one value.
+
+    Integers go byte by byte, as their high bytes are alike.  What is short is compressed together, or a small cell would be
+    mostly headers.
+    """
+    head, body, small = [_number(len(arrays))], [], []
     for values in arrays:
-        planes = values.view(np.uint8).reshape(len(values), -1).T if values.dtype.str[1:] in ("u2", "u4") else [values.view(np.uint8)]
-        out += [values.dtype.str[1:].encode(), len(values).to_bytes(5, "little")]
+        width = values.dtype.itemsize
+        planes = values.view(np.uint8).reshape(len(values), width).T if values.dtype.kind == "u" else [values.view(np.uint8)]
+        head += [values.dtype.kind.encode(), _number(width), _number(len(values))]
+        if values.nbytes // len(planes) < SMALL:
+            small += [plane.tobytes() for plane in planes]
+            continue
         for plane in planes:
-            data = pa.compress(plane.tobytes(), codec="zstd", asbytes=True) if len(plane) else b""
-            out += [len(data).to_bytes(5, "little"), data]
-    return b"".join(out)
+            data, shorter = _squeezed(plane.tobytes())
+            head.append(_number(len(data) << 1 | shorter))
+            body.append(data)
+    data, shorter = _squeezed(b"".join(small))
+    return b"".join([*head, _number(len(data) << 1 | shorter), *body, data])
 
 
 def _unpack(data: bytes) -> list[np.ndarray]:
-    at, out = 1, []
-    for _ in range(data[0]):
-        dtype, n = np.dtype(data[at: at + 2].decode()), int.from_bytes(data[at + 2: at + 7], "little")
-        at += 7
-        planes = dtype.itemsize if dtype.str[1:] in ("u2", "u4") else 1
-        size, parts = n * dtype.itemsize // planes, []
-        for _ in range(planes):
-            end = at + 5 + int.from_bytes(data[at: at + 5], "little")
-            parts.append(pa.decompress(data[at + 5: end], decompressed_size=size, codec="zstd", asbytes=True) if size else b"")
-            at = end
-        raw = np.frombuffer(b"".join(parts), np.uint8)
-        out.append((np.ascontiguousarray(raw.reshape(planes, n).T) if planes > 1 else raw).reshape(-1).view(dtype))
+    at = 0
+
+    def number() -> int:
+        nonlocal at
+        value = shift = 0
+        while True:
+            byte, at = data[at], at + 1
+            value |= (byte & 127) << shift
+            if byte < 128:
+                return value
+            shift += 7
+
+    kinds = []
+    for _ in range(number()):
+        kind, at = chr(data[at]), at + 1
+        dtype, n = np.dtype(f"{kind}{number()}"), number()
+        planes = dtype.itemsize if kind == "u" else 1
+        size = n * dtype.itemsize // planes
+        kinds.append((dtype, n, planes, size, None if size < SMALL else [number() for _ in range(planes)]))
+    rest = number()
+
+    def taken(length: int, size: int) -> bytes:
+        nonlocal at
+        raw, at = data[at: at + (length >> 1)], at + (length >> 1)
+        return pa.decompress(raw, decompressed_size=size, codec="zstd", asbytes=True) if length & 1 else raw
+
+    large = [b"".join(taken(length, size) for length in lengths or ()) for _, _, _, size, lengths in kinds]
+    small, out, used = taken(rest, sum(planes * size for _, _, planes, size, lengths in kinds if lengths is None)), [], 0
+    for (dtype, n, planes, size, lengths), raw in zip(kinds, large, strict=True):
+        if lengths is None:
+            raw, used = small[used: used + planes * size], used + planes * size
+        flat = np.frombuffer(raw, np.uint8)
+        out.append((np.ascontiguousarray(flat.reshape(planes, n).T) if planes > 1 else flat).reshape(-1).view(dtype))
     return out
 
 
 def _narrow(values: np.ndarray) -> np.ndarray:
-    top = int(values.max(initial=0))
-    return values.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32)
+    bits = int(values.max(initial=0)).bit_length()
+    return values.astype(np.uint8 if bits <= 8 else np.uint16 if bits <= 16 else np.uint32 if bits <= 32 else np.uint64)
+
+
+def _gaps(values: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Differences of values that grow from each of ``begins`` on; there the value itself."""
+    out = np.diff(values, prepend=0)
+    out[begins] = values[begins]
+    return out
+
+
+def _from_gaps(gaps: np.ndarray, runs: np.ndarray) -> np.ndarray:
+    out, runs = np.cumsum(gaps, dtype=np.int64), runs.astype(np.int64)
+    begins = np.cumsum(runs) - runs
+    return out - np.repeat(out[begins] - gaps[begins], runs)
 
 
 class Positions(NamedTuple):
@@ -323,15 +389,17 @@ def _chunk(held: list[tuple], chunk: int, lower: Lower) -> pa.RecordBatch:
     del at
     # The base sums of common words are known here.
     count = _look_up(vocabulary, lower.common, lower.common_count)
-    common = np.where(_among(vocabulary, lower.common), np.searchsorted(lower.common, vocabulary) + 1, 0)
+    rank = np.empty(len(lower.common) + 1, np.int64)
+    rank[lower.by_count], rank[-1] = np.arange(len(lower.common)) + 1, 0
+    common = np.where(_among(vocabulary, lower.common), rank[np.searchsorted(lower.common, vocabulary)], 0)
     w = number[:-1]
     here, rows = (common > 0)[w], len(ids)
     log_q = lower.log_base(count)
     sums = (np.bincount(row, minlength=rows), np.bincount(row, weights=here & (count > 0)[w], minlength=rows).astype(np.int64),
             np.bincount(row, weights=np.where(here, log_q[w], 0), minlength=rows))
-    # Words are numbered from the most frequent of the chunk on, so most numbers are small.
-    order = np.argsort(-np.bincount(number, minlength=len(vocabulary)), kind="stable")
-    vocabulary, common = vocabulary[order], common[order].astype(np.uint32)
+    # Common words come first, the most frequent before others, so most numbers are small; then the other words by their hash.
+    order = np.argsort(np.where(common > 0, common, len(rank)), kind="stable")
+    vocabulary, common, n_common = vocabulary[order], common[order], int((common > 0).sum())
     renumbered = np.empty(len(order), np.int64)
     renumbered[order] = np.arange(len(order))
     number = renumbered[number]
@@ -360,9 +428,11 @@ def _chunk(held: list[tuple], chunk: int, lower: Lower) -> pa.RecordBatch:
         names, _ = _distinct(np.concatenate([first, w[mine], u[mine]]), len(vocabulary))
         local[names] = np.arange(len(names))
         runs = np.diff(np.append(begins, cuts[s + 1] - cuts[s]))
+        rare = np.searchsorted(names, n_common)
         cells.append((int(s), False, _pack(
-            _narrow(np.diff(docs, prepend=0)), out[docs].astype(np.uint8), common[names], vocabulary[names[common[names] == 0]],
-            *map(_narrow, (local[first], runs, local[w[mine]], local[u[mine]], doc, times[mine])))))
+            _narrow(np.diff(docs, prepend=0)), out[docs].astype(np.uint8), _narrow(np.diff(common[names[:rare]], prepend=0)),
+            np.diff(vocabulary[names[rare:]], prepend=np.uint64(0)),
+            *map(_narrow, (np.diff(local[first], prepend=0), runs, _gaps(local[w[mine]], begins), local[u[mine]], doc, times[mine])))))
     shard, ids, data = zip(*cells, strict=True)
     return pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), pa.array([chunk] * len(cells), pa.int64()), pa.array(ids), pa.array(data, pa.binary())],
                                       names=["shard", "chunk", "ids", "data"])
@@ -467,9 +537,10 @@ def _score_shard(lower: Lower):
         # Numbers of a shard's words and rows fit four bytes; the arrays with an entry per position are kept few and narrow.
         columns = [list(c) for c in zip(*map(_unpack, cells.column("data").to_pylist()), strict=True)]
         gaps, flags, common, rare, first, runs, second, prior, doc, times = columns
-        names = [lower.common[np.maximum(c.astype(np.int64), 1) - 1] if len(lower.common) else np.zeros(len(c), np.uint64) for c in common]
-        for name, c, hashes in zip(names, common, rare, strict=True):
-            name[c == 0] = hashes
+        names = [np.concatenate([lower.common[lower.by_count[np.cumsum(c, dtype=np.int64) - 1]], np.cumsum(hashes, dtype=np.uint64)])
+                 for c, hashes in zip(common, rare, strict=True)]
+        first = [np.cumsum(x, dtype=np.int64) for x in first]
+        second = [_from_gaps(x, n) for x, n in zip(second, runs, strict=True)]
         words, number = np.unique(np.concatenate(names), return_inverse=True)
         number = np.split(number.astype(np.int32), np.cumsum([len(x) for x in names])[:-1])
         first, second, prior = (np.concatenate([m[x] for m, x in zip(number, column, strict=True)]) for column in (first, second, prior))
@@ -526,18 +597,20 @@ def _score_shard(lower: Lower):
                     Counts(new_number[of_three[seen3]], three_word[seen3].astype(np.int64), three_n[seen3]), p_three[seen3], len(words))
         log_p = trie.log_probability(contexts, (two_context, two_word), (longer_context, longer_word), (of_three, of_two), log_q)
         del two, longer, three_word, p_two, p_three, two_context, two_word
-        value = np.bincount(doc, weights=log_p[which] * times, minlength=n_docs).astype(np.float32)
+        value = np.rint(np.bincount(doc, weights=log_p[which] * times, minlength=n_docs) / -STEP).astype(np.int64)
         del which, log_p
         # The base sums of common words are known where the cell comes from.
+        # For other words their counts go back, each once per row with how often it stands there: they are shorter than sums.
         rare_at = np.flatnonzero(~_among(words, lower.common)[second])
-        of, n, q = doc[rare_at], times[rare_at], second[rare_at]
-        rare_known = np.bincount(of, weights=n * (word_count > 0)[q], minlength=n_docs).astype(np.int64)
-        rare_base = np.bincount(of, weights=n * log_q[q], minlength=n_docs)
-        # A row goes back per cell, packed, so what is shuffled next does not grow with the number of shards.
+        of, which = np.unique((doc[rare_at].astype(np.uint64) << np.uint64(32)) | word_count[second[rare_at]].astype(np.uint64),
+                              return_inverse=True)
+        often = np.bincount(which, weights=times[rare_at], minlength=len(of)).astype(np.int64)
+        of, count = (of >> np.uint64(32)).astype(np.int64), of & np.uint64(0xFFFFFFFF)
+        cuts = np.searchsorted(of, doc_at)
+        # A row goes back per cell, packed.
         data = []
-        for gap, a, b in zip(gaps, doc_at[:-1], doc_at[1:], strict=True):
-            some = np.flatnonzero(rare_base[a:b])
-            data.append(_pack(gap, value[a:b], _narrow(some), _narrow(rare_known[a:b][some]), rare_base[a:b][some]))
+        for gap, a, b, lo, hi in zip(gaps, doc_at[:-1], doc_at[1:], cuts[:-1], cuts[1:], strict=True):
+            data.append(_pack(gap, *map(_narrow, (value[a:b], np.diff(of[lo:hi], prepend=a), count[lo:hi], often[lo:hi]))))
         scored = pa.table([cells.column("chunk"), cells.column("ids"), pa.array(data, pa.binary())], names=["chunk", "ids", "data"])
         return pa.concat_tables([passed, scored])
     return score
@@ -556,20 +629,25 @@ def _first(which: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def _merge_chunk(table: pa.Table) -> pa.Table:
+def _merge_chunk(total: int, distinct: int):
     """Sums of the rows of one chunk (a bounded number of tokens) over all shards."""
-    whole = table.column("ids").to_numpy()
-    ids, flags, words, known, base = _unpack(table.column("data").filter(pa.array(whole))[0].as_py())
-    known, base, score = known.copy(), base.copy(), np.zeros(len(ids))
-    for data in table.column("data").filter(pa.array(~whole)).to_pylist():
-        gap, value, some, more, rare = _unpack(data)
-        docs = np.cumsum(gap.astype(np.int64))
-        score[docs] += value
-        known[docs[some]] += more
-        base[docs[some]] += rare
-    return pa.table([pa.array(ids, mask=(flags & 2).astype(bool)), pa.array((flags & 1).astype(bool)),
-                     pa.array(words), pa.array(known), pa.array(base), pa.array(score)],
-                    names=["doc_id", "held", "words", "known", "base", "score"])
+    def merge(table: pa.Table) -> pa.Table:
+        whole = table.column("ids").to_numpy()
+        ids, flags, words, known, base = _unpack(table.column("data").filter(pa.array(whole))[0].as_py())
+        score, rare = np.zeros(len(ids)), []
+        for data in table.column("data").filter(pa.array(~whole)).to_pylist():
+            gap, value, of, count, often = _unpack(data)
+            docs = np.cumsum(gap, dtype=np.int64)
+            score[docs] -= value * STEP
+            rare.append((docs[np.cumsum(of, dtype=np.int64)], count.astype(np.int64), often.astype(np.int64)))
+        if rare:
+            doc, count, often = (np.concatenate(c) for c in zip(*rare, strict=True))
+            known = known + np.bincount(doc, weights=often * (count > 0), minlength=len(ids)).astype(np.int64)
+            base = base + np.bincount(doc, weights=often * _log_base(count, total, distinct), minlength=len(ids))
+        return pa.table([pa.array(ids, mask=(flags & 2).astype(bool)), pa.array((flags & 1).astype(bool)),
+                         pa.array(words), pa.array(known), pa.array(base), pa.array(score)],
+                        names=["doc_id", "held", "words", "known", "base", "score"])
+    return merge
 
 
 def _columns(df: DataFrame, *types) -> list[np.ndarray]:
@@ -613,7 +691,8 @@ def fit_lower(rows: DataFrame, scratch: Scratch, shard_tokens: int, common: int
             pair = pair._replace(follow=_look_up(pair.key, *_sorted(owner, m)))
             key, n = _columns(triples.where(F.col("tokens") > shard_tokens).select("key", "n"), np.int64, np.float64)
             triple = _hot(key, n, np.zeros(len(n)))
-    return Lower(total, distinct, shards, top, top_n, word, pair, triple, after), known
+    by_count = np.argsort(-top_n, kind="stable").astype(np.int32)
+    return Lower(total, distinct, shards, top, top_n, by_count, word, pair, triple, after), known
 
 
 def _sorted(key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -634,6 +713,6 @@ def score_documents(docs: DataFrame, shard_tokens: int = SHARD_TOKENS, common: i
     asked = (rows.select("text").mapInArrow(_asked(lower), "shard int, key bigint").join(known, "key").select("shard", "key", "n"))
     cells = rows.mapInArrow(_cells(lower), _CELL)
     parts = cells.groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(_score_shard(lower), _PART)
-    sums = parts.groupBy("chunk").applyInArrow(_merge_chunk, _SUMS)
+    sums = parts.groupBy("chunk").applyInArrow(_merge_chunk(lower.total, lower.distinct), _SUMS)
     return sums.select("doc_id", F.col("held").alias("held_out"), F.col("words").alias("n_tokens"), F.col("known").alias("n_known"),
                        F.lit(lower.total).cast("bigint").alias("train_tokens"), F.col("base").alias("base_score"), "score")
