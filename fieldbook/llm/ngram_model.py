@@ -17,7 +17,7 @@ frequent than a shard holds is dealt over many: the positions of a hot word by t
 it, those of a hot pair u v by the word after it, those of a hot triple by their place in the
 corpus.  The counts that a shard then cannot see itself come from aggregates: c, n of hot
 contexts and c of hot triples, of their words and of their pairs v w are broadcast (at most all tokens / ``SHARD_TOKENS`` of each);
-the other c(v w) of hot v and c(w) are joined to the words that a shard asks for.  The ``COMMON`` most frequent words are
+the other c(v w) of hot v and c(w) are joined, range by range of keys, to the words that a shard asks for.  The ``COMMON`` most frequent words are
 broadcast to save their join; the result does not depend on that number.
 
 A chunk of rows sends its ids, its word counts and the unigram sums of common words along once; a cell for a shard names common
@@ -57,6 +57,8 @@ STEP = QUANTUM / 256  # log10 units between two sums that a shard sends back
 SMALL = 512  # planes of fewer bytes are compressed together
 BEGIN, END = np.uint64(1), np.uint64(2)  # marks outside the texts
 _GRAM = np.uint64(0xD6E8FEB86659FD93)
+_ASKED = "range bigint, data binary"
+_ANSWER = "shard int, data binary"
 _CELL = "shard int, chunk bigint, ids boolean, data binary"
 _PART = "chunk bigint, ids boolean, data binary"
 _SUMS = "doc_id bigint, held boolean, words bigint, known bigint, base double, score double"
@@ -326,16 +328,26 @@ def _triples_of(pair: Hot):
     return triples
 
 
+def _range_bits(lower: Lower) -> int:
+    """Leading bits of a key that name its range: there is a range for every four shards, more or less."""
+    return max(1, (lower.shards // 4).bit_length())
+
+
 def _asked(lower: Lower):
-    """(shard, key) of the words and of the pairs of hot words whose counts a shard needs and cannot see."""
+    """Words, and pairs of hot words, whose counts a shard needs and cannot see: the keys of one range in order, and their shards."""
+    bits = _range_bits(lower)
+
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size = 0
 
         def flush():
-            (key, shard), _, _ = _summed(tuple(np.concatenate([h[k] for h in held]) for k in (1, 0)), np.zeros(size, bool))
+            (shard, key), _, _ = _summed(tuple(np.concatenate([h[k] for h in held]) for k in (0, 1)), np.zeros(size, bool))
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(shard.astype(np.int32)), pa.array(key.view(np.int64))], names=["shard", "key"])
+            part = (key >> np.uint64(64 - bits)).astype(np.int64)
+            cuts = np.flatnonzero(np.diff(part, prepend=-1, append=-1))
+            data = [_pack(np.diff(key[a:b], prepend=np.uint64(0)), _narrow(shard[a:b])) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(part[cuts[:-1]]), pa.array(data, pa.binary())], names=["range", "data"])
         for batch in batches:
             out = np.zeros(len(batch.column(0)), bool)
             for block in blocks(batch.column(0)):
@@ -356,6 +368,18 @@ def _asked(lower: Lower):
     return asked
 
 
+def _answer(asked: pa.Table, known: pa.Table) -> pa.Table:
+    """What the shards ask of one range, each key once for a shard: its keys in order, and their counts."""
+    asks = [_unpack(d) for d in asked.column("data").to_pylist()]
+    key = np.concatenate([np.zeros(0, np.uint64), *(np.cumsum(gaps, dtype=np.uint64) for gaps, _ in asks)])
+    shard = np.concatenate([np.zeros(0, np.int32), *(s.astype(np.int32) for _, s in asks)])
+    (key, shard), _, _ = _summed((key, shard), np.zeros(len(key), bool))
+    n = _look_up(key, *_sorted(known.column("key").to_numpy(), known.column("n").to_numpy())).astype(np.int64)
+    cuts = np.flatnonzero(np.diff(shard, prepend=-1, append=-1))
+    data = [_pack(np.diff(key[a:b], prepend=np.uint64(0)), _narrow(n[a:b])) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    return pa.table([pa.array(shard[cuts[:-1]], pa.int32()), pa.array(data, pa.binary())], names=["shard", "data"])
+
+
 def _cells(lower: Lower):
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, done = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40, 0
@@ -554,9 +578,10 @@ def _score_shard(lower: Lower):
         trained = np.where(np.concatenate(flags)[doc] & 1, 0, times)
         n_docs, n_words = int(doc_at[-1]), np.uint64(len(words))
 
-        keys = asked.column("key").to_numpy().view(np.uint64)
-        keys, first = np.unique(keys, return_index=True)
-        numbers = asked.column("n").to_numpy()[first].astype(np.float64)
+        answers = [_unpack(d) for d in asked.column("data").to_pylist()]
+        keys = np.concatenate([np.zeros(0, np.uint64), *(np.cumsum(gaps, dtype=np.uint64) for gaps, _ in answers)])
+        numbers = np.concatenate([np.zeros(0), *(n for _, n in answers)])
+        keys, numbers = _sorted(keys, numbers)
         word_count = np.maximum(_look_up(words, lower.common, lower.common_count), _look_up(words, keys, numbers))
         log_q = lower.log_base(word_count)
 
@@ -710,7 +735,9 @@ def score_documents(docs: DataFrame, shard_tokens: int = SHARD_TOKENS, common: i
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"),
                        F.coalesce(F.expr(HELD_OUT), F.lit(False)).alias("held"))
     lower, known = fit_lower(rows, scratch, shard_tokens, common)
-    asked = (rows.select("text").mapInArrow(_asked(lower), "shard int, key bigint").join(known, "key").select("shard", "key", "n"))
+    of = F.shiftrightunsigned("key", 64 - _range_bits(lower)).alias("range")
+    asked = (rows.select("text").mapInArrow(_asked(lower), _ASKED).groupBy("range")
+             .cogroup(known.select(of, "key", "n").groupBy("range")).applyInArrow(_answer, _ANSWER))
     cells = rows.mapInArrow(_cells(lower), _CELL)
     parts = cells.groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(_score_shard(lower), _PART)
     sums = parts.groupBy("chunk").applyInArrow(_merge_chunk(lower.total, lower.distinct), _SUMS)
