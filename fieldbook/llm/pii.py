@@ -7,6 +7,12 @@ scores it in ``ROUNDS`` rounds: a pattern is as good as the mean score of its va
 as good as its patterns together.  Patterns with a confidence of ``CONFIDENCE`` and
 ``SUPPORT`` seeds add the identifiers that stand in them.
 
+Identifiers of any other shape (``AB1234567``, ``ext-44871``, a five-digit number) are a kind of their own, ``id``, without a
+pattern of the base scan.  Their contexts are scored by the seeds of all four kinds, and their shapes (letters as ``A``, digits as ``9``) are
+learned from the instances: a shape counts if at least ``SHAPE`` of all its tokens, and ``SUPPORT`` of them, stand in
+learned contexts, so that years, amounts and part numbers that stand anywhere are left alone.  An identifier is one token of 5 to 40
+letters, digits and ``. _ / -``, with three digits or more, and five where it has no letter.
+
 Scores are aggregates with partial sums, joins let Spark split a hot pattern, and nothing
 but the stored tables grows with the corpus.
 
@@ -23,16 +29,19 @@ from collections.abc import Iterator
 from itertools import accumulate
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldbook.llm.storage import Scratch
+from fieldbook.llm.storage import Scratch, dealt
 
 ROUNDS = 3
 CONFIDENCE = 0.85
 SUPPORT = 5
+SHAPE = 0.5
 # Kinds in the order that breaks ties, and the patterns of the scan.
 KINDS = ("email", "ip", "card", "phone")
+OTHER = len(KINDS)  # the kind of identifiers that only contexts find
+NAMES = (*KINDS, "id")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
@@ -43,6 +52,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _RUN = re.compile(r"(?<![A-Za-z0-9_@])(?:\+|\()?[0-9]++(?:[\x20().-]{1,3}+[0-9]++)++(?![A-Za-z0-9_@])")
 
 _DIGIT = re.compile(r"[0-9]")
+_PLAIN = re.compile(r"[A-Za-z0-9._/-]{5,40}")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _EDGE = ".,;:!?'\"()[]{}<>|*$&%#="
 _SPAN = "struct<start:bigint,kind:int,stop:bigint>"
@@ -100,7 +110,7 @@ def _parts(dotted: str) -> list[str]:
 
 
 def joined(spans: list[Span]) -> str:
-    return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in sorted(spans))
+    return ",".join(f"{NAMES[k]}:{a}:{b}" for a, k, b in sorted(spans))
 
 
 def _looks_like(value: str) -> int | None:
@@ -108,11 +118,13 @@ def _looks_like(value: str) -> int | None:
     digits = sum("0" <= c <= "9" for c in value)
     if "@" in value[1:-1]:
         return 0
-    if digits < 6 or sum(c.isalpha() for c in value) > 0:
-        return None
-    if value.count(".") == 3:
-        return 1
-    return 2 if 12 <= digits <= 19 else 3 if 7 <= digits <= 11 else None
+    letters = any(c.isalpha() for c in value)
+    if digits >= 6 and not letters:
+        if value.count(".") == 3:
+            return 1
+        if 7 <= digits <= 11 or 12 <= digits <= 19:
+            return 2 if digits >= 12 else 3
+    return OTHER if digits >= (3 if letters else 5) and _PLAIN.fullmatch(value) else None
 
 
 def _contexts(text: str, words: list[tuple[int, int]], first: int, last: int) -> list[str]:
@@ -203,6 +215,18 @@ def score_patterns(edges: DataFrame, scratch: Scratch, rounds: int = ROUNDS) ->
     return patterns
 
 
+def _shape(value: str) -> Column:
+    return F.regexp_replace(F.regexp_replace(value, "[A-Za-z]", "A"), "[0-9]", "9")
+
+
+def learned_shapes(views: DataFrame, hits: DataFrame) -> DataFrame:
+    """Shapes of which enough tokens stand in learned contexts, from all tokens (kind, value) and those in contexts (shape)."""
+    # The shapes are counted before they meet, so a shape that a third of all tokens have is one row.
+    inside = hits.groupBy("shape").agg(F.count(F.lit(1)).alias("inside")).where(F.col("inside") >= SUPPORT)
+    everywhere = views.where(F.col("kind") == OTHER).groupBy(_shape("value").alias("shape")).agg(F.count(F.lit(1)).alias("all"))
+    return inside.join(everywhere, "shape").where(F.col("inside") >= SHAPE * F.col("all")).select("shape")
+
+
 def find_personal_data(docs: DataFrame) -> DataFrame:
     """Personal data of every document (doc_id, text).
 
@@ -213,13 +237,20 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     rows = scratch.store(ids.mapInArrow(_observe_batches, _SCHEMA).withColumn("row", F.monotonically_increasing_id()), "rows")
     views = rows.where("size(seen) > 0").select("row", F.explode("seen").alias("s")).select("row", "s.*")
-    graph = views.select("kind", F.explode("patterns").alias("pattern"), "value", "seed")
+    # Every token is seen under its own kind; those of all kinds together tell in which contexts other identifiers stand.
+    kinds = F.array_distinct(F.array("kind", F.lit(OTHER)))
+    graph = views.select(F.explode(kinds).alias("kind"), "patterns", "value", "seed").withColumn("pattern", F.explode("patterns")).drop("patterns")
     good = (score_patterns(graph, scratch)
             .where((F.col("confidence") >= CONFIDENCE) & (F.col("seeds") >= SUPPORT)).select("kind", "pattern"))
-    more = (views.where("not seed").select("row", "start", "kind", "stop", F.explode("patterns").alias("pattern"))
-            .join(good, ["kind", "pattern"], "left_semi").select("row", F.struct("start", "kind", "stop").alias("span")).distinct()
-            .groupBy("row").agg(F.collect_list("span").alias("more")))
-    names = F.array(*[F.lit(k) for k in KINDS])
+    hits = (views.where("not seed").select("row", "start", "kind", "stop", "value", F.explode("patterns").alias("pattern"))
+            .join(good, ["kind", "pattern"], "left_semi").select("row", "start", "kind", "stop", _shape("value").alias("shape")).distinct())
+    hits = scratch.store(hits, "hits")
+    span = F.struct("start", "kind", "stop").alias("span")
+    others = hits.where(F.col("kind") == OTHER)
+    added = (hits.where(F.col("kind") != OTHER).select("row", span)
+             .unionAll(others.join(dealt(learned_shapes(views, others), "shape"), "shape", "left_semi").select("row", span)))
+    more = added.groupBy("row").agg(F.collect_list("span").alias("more"))
+    names = F.array(*[F.lit(k) for k in NAMES])
     found = F.sort_array(F.concat("base", F.coalesce("more", F.array().cast(f"array<{_SPAN}>"))))
     text = F.array_join(F.transform("found", lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["stop"])), ",")
     return (rows.join(more, "row", "left").withColumn("found", found)
@@ -237,7 +268,7 @@ def redact(text: str, spans: list) -> str:
         while k < len(spans) and spans[k][0] < stop:
             stop = max(stop, spans[k][1])
             k += 1
-        out += [text[at:start], f"[{KINDS[kind].upper()}]"]
+        out += [text[at:start], f"[{NAMES[kind].upper()}]"]
         at = stop
     return "".join([*out, text[at:]])
 
